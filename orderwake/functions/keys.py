@@ -9,9 +9,9 @@ from .coerce import parse_number
 
 # Spark's one-argument trim removes the space character only; extracts also carry tabs, line ends
 # and the Unicode spaces.
-WHITESPACE = (
-    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+ASCII_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
+UNICODE_SPACE = (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
@@ -20,7 +20,9 @@ DOCUMENT_MODULUS = 100_000_000
 
 
 def strip_space(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+    # Most keys are plain ASCII, for which the short list of characters is enough and faster.
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.btrim(text, F.lit(ASCII_SPACE))).otherwise(F.btrim(text, F.lit(ASCII_SPACE + UNICODE_SPACE)))
 
 
 def text_key(column: Column) -> Column:

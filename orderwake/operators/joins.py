@@ -1,7 +1,7 @@
 """Left lookups that hold up when one key owns a large share of the rows.
 
-`hot_keys` makes one pass over the key columns with a frequent-items sketch and decides, per key,
-over how many partitions its rows should be spread. `lookup_join` adds that spread to the join
+`hot_keys` looks at the key columns with a frequent-items sketch and decides, per key, over how
+many partitions its rows should be spread. `lookup_join` adds that spread to the join
 key: rows of a hot key are dealt out over `n` salts and the matching right-hand rows are repeated
 `n` times, so every row still meets every match exactly once. A key that the sketch misses is
 merely not spread; the result never depends on it. Without hot keys the join is a plain one.
@@ -11,6 +11,7 @@ Nothing is hinted: whether a side is small enough to broadcast is left to Spark'
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,10 +21,15 @@ from pyspark.sql import functions as F
 TRACKED_KEYS = 16_384
 MOST_HOT_KEYS = 1_024
 
+# Share of the rows that the sketch looks at, and how often it must meet a key to call it hot. The
+# sample only decides how widely a key is spread; every row takes part in the join.
+LOOKED_AT = 0.05
+LEAST_SEEN = 50
+
 HotKeys = dict[int, int]  # hash of the key -> number of salts
 
 
-def hot_keys(df: DataFrame, **keys: Sequence[str]) -> dict[str, HotKeys]:
+def hot_keys(df: DataFrame, *, looked_at: float = LOOKED_AT, **keys: Sequence[str]) -> dict[str, HotKeys]:
     """Keys with more rows than a fair share of one shuffle partition, for each named key.
 
     A hot key gets twice its share of the partitions as salts, so all salts together stay below
@@ -31,20 +37,19 @@ def hot_keys(df: DataFrame, **keys: Sequence[str]) -> dict[str, HotKeys]:
     """
     partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     fair_share = 1.0 / min(partitions, MOST_HOT_KEYS)
-    hashed = df.select(*(_key_hash(columns).alias(name) for name, columns in keys.items()))
+    looked = df if looked_at >= 1 else df.sample(fraction=looked_at, seed=1)
+    hashed = looked.select(*(_key_hash(columns).alias(name) for name, columns in keys.items()))
     sketch = hashed.agg(
         F.count(F.lit(1)).alias("rows"),
         *(F.expr(f"approx_top_k(`{name}`, {MOST_HOT_KEYS}, {TRACKED_KEYS})").alias(f"top_{name}") for name in keys),
-    )
-    hot_only = sketch.select(
-        "rows",
-        *(
-            F.filter(f"top_{name}", lambda e: e["count"] > F.lit(fair_share) * F.col("rows")).alias(f"top_{name}")
-            for name in keys
-        ),
     ).first()
+    limit = max(fair_share * sketch["rows"], LEAST_SEEN)
     return {
-        name: {e["item"]: -(-e["count"] * 2 * partitions // hot_only["rows"]) for e in hot_only[f"top_{name}"]}
+        name: {
+            e["item"]: math.ceil(2 * partitions * e["count"] / sketch["rows"])
+            for e in sketch[f"top_{name}"]
+            if e["count"] > limit
+        }
         for name in keys
     }
 

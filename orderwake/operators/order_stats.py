@@ -5,25 +5,22 @@
    interval that holds a wanted rank is known for certain, however good the sketch was.
 3. Only values inside those intervals are grouped (value, count), ordered and ranked.
 
-Nothing but step 3 moves rows, and it moves about 4/accuracy of them per quantile, equal values
-already merged.
+Steps 1 and 2 bring a few numbers per column and probability to the driver. Nothing but step 3
+moves rows, and it moves about 4/accuracy of them per quantile, equal values already merged.
+The table is scanned three times, so it should be a written one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import number
 
-
-def long_form(df: DataFrame, columns: Sequence[str], keep_null: bool = False) -> DataFrame:
-    """(column_name, value) for each of the numeric columns, missing values left out."""
-    pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), number(df, c).alias("value")) for c in columns))
-    rows = df.select(F.explode(pairs).alias("pair")).select("pair.column_name", "pair.value")
-    return rows if keep_null else rows.filter("value is not null")
+WANTED = "column_name string, piece int, below bigint, rank bigint, probability double, upper_end boolean, fraction double"
 
 
 def quantiles(
@@ -32,88 +29,82 @@ def quantiles(
     probabilities: Sequence[float],
     accuracy: int = 100_000,
 ) -> DataFrame:
-    """One row (column_name, probability, value) per column that has values, and probability."""
-    values = long_form(df, columns)
-    intervals = _wanted_intervals(values, probabilities, accuracy)
-
-    # At most two intervals per column and probability: the broadcast is bounded by the request.
-    inside = values.join(
-        F.broadcast(intervals),
-        (values["column_name"] == intervals["_column"])
-        & (F.col("lower").isNull() | (F.col("value") >= F.col("lower")))
-        & (F.col("upper").isNull() | (F.col("value") < F.col("upper"))),
-    )
-    counted = inside.groupBy("column_name", "piece", "below", "wanted", "value").agg(F.count(F.lit(1)).alias("n"))
+    """One row (column_name, probability, value) per probability and column that has values."""
+    measured = df.select(*(number(df, c).alias(c) for c in columns))
+    edges = _bracket_edges(measured, probabilities, accuracy)
+    counts = _counts_below(measured, edges)
+    wanted = [rank for c in columns for rank in _wanted_ranks(c, counts[c], probabilities)]
+    pieces = sorted({(c, piece) for c, piece, *_ in wanted})
+
+    inside = F.array_compact(F.array(*(_value_in_piece(c, piece, edges[c]) for c, piece in pieces)))
+    hits = measured.select(F.explode(inside).alias("hit")).select("hit.*") if pieces else _no_hits(df)
+    counted = hits.groupBy("column_name", "piece", "value").agg(F.count(F.lit(1)).alias("n"))
     up_to = Window.partitionBy("column_name", "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    last_rank = F.col("below") + F.sum("n").over(up_to) - 1
-    ranked = counted.withColumn("last_rank", last_rank).withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
-    hits = ranked.select(
-        "column_name",
-        "value",
-        F.explode(
-            F.filter("wanted", lambda w: w["rank"].between(F.col("first_rank"), F.col("last_rank")))
-        ).alias("hit"),
-    )
-    ends = hits.groupBy("column_name", F.col("hit.probability").alias("probability")).agg(
-        F.max(F.when(F.col("hit.upper_end"), F.col("value"))).alias("above"),
-        F.max(F.when(~F.col("hit.upper_end"), F.col("value"))).alias("value"),
-        F.max("hit.fraction").alias("fraction"),
+    ranked = counted.withColumn("up_to", F.sum("n").over(up_to))
+
+    # Two rows per column and probability: the broadcast is bounded by the request.
+    requests = F.broadcast(df.sparkSession.createDataFrame(wanted, WANTED))
+    place = F.col("rank") - F.col("below")
+    found = ranked.join(requests, ["column_name", "piece"]).filter(
+        (place < F.col("up_to")) & (place >= F.col("up_to") - F.col("n"))
     )
-    return ends.select(
-        "column_name",
-        "probability",
-        (F.col("value") + (F.col("above") - F.col("value")) * F.col("fraction")).alias("value"),
+    ends = found.groupBy("column_name", "probability").agg(
+        F.max(F.when(~F.col("upper_end"), F.col("value"))).alias("low"),
+        F.max(F.when(F.col("upper_end"), F.col("value"))).alias("high"),
+        F.max("fraction").alias("fraction"),
     )
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction")
+    return ends.select("column_name", "probability", value.alias("value"))
 
 
-def _wanted_intervals(values: DataFrame, probabilities: Sequence[float], accuracy: int) -> DataFrame:
-    """Per column: value intervals holding a wanted rank, with the exact number of values below."""
-    edge_at = sorted({min(max(p + s * 2.0 / accuracy, 0.0), 1.0) for p in probabilities for s in (-1, 1)})
-    edges = values.groupBy("column_name").agg(
-        F.array_distinct(F.percentile_approx("value", edge_at, accuracy)).alias("edges")
-    )
-    # One row per column, each with at most two edges per probability. Counting pieces on the
-    # frame that carries the edges keeps piece and edges consistent.
-    piece = lambda v, e: F.size(F.filter(e, lambda x: x <= v))
-    pieces = (
-        values.join(F.broadcast(edges), "column_name")
-        .groupBy("column_name", "edges", piece(F.col("value"), F.col("edges")).alias("piece"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    by_piece = Window.partitionBy("column_name").orderBy("piece").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        pieces.withColumn("up_to", F.sum("n").over(by_piece))
-        .withColumn("below", F.col("up_to") - F.col("n"))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("column_name")))
-    )
-    wanted = F.filter(_wanted_ranks(probabilities), lambda w: (w["rank"] >= F.col("below")) & (w["rank"] < F.col("up_to")))
-    return (
-        placed.withColumn("wanted", wanted)
-        .filter(F.size("wanted") > 0)
-        .select(
-            F.col("column_name").alias("_column"),
-            "piece",
-            "below",
-            "wanted",
-            F.try_element_at("edges", F.nullif(F.col("piece"), F.lit(0))).alias("lower"),
-            F.try_element_at("edges", F.col("piece") + 1).alias("upper"),
+def _bracket_edges(measured: DataFrame, probabilities: Sequence[float], accuracy: int) -> dict[str, list[float]]:
+    around = sorted({min(max(p + side * 2.0 / accuracy, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
+    row = measured.agg(*(F.percentile_approx(c, around, accuracy).alias(c) for c in measured.columns)).first()
+    return {c: sorted(set(row[c] or [])) for c in measured.columns}
+
+
+def _counts_below(measured: DataFrame, edges: dict[str, list[float]]) -> dict[str, list[int]]:
+    """Per column: the number of values below each edge, and of all values."""
+    wanted = [(c, edge) for c in measured.columns for edge in (*edges[c], None)]
+    row = measured.agg(
+        *(
+            (F.count(c) if edge is None else F.count_if(F.col(c) < F.lit(edge))).alias(f"_{i}")
+            for i, (c, edge) in enumerate(wanted)
         )
-    )
+    ).first()
+    counts: dict[str, list[int]] = {c: [] for c in measured.columns}
+    for (c, _), n in zip(wanted, row):
+        counts[c].append(n)
+    return counts
+
 
+def _wanted_ranks(column: str, below: Sequence[int], probabilities: Sequence[float]) -> list[tuple]:
+    """Both neighbours of each position p * (n - 1), counted from zero, and the piece they fall into.
 
-def _wanted_ranks(probabilities: Sequence[float]) -> Column:
-    """Both neighbours of each wanted position p * (n - 1), counted from zero."""
-    ends = []
+    Piece k holds the values from edge k - 1 up to, but without, edge k.
+    """
+    *starts, n = [0, *below]
+    if n == 0:
+        return []
+    ranks = []
     for p in probabilities:
-        position = F.lit(p) * (F.col("total") - 1)
-        for upper in (False, True):
-            rank = (F.ceil(position) if upper else F.floor(position)).cast("bigint")
-            ends.append(
-                F.struct(
-                    F.lit(float(p)).alias("probability"),
-                    F.lit(upper).alias("upper_end"),
-                    rank.alias("rank"),
-                    (position - F.floor(position)).alias("fraction"),
-                )
-            )
-    return F.array(*ends)
+        position = p * (n - 1)
+        for upper_end, rank in ((False, math.floor(position)), (True, math.ceil(position))):
+            piece = max(k for k, start in enumerate(starts) if start <= rank)
+            ranks.append((column, piece, starts[piece], rank, float(p), upper_end, position - math.floor(position)))
+    return ranks
+
+
+def _value_in_piece(column: str, piece: int, edges: Sequence[float]):
+    value = F.col(column)
+    inside = value.isNotNull()
+    if piece > 0:
+        inside &= value >= F.lit(edges[piece - 1])
+    if piece < len(edges):
+        inside &= value < F.lit(edges[piece])
+    hit = F.struct(F.lit(column).alias("column_name"), F.lit(piece).alias("piece"), value.alias("value"))
+    return F.when(inside, hit)
+
+
+def _no_hits(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "column_name string, piece int, value double")

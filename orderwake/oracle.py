@@ -343,9 +343,9 @@ def _missing(table: str, names: list[str]) -> str:
 def _described(column: str, table: str, name: str | None = None, skew: bool = False) -> str:
     tail = f", round(skewness({column}), 3) AS skew" if skew else ""
     return f"""SELECT '{name or column}' AS column_name, count({column}) AS n, round(avg({column}), 3) AS mean,
-      round(stddev_samp({column}), 3) AS std, round(min({column}), 3)::DOUBLE AS min,
-      round(quantile_cont({column}::DOUBLE, 0.25), 3) AS p25, round(quantile_cont({column}::DOUBLE, 0.5), 3) AS p50,
-      round(quantile_cont({column}::DOUBLE, 0.75), 3) AS p75, round(max({column}), 3)::DOUBLE AS max{tail} FROM {table}"""
+      round(stddev_samp({column}), 3) AS std, round(min({column}), 6)::DOUBLE AS min,
+      round(quantile_cont({column}::DOUBLE, 0.25), 6) AS p25, round(quantile_cont({column}::DOUBLE, 0.5), 6) AS p50,
+      round(quantile_cont({column}::DOUBLE, 0.75), 6) AS p75, round(max({column}), 6)::DOUBLE AS max{tail} FROM {table}"""
 
 
 def _quantiles() -> str:
@@ -410,7 +410,7 @@ QUERIES: dict[str, str] = {
       FROM stock s LEFT JOIN (SELECT * FROM plant_log
         QUALIFY row_number() OVER (PARTITION BY plant_code ORDER BY n_nationkey DESC) = 1) p
       ON p.plant_code = s.plant_code GROUP BY ALL""",
-    "purchase": """SELECT * REPLACE (round(net_price, 6) AS net_price,
+    "purchase": """SELECT * REPLACE (round(net_price, 9) AS net_price,
       strftime(purchasing_document_date, '%Y-%m-%d %H:%M:%S') AS purchasing_document_date) FROM master_po""",
     "delivery_agg": "SELECT * FROM delivered",
     "billing_agg": "SELECT * FROM billed",

@@ -57,6 +57,7 @@ def logistic_backorder(data: DataFrame, features: Sequence[str], label: str = LA
         labelCol=label,
         weightCol="weight",
         maxIter=1000,
+        tol=1e-4,
         regParam=1.0 / max(rows, 1),
         elasticNetParam=0.0,
         standardization=False,

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from ..functions import at_least_zero, instant, number
 from ..operators import duplicate_rows, quantiles
-from ..operators.order_stats import long_form
 from .masters import ORDER_GRAIN
 
 INVENTORY_KEY = ["client_id", "material_number", "plant_code", "storage_location"]
@@ -50,19 +49,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std (sample), min, quartiles and max, one row per numeric column."""
     columns = list(columns or numeric_columns(df))
+    measured = df.select(*(number(df, c).alias(c) for c in columns))
+    # All moments of all columns in one pass, then one row per column.
+    row = measured.agg(F.array(*(F.struct(F.lit(c).alias("column_name"), *_moments(c)) for c in columns)).alias("rows"))
+    moments = row.select(F.inline("rows"))
     value = F.col("value")
-    moments = (
-        long_form(df, columns, keep_null=True)
-        .groupBy("column_name")
-        .agg(
-            F.count(value).alias("n"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-            _unbiased_skew(value).alias("skew"),
-        )
-    )
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
         *(F.max(F.when(F.col("probability") == p, value)).alias(f"p{int(p * 100)}") for p in (0.25, 0.5, 0.75))
     )
@@ -72,6 +63,17 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def _moments(column: str) -> list[Column]:
+    return [
+        F.count(column).alias("n"),
+        F.avg(column).alias("mean"),
+        F.stddev_samp(column).alias("std"),
+        F.min(column).alias("min"),
+        F.max(column).alias("max"),
+        _unbiased_skew(F.col(column)).alias("skew"),
+    ]
+
+
 def _unbiased_skew(value: Column) -> Column:
     n = F.count(value).cast("double")
     return F.when(n > 2, F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import first_per_key, hot_keys, lookup_join
 from .workspace import Workspace
@@ -38,6 +39,7 @@ class StarSchema:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.workspace = workspace
+        self._schemas: dict[str, StructType] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
         return getattr(self, f"_{table}")()
@@ -46,7 +48,10 @@ class StarSchema:
         return {name: self[name] for name in names}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def lines(self) -> DataFrame:
         """Order lines, one per (order, line number), written on first use."""

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
 
@@ -40,13 +41,14 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{scratch_folder(spark)}/orderwake/{spark.sparkContext.applicationId}/{name}"
-        self._written: set[str] = set()
+        self._schemas: dict[str, StructType] = {}
         self._lock = threading.RLock()
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.folder}/{name}"
         with self._lock:
-            if name not in self._written:
-                build().write.mode("overwrite").parquet(path)
-                self._written.add(name)
-        return self.spark.read.parquet(path)
+            if name not in self._schemas:
+                df = build()
+                df.write.mode("overwrite").parquet(path)
+                self._schemas[name] = df.schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
