@@ -500,6 +500,19 @@ QUERIES: dict[str, str] = {
         FROM (SELECT count(*) AS n FROM master_inventory GROUP BY client_id, material_number, plant_code, storage_location)
       UNION ALL SELECT 'purchase', coalesce(sum(n - 1), 0)::BIGINT
         FROM (SELECT count(*) AS n FROM master_po GROUP BY client_id, purchase_order_number, purchase_order_item_number)""",
+    "duplicate_keys": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, coalesce(sum(n - 1), 0)::BIGINT AS duplicate_rows "
+        f"FROM (SELECT count(*) AS n FROM {table} GROUP BY {key})"
+        for name, table, key in (
+            ("sales_order_header", "orders", "o_orderkey"),
+            ("delivery_header", "delivery", "number"),
+            ("material_master", "part", "p_partkey"),
+            ("customer_master", "customer", "c_custkey"),
+            ("vendor_master", "supplier", "s_suppkey"),
+            ("purchase_order_header", "po_header", "l_orderkey"),
+            ("plant", "region", "r_regionkey"),
+        )
+    ),
     "material_overlap": """, o AS (SELECT DISTINCT material_number FROM order_metrics WHERE material_number IS NOT NULL),
       i AS (SELECT DISTINCT material_number FROM master_inventory WHERE material_number IS NOT NULL)
       SELECT (SELECT count(*) FROM o) AS order_materials, (SELECT count(*) FROM i) AS inventory_materials,

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..sources import read_tables, write_table
+from ..sources import Workspace, read_json_rows, read_table, read_tables, write_json_rows, write_report, write_table
+from ..sources.catalog import CLEAN_TABLES
+from ..sources.ingest import clean_table
+from ..sources.names import TABLE_NAMES
+from . import evaluate, forecast, models, quality
+from .features import encoded_features, feature_names, stratified_split
 from .masters import Tables, inventory_material, order_fulfillment, purchase
 from .metrics import order_backorder_metrics, shipment_history, weeks_of_coverage
 from .targets import OVERSTOCK_WEEKS, inventory_targets, order_targets
@@ -31,10 +37,11 @@ class Stages:
     spark: SparkSession
     folder: str
     file_format: str = "parquet"
+    suffix: str = ""
     rows: dict[str, int] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
-        return f"{self.folder.rstrip('/')}/{name}"
+        return f"{self.folder.rstrip('/')}/{name}{self.suffix}"
 
     def save(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         for name, df in tables.items():
@@ -108,6 +115,93 @@ def run(
     return stages
 
 
+def ingest(
+    spark: SparkSession,
+    raw: str,
+    target: str,
+    tables: Sequence[str] = tuple(CLEAN_TABLES),
+    resolve: bool = True,
+    canonical: bool = False,
+    raw_format: str = "csv",
+) -> Stages:
+    """Raw ERP extracts (`<raw>/vbak.csv`, ...) to clean tables; extracts that are missing are skipped.
+
+    `resolve` keeps the newest image per key, `canonical` repairs keys that lost their zeros.
+    """
+    raw_names = {clean: erp for erp, clean in TABLE_NAMES.items()}
+    stages = Stages(spark, target, "parquet", suffix=".parquet")
+    for table in tables:
+        try:
+            extract = read_table(spark, raw, raw_names[table], raw_format)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        stages.save({table: clean_table(extract, table, resolve, canonical)})
+    return stages
+
+
+def run_discovery(stages: Tables, target: str, today: dt.date) -> dict[str, str]:
+    """Write the data discovery reports as CSV; returns report name -> path."""
+    orders, inventory = stages["master_order_fulfillment_brd"], stages["master_inventory_material"]
+    purchases = stages["master_purchase"]
+    reports = {
+        "discovery_missing_order": quality.missing_summary(orders),
+        "discovery_missing_inventory": quality.missing_summary(inventory),
+        "discovery_missing_purchase": quality.missing_summary(purchases),
+        "discovery_describe_order": quality.describe(orders),
+        "discovery_validity": quality.validity_checks(orders, inventory, today),
+        "discovery_duplicates": quality.duplicate_checks(orders, inventory, purchases),
+        "discovery_quantiles": quality.outlier_quantiles(orders),
+        "discovery_materials": quality.material_overlap(orders, inventory),
+        "order_summary_stats": quality.order_summary_stats(orders),
+    }
+    return _write_reports(reports, target)
+
+
+def run_modelling(stages: Tables, workspace: Workspace, target: str) -> dict[str, str]:
+    """Train and evaluate the classifiers, forecast demand, size excess stock.
+
+    Writes models, metrics (JSON) and reports (CSV) below `target`; returns name -> path. The
+    feature table is written to the workspace, since every fit scans it many times.
+    """
+    encoded = workspace.table("encoded", lambda: encoded_features(stages["master_order_fulfillment_with_targets"]))
+    data = workspace.table("split", lambda: stratified_split(encoded))
+    names = feature_names()
+    logistic, logistic_rows = models.logistic_backorder(data, names)
+    forest, forest_rows = models.forest_backorder(data, names)
+    fitted = {"backorder_logistic": logistic, "backorder_random_forest": forest}
+    paths = {name: f"{target}/models/{name}" for name in fitted}
+    for name, model in fitted.items():
+        model.write().overwrite().save(paths[name])
+
+    paths["classification_metrics"] = f"{target}/models/classification_metrics"
+    scores = evaluate.classification_metrics(logistic_rows, "logistic_regression").unionByName(
+        evaluate.classification_metrics(forest_rows, "random_forest")
+    )
+    write_json_rows(scores, paths["classification_metrics"])
+
+    forecasts = forecast.demand_forecast(stages["shipment_history"])
+    excess = forecast.excess_inventory(stages["master_woc"])
+    paths["regression_metrics"] = f"{target}/models/regression_metrics"
+    write_json_rows(forecast.forecast_excess_summary(forecasts, excess), paths["regression_metrics"])
+    written = read_json_rows(workspace.spark, paths["classification_metrics"], scores.schema)
+    reports = {
+        "classification_feature_importance": models.feature_importance(forest, data, names),
+        "demand_forecast": forecasts,
+        "excess_inventory": excess,
+        "model_comparison": evaluate.model_comparison(written),
+    }
+    return paths | _write_reports(reports, target)
+
+
+def _write_reports(reports: Mapping[str, DataFrame], target: str) -> dict[str, str]:
+    paths = {name: f"{target.rstrip('/')}/tables/{name}" for name in reports}
+    for name, df in reports.items():
+        write_report(df, paths[name])
+    return paths
+
+
 def register_views(stages: Tables) -> None:
     """The five discovery tables as temp views for ad-hoc SQL."""
     for view, table in VIEWS.items():

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import at_least_zero, instant, number
+from ..functions import at_least_zero, canonical_document, instant, number, text_key
 from ..operators import duplicate_rows, quantiles
 from .masters import ORDER_GRAIN
 
@@ -49,11 +50,19 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std (sample), min, quartiles and max, one row per numeric column."""
     columns = list(columns or numeric_columns(df))
-    measured = df.select(*(number(df, c).alias(c) for c in columns))
-    # All moments of all columns in one pass, then one row per column.
-    row = measured.agg(F.array(*(F.struct(F.lit(c).alias("column_name"), *_moments(c)) for c in columns)).alias("rows"))
-    moments = row.select(F.inline("rows"))
+    # Long form keeps the generated code small however many columns there are; the partial sums
+    # leave each task as one row per column.
+    pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), number(df, c).alias("value")) for c in columns))
+    values = df.select(F.explode(pairs).alias("pair")).select("pair.column_name", "pair.value")
     value = F.col("value")
+    moments = values.groupBy("column_name").agg(
+        F.count(value).alias("n"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        _unbiased_skew(value).alias("skew"),
+    )
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
         *(F.max(F.when(F.col("probability") == p, value)).alias(f"p{int(p * 100)}") for p in (0.25, 0.5, 0.75))
     )
@@ -63,17 +72,6 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def _moments(column: str) -> list[Column]:
-    return [
-        F.count(column).alias("n"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
-        _unbiased_skew(F.col(column)).alias("skew"),
-    ]
-
-
 def _unbiased_skew(value: Column) -> Column:
     n = F.count(value).cast("double")
     return F.when(n > 2, F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2))
@@ -130,6 +128,12 @@ def duplicate_checks(orders: DataFrame, inventory: DataFrame, purchase: DataFram
     )
 
 
+def duplicate_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows per clean table that repeat an earlier key; joins on such keys multiply rows."""
+    counts = [duplicate_rows(df, [k for k in keys[name] if k in df.columns], name) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def material_overlap(orders: DataFrame, inventory: DataFrame) -> DataFrame:
     """Distinct materials in orders, in stock, in both and in one only.
 
@@ -166,8 +170,6 @@ def backorder_overview(order_metrics: DataFrame) -> DataFrame:
 
 def reference_collisions(documents: DataFrame, column: str = "sales_document_number") -> DataFrame:
     """Canonical document numbers that stand for more than one original number."""
-    from ..functions import canonical_document, text_key
-
     spelled = documents.select(
         canonical_document(F.col(column)).alias("canonical"), text_key(F.col(column)).alias("original")
     ).distinct()

@@ -18,6 +18,7 @@ from .functions import week_start, whole_days
 from .operators import latest_image
 from .plans import evaluate, features, forecast, masters, metrics, models, pipeline, quality, targets
 from .sources import Workspace, rename_columns
+from .sources.catalog import CLEAN_TABLES
 from .sources.star_schema import CLIENT, StarSchema
 
 REFERENCE_DATE = dt.date(2001, 8, 1)
@@ -353,6 +354,12 @@ def duplicate_checks(d: Dataset) -> DataFrame:
     return quality.duplicate_checks(d.orders(), d.inventory(), d.purchase())
 
 
+def duplicate_keys(d: Dataset) -> DataFrame:
+    names = ("sales_order_header", "delivery_header", "material_master", "customer_master", "vendor_master")
+    names += ("purchase_order_header", "plant")
+    return quality.duplicate_keys(d.clean.tables(*names), {n: CLEAN_TABLES[n].key for n in names})
+
+
 def material_overlap(d: Dataset) -> DataFrame:
     return quality.material_overlap(d.metrics(), d.inventory())
 
@@ -455,6 +462,11 @@ def magnitude_elasticnet(d: Dataset) -> DataFrame:
     return models.regression_metrics(predicted, "elastic_net")
 
 
+def magnitude_ridge(d: Dataset) -> DataFrame:
+    _, predicted = models.magnitude_regression(d.split(), features.feature_names(), elastic_net=0.0)
+    return models.regression_metrics(predicted, "ridge")
+
+
 def magnitude_gbt(d: Dataset) -> DataFrame:
     _, predicted = models.magnitude_regression(d.split(), features.feature_names(), boosted=True)
     return models.regression_metrics(predicted, "gradient_boosted_trees")
@@ -508,6 +520,7 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     order_summary_stats,
     validity_checks,
     duplicate_checks,
+    duplicate_keys,
     material_overlap,
     sql_views_sample,
     feature_correlation,
@@ -526,6 +539,7 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     forest_importance,
     backorder_gbt,
     magnitude_elasticnet,
+    magnitude_ridge,
     magnitude_gbt,
     model_comparison,
     at_risk_report,

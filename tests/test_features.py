@@ -1,0 +1,172 @@
+"""Features, split, weights, evaluation and models."""
+
+import itertools
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orderwake.plans import evaluate, features, models
+
+SCHEMA = (
+    "client_id string, sales_document_number string, item_number string, material_number string, plant_code string, "
+    "outstanding_qty double, saleable_inventory double, cumulative_order_quantity double, total_quantity_delivered double, "
+    "net_value double, backorder_aging_days double, material_type string, item_category string, backorder_units double, "
+    "target_backorder_risk int"
+)
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    data = []
+    for i in range(1003):
+        short = max((i * 7) % 50 - 25.0, 0.0)
+        kind = None if i % 50 == 0 else f"type {i % 9} with a very long name"
+        value = float("inf") if i == 3 else (None if i == 4 else i * 1.5)
+        data.append(
+            ("100", str(i // 5), str(i % 5), f"M{i % 20}", "1", (i * 7) % 50 * 1.0, 25.0, 60.0, None, value, None, kind, "NRA"[i % 3], short, int(short > 0))
+        )
+    return spark.createDataFrame(data, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def split(spark, lines, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("split") / "t")
+    keys = [*features.ORDER_GRAIN, "material_number", "plant_code", "backorder_units"]
+    features.stratified_split(features.encoded_features(lines, keys)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_categories_are_cut_and_numbered_alphabetically(lines, rows):
+    encoded = features.encoded_features(lines)
+    assert encoded.columns == [*features.ORDER_GRAIN, *features.feature_names(), features.LABEL]
+    kinds = sorted({(r.material_type or "")[:20] for r in lines.collect()})
+    found = {
+        (r.sales_document_number, r.item_number): (r.material_type_enc, r.item_category_enc, r.net_value)
+        for r in encoded.collect()
+    }
+    for r in lines.collect():
+        type_code, category_code, value = found[r.sales_document_number, r.item_number]
+        assert type_code == kinds.index((r.material_type or "")[:20])
+        assert category_code == "ANR".index(r.item_category)
+        assert value == (r.net_value if r.net_value is not None and math.isfinite(r.net_value) else 0.0)
+
+
+def test_leaky_features_can_be_left_out(lines):
+    assert set(features.encoded_features(lines, exclude_leaky=True).columns).isdisjoint(features.LEAKY_FEATURES)
+
+
+def test_split_is_exact_stratified_and_repeatable(lines, split, rows):
+    counts = {(r[features.LABEL], r.is_test): r["count"] for r in split.groupBy(features.LABEL, "is_test").count().collect()}
+    assert counts[0, True] + counts[1, True] == math.ceil(1003 * 0.2)
+    for label in (0, 1):
+        n = counts[label, True] + counts[label, False]
+        assert abs(counts[label, True] - 0.2 * n) <= 1
+    again = features.stratified_split(features.encoded_features(lines.repartition(5)))
+    assert rows(again, *features.ORDER_GRAIN, "is_test") == rows(split, *features.ORDER_GRAIN, "is_test")
+
+
+def test_standardize_uses_training_rows_and_leaves_constants_centred(split):
+    train = split.filter("not is_test")
+    names = features.feature_names()
+    scaled = features.standardize(train, names, train).toPandas()
+    assert scaled["outstanding_qty"].mean() == pytest.approx(0, abs=1e-9)
+    assert scaled["outstanding_qty"].std(ddof=0) == pytest.approx(1)
+    assert set(scaled["saleable_inventory"]) == {0.0}
+
+
+def test_class_weights_are_balanced(split, rows):
+    weights = {r.label: (r.n_rows, r.weight) for r in features.class_weights(split).collect()}
+    assert sum(n * w for n, w in weights.values()) == pytest.approx(1003)
+    assert weights[0][0] * weights[0][1] == pytest.approx(weights[1][0] * weights[1][1])
+
+
+def scored(spark, data):
+    return spark.createDataFrame([(l, p, float(s)) for l, p, s in data], "label int, prediction int, score double")
+
+
+def brute_auc(data):
+    pairs = [(a, b) for (la, _, a), (lb, _, b) in itertools.product(data, data) if la == 1 and lb == 0]
+    return sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)
+
+
+def test_auc_counts_ties_half(spark):
+    rng = np.random.default_rng(1)
+    data = [(int(l), 0, int(s)) for l, s in zip(rng.integers(0, 2, 300), rng.integers(0, 20, 300))]
+    assert evaluate.roc_auc(scored(spark, data)).first()[0] == pytest.approx(brute_auc(data))
+
+
+def test_metrics_are_zero_where_undefined(spark):
+    one_class = evaluate.classification_metrics(scored(spark, [(0, 0, 0.1), (0, 0, 0.2)]), "m").first()
+    assert tuple(one_class) == ("m", 1.0, 0.0, 0.0, 0.0, 0.0)
+    none_predicted = evaluate.classification_metrics(scored(spark, [(1, 0, 0.1), (0, 0, 0.2)]), "m").first()
+    assert tuple(none_predicted) == ("m", 0.5, 0.0, 0.0, 0.0, 0.0)
+
+
+def test_metrics_and_report(spark):
+    data = [(1, 1, 0.9)] * 3 + [(1, 0, 0.4)] + [(0, 1, 0.6)] * 2 + [(0, 0, 0.1)] * 4
+    m = evaluate.classification_metrics(scored(spark, data), "m").first()
+    assert (m.accuracy, m.precision, m.recall) == pytest.approx((0.7, 0.6, 0.75))
+    assert m.f1 == pytest.approx(2 * 0.6 * 0.75 / 1.35)
+    assert m.roc_auc == pytest.approx(brute_auc(data))
+    report = {r.class_name: r for r in evaluate.classification_report(scored(spark, data)).collect()}
+    assert report["Backorder"].support == 4 and report["No Backorder"].support == 6
+    assert report["macro avg"].recall == pytest.approx((0.75 + 4 / 6) / 2)
+    assert report["weighted avg"].precision == pytest.approx((0.6 * 4 + 0.8 * 6) / 10)
+
+
+def test_threshold_curve(spark):
+    data = [(1, 1, 3), (0, 1, 2), (1, 0, 2), (0, 0, 1)]
+    curve = {r.threshold: (r.tp, r.fp, r.precision, r.recall) for r in evaluate.threshold_curve(scored(spark, data)).collect()}
+    assert curve == {3.0: (1, 0, 1.0, 0.5), 2.0: (2, 1, 2 / 3, 1.0), 1.0: (2, 2, 0.5, 1.0)}
+    assert evaluate.best_threshold(evaluate.threshold_curve(scored(spark, data))).first().threshold == 2.0
+
+
+def test_model_comparison_text(spark, rows):
+    metrics = spark.createDataFrame(
+        [("logistic_regression", 0.89965, 0.5, 0.9869, 0.67, 1.0)],
+        "model string, accuracy double, precision double, recall double, f1 double, roc_auc double",
+    )
+    assert rows(evaluate.model_comparison(metrics)) == [("Logistic Regression", "0.900", "0.500", "0.987", "0.670", "1.000")]
+
+
+def test_models_learn_and_can_be_saved(spark, split, tmp_path):
+    names = features.feature_names()
+    model, tested = models.logistic_backorder(split, names)
+    assert evaluate.classification_metrics(tested, "lr").first().roc_auc > 0.95
+    path = str(tmp_path / "lr")
+    model.write().overwrite().save(path)
+    again = type(model).load(path)
+    assert len(again.stages) == 2
+
+    forest, tested = models.forest_backorder(split, names, trees=10, depth=5)
+    assert evaluate.classification_metrics(tested, "rf").first().accuracy > 0.9
+    importance = models.feature_importance(forest, split, names).collect()
+    assert len(importance) == len(names)
+    assert sum(r.importance for r in importance) == pytest.approx(1)
+    assert importance[0].feature == "outstanding_qty"
+
+
+def test_magnitude_regression(split):
+    names = features.feature_names()
+    _, linear = models.magnitude_regression(split, names)
+    _, boosted = models.magnitude_regression(split, names, boosted=True)
+    linear, boosted = (models.regression_metrics(p, "m").first() for p in (linear, boosted))
+    assert boosted.rmse < linear.rmse
+    assert boosted.r2 > 0.9
+
+
+def test_at_risk_report(spark, rows):
+    found = spark.createDataFrame(
+        [("100", "A", "1", 1, 0.9), ("100", "A", "1", 0, 0.1), ("100", "B", None, 0, 0.2)],
+        "client_id string, material_number string, plant_code string, prediction int, score double",
+    )
+    coverage = spark.createDataFrame(
+        [("100", "A", "1", 2.1, 45.0)],
+        "client_id string, material_number string, plant_code string, woc double, saleable_inventory double",
+    )
+    assert rows(models.at_risk_report(found, coverage)) == [
+        ("100", "A", "1", "Yes", 0.9, 2.1, 45.0),
+        ("100", "B", "", "No", 0.2, None, None),
+    ]

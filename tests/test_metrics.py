@@ -1,0 +1,179 @@
+"""Metrics, targets and forecasts on small hand-made tables."""
+
+import datetime as dt
+
+import pytest
+
+from orderwake.plans import forecast, metrics, targets
+
+TODAY = dt.date(2024, 5, 10)
+ORDER = (
+    "client_id string, sales_document_number string, item_number string, material_number string, plant_code string, "
+    "cumulative_order_quantity double, total_quantity_delivered double, net_value double, "
+    "requested_delivery_date_schedule timestamp_ntz, requested_delivery_date timestamp_ntz, order_date timestamp_ntz"
+)
+STOCK = "client_id string, material_number string, plant_code string, unrestricted_stock double"
+SHIPMENTS = "client_id string, material_number string, plant_code string, shipment_week string, quantity_shipped double"
+
+
+def order(number, material="M", plant="1", ordered=10.0, delivered=None, value=100.0, schedule=None, requested=None, date=None):
+    return ("100", "1", str(number), material, plant, ordered, delivered, value, schedule, requested, date)
+
+
+def test_each_open_line_is_held_against_the_full_stock(spark, rows):
+    orders = spark.createDataFrame([order(1, ordered=15.0, delivered=3.0), order(2, ordered=11.0), order(3, ordered=4.0)], ORDER)
+    stock = spark.createDataFrame([("100", "M", "1", 6.0), ("100", "M", "2", 4.0), ("100", "M", "2", None)], STOCK)
+    found = metrics.order_backorder_metrics(orders, stock, TODAY)
+    assert rows(found, "item_number", "outstanding_qty", "saleable_inventory", "backorder_units", "backorder_amount") == [
+        ("1", 12.0, 10.0, 2.0, 2.0 * (100.0 / 15.0)),
+        ("2", 11.0, 10.0, 1.0, 1.0 * (100.0 / 11.0)),
+        ("3", 4.0, 10.0, 0.0, 0.0),
+    ]
+
+
+def test_odd_quantities(spark, rows):
+    lines = [order(1, ordered=0.0), order(2, ordered=-2.0), order(3, ordered=None), order(4, ordered=5.0, delivered=9.0)]
+    found = metrics.order_backorder_metrics(spark.createDataFrame(lines, ORDER), spark.createDataFrame([], STOCK), TODAY)
+    picked = rows(found, "outstanding_qty", "is_open", "saleable_inventory", "backorder_units", "backorder_amount")
+    assert picked == [(0.0, False, 0.0, 0.0, 0.0)] * 4
+
+
+def test_missing_material_meets_missing_material_stock(spark, rows):
+    orders = spark.createDataFrame([order(1, material=None)], ORDER)
+    stock = spark.createDataFrame([("100", None, "1", 3.0)], STOCK)
+    found = metrics.order_backorder_metrics(orders, stock, TODAY)
+    assert rows(found, "saleable_inventory", "backorder_units") == [(3.0, 7.0)]
+
+
+def test_without_a_stock_column_nothing_is_saleable(spark, rows):
+    orders = spark.createDataFrame([order(1)], ORDER)
+    stock = spark.createDataFrame([("100", "M")], "client_id string, material_number string")
+    assert rows(metrics.order_backorder_metrics(orders, stock, TODAY), "saleable_inventory") == [(0.0,)]
+
+
+def test_aging_covers_all_open_lines_and_floors(spark, rows, day):
+    lines = [
+        order(1, schedule=day("2024-05-10T12:00:00"), requested=day("2024-05-01")),
+        order(2, requested=day("2024-05-03"), date=day("2024-01-01")),
+        order(3, date=day("2024-05-02")),
+        order(4),
+        order(5, delivered=10.0, date=day("2024-05-02")),
+    ]
+    stock = spark.createDataFrame([("100", "M", "1", 1000.0)], STOCK)
+    found = metrics.order_backorder_metrics(spark.createDataFrame(lines, ORDER), stock, TODAY)
+    assert rows(found, "item_number", "backorder_aging_days", "backorder_aging_bucket") == [
+        ("1", -1.0, ""),
+        ("2", 7.0, "0-7"),
+        ("3", 8.0, "8-14"),
+        ("4", None, ""),
+        ("5", None, ""),
+    ]
+
+
+DELIVERY = "client_id string, sales_document_number string, material_number string, plant_code string, quantity_delivered double"
+
+
+def test_shipments_need_an_issue_date_and_a_positive_quantity(spark, rows, day):
+    lines = [("100", "D1", "M", "1", 2.0), ("100", "D1", "M", "1", 3.0), ("100", "D2", "M", None, 4.0)]
+    lines += [("100", "D1", "M", "1", 0.0), ("100", "D1", "M", "1", None), ("100", "D3", "M", "1", 7.0), ("100", "D9", "M", "1", 7.0)]
+    headers = [("100", "D1", day("2024-05-12T10:00:00")), ("100", "D2", day("2024-05-13")), ("100", "D3", None)]
+    found = metrics.shipment_history(
+        spark.createDataFrame(lines, DELIVERY),
+        spark.createDataFrame(headers, "client_id string, sales_document_number string, goods_issue_date timestamp_ntz"),
+    )
+    assert rows(found) == [("100", "M", "", "2024-05-13", 4.0), ("100", "M", "1", "2024-05-06", 5.0)]
+
+
+def test_shipments_without_the_needed_columns_are_empty(spark):
+    lines = spark.createDataFrame([("100", "D1", "M", "1", 2.0)], DELIVERY)
+    found = metrics.shipment_history(lines, spark.createDataFrame([("100", "D1")], "client_id string, sales_document_number string"))
+    assert found.columns == [*metrics.SERIES, "shipment_week", "quantity_shipped"]
+    assert found.count() == 0
+
+
+@pytest.fixture
+def coverage_inputs(spark):
+    stock = [("100", "A", "1", 30.0), ("100", "A", "1", 18.0), ("100", "B", None, 5.0), ("100", None, "1", 9.0), ("100", "C", "1", None)]
+    orders = [order(1, material="A", ordered=24.0), order(2, material=None, ordered=5.0), order(3, material="Z", ordered=5.0)]
+    stock = spark.createDataFrame(stock, STOCK)
+    return stock, metrics.order_backorder_metrics(spark.createDataFrame(orders, ORDER), stock.limit(0), TODAY)
+
+
+def test_coverage_window_is_closed_and_reaches_back_from_the_last_week_of_all(spark, rows, coverage_inputs):
+    stock, orders = coverage_inputs
+    weeks = [
+        ("100", "A", "1", "2024-06-17", 12.0),  # the last week of all
+        ("100", "A", "1", "2024-01-01", 12.0),  # exactly 24 weeks earlier: counted
+        ("100", "A", "1", "2023-12-25", 99.0),  # 25 weeks earlier: not counted
+        ("100", "B", "", "2023-12-25", 99.0),
+        ("100", None, "1", "2024-06-10", 24.0),
+        ("100", "C", "1", "not a week", 24.0),
+    ]
+    found = metrics.weeks_of_coverage(stock, spark.createDataFrame(weeks, SHIPMENTS), orders)
+    columns = ("material_number", "plant_code", "saleable_inventory", "open_order_qty", "net_available", "awd", "woc", "woc_low_flag")
+    assert rows(found, *columns) == [
+        ("A", "1", 48.0, 24.0, 24.0, 1.0, 24.0, False),
+        ("B", "", 5.0, 0.0, 5.0, None, None, False),
+        ("C", "1", 0.0, 0.0, 0.0, None, None, False),
+        # A missing material meets missing-material demand, but no open orders.
+        (None, "1", 9.0, 0.0, 9.0, 1.0, 9.0, False),
+    ]
+
+
+@pytest.mark.parametrize("weeks", [[], [("100", "A", "1", "never", 5.0)]])
+def test_coverage_without_shipments(spark, rows, coverage_inputs, weeks):
+    stock, orders = coverage_inputs
+    found = metrics.weeks_of_coverage(stock, spark.createDataFrame(weeks, SHIPMENTS), orders)
+    assert rows(found, "awd", "woc", "woc_low_flag") == [(None, None, False)] * 4
+
+
+def test_low_coverage_includes_the_threshold(spark, rows, coverage_inputs):
+    stock, orders = coverage_inputs
+    weeks = spark.createDataFrame([("100", "A", "1", "2024-06-17", 12.0 * 24), ("100", None, "1", "2024-06-17", 24.0 * 5)], SHIPMENTS)
+    found = metrics.weeks_of_coverage(stock, weeks, orders).filter("woc is not null")
+    assert rows(found, "material_number", "woc", "woc_low_flag") == [("A", 2.0, True), (None, 1.8, True)]
+
+
+def test_order_targets(spark, rows):
+    df = spark.createDataFrame([(1, 2.0), (2, 0.0), (3, None)], "i int, backorder_units double")
+    assert rows(targets.order_targets(df), "i", "target_backorder_risk") == [(1, 1), (2, 0), (3, 0)]
+    assert rows(targets.order_targets(df.select("i")), "target_backorder_risk") == [(0,), (0,), (0,)]
+
+
+def test_inventory_targets_use_the_threshold_strictly(spark, rows):
+    stock = spark.createDataFrame([("100", m, None, 1.0) for m in ("a", "b", "c", None)], STOCK)
+    coverage = spark.createDataFrame(
+        [("100", "a", "", 26.0, 1.0), ("100", "b", "", 26.1, 1.0), ("100", "c", None, None, 0.0), ("100", None, "", 30.0, 1.0)],
+        "client_id string, material_number string, plant_code string, woc double, awd double",
+    )
+    found = targets.inventory_targets(stock, coverage)
+    assert rows(found, "material_number", "target_overstock_risk") == [("a", 0), ("b", 1), ("c", 0), (None, 1)]
+
+
+def test_forecast_counts_recorded_weeks_not_calendar_weeks(spark, rows):
+    first = dt.date(2023, 1, 2)
+    gap = [first + dt.timedelta(weeks=i if i < 7 else i + 13) for i in range(14)]
+    data = [("100", "M", "1", str(week), float(i)) for i, week in enumerate(gap)]
+    data += [("100", "M", "1", str(gap[-1]), 1.0), ("100", "N", "1", "2022-01-03", 8.0)]
+    data += [("100", "P", "", "2022-01-03", 8.0), ("100", None, "1", "2022-01-03", 8.0), ("100", "Q", "1", "x", 8.0)]
+    shipments = spark.createDataFrame(data, SHIPMENTS)
+    latest = (sum(range(2, 14)) + 1) / 12
+    assert rows(forecast.demand_forecast(shipments), "material_number", "demand_forecast", "forecast_as_of") == [
+        ("M", latest, gap[-1]),
+        ("N", 8.0, dt.date(2022, 1, 3)),
+    ]
+    rolled = {r.shipment_week: r.roll_mean for r in forecast.rolling_demand(shipments).filter("material_number = 'M'").collect()}
+    assert len(rolled) == 14
+    assert rolled[gap[0]] == 0.0 and rolled[gap[3]] == 1.5 and rolled[gap[-1]] == pytest.approx(latest)
+
+
+def test_excess_stock_over_eight_weeks_of_demand(spark, rows):
+    shapes = [("s1", 0.0, 2 / 3), ("s2", 3379.0, 27.958333333333332), ("s3", 16.0, 2.0), ("s4", 5.0, 0.0), ("s5", 5.0, None)]
+    coverage = spark.createDataFrame(
+        [("100", m, "1", s, a, None) for m, s, a in shapes],
+        "client_id string, material_number string, plant_code string, saleable_inventory double, awd double, woc double",
+    )
+    excess = forecast.excess_inventory(coverage)
+    found = {r.material_number: r.excess_units for r in excess.collect()}
+    assert found == {"s1": 0.0, "s2": pytest.approx(3155.3333333333335), "s3": 0.0}
+    assert rows(forecast.top_excess(excess), "material_number") == [("s2",)]

@@ -1,0 +1,167 @@
+"""Readers, renames, change logs, sinks and the whole pipeline on files."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderwake.plans import pipeline
+from orderwake.sources import (
+    Workspace,
+    read_json_rows,
+    read_optional,
+    read_report,
+    read_table,
+    rename_columns,
+    rename_table,
+    write_json_rows,
+    write_report,
+    write_table,
+)
+
+
+def write(folder, name, text):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+
+
+def test_rename_table():
+    assert [rename_table(n) for n in ("VBAK", "t001w.csv", " Mard ", "zcustom.csv")] == [
+        "sales_order_header",
+        "plant",
+        "material_stock",
+        "zcustom",
+    ]
+
+
+def test_rename_columns_maps_falls_back_and_numbers_repeats(spark):
+    raw = ["MANDT", " werks", "Net  Weight-(KG)", "__x__y", "WAERK", "waers", "lfgia", "gjahr", "äö"]
+    df = spark.createDataFrame([tuple(range(len(raw)))], raw)
+    assert rename_columns(df).columns == [
+        "client_id",
+        "plant_code",
+        "net_weight_kg",
+        "x_y",
+        "currency_code",
+        "currency_code_2",
+        "fiscal_year",
+        "fiscal_year_2",
+        "äö",
+    ]
+
+
+def test_csv_keys_stay_text_and_columns_match_by_name(spark, tmp_path, rows):
+    write(tmp_path, "plant.csv", 'name_line_1,plant_code,client_id,extra\n"Werk ""A"", 1",0001,000,x\n"",0002,100,\n')
+    df = read_table(spark, str(tmp_path), "plant")
+    assert rows(df) == [('Werk "A", 1', "0001", "000", "x"), (None, "0002", "100", None)]
+
+
+def test_csv_values_get_the_declared_types(spark, tmp_path, rows):
+    write(tmp_path, "sales_order_header.csv", "client_id,sales_document_number,net_value,order_date\n1,0051,1e3,20240510\n1,7,bad,2024-05-10 01:02:03+00:00\n")
+    df = read_table(spark, str(tmp_path), "sales_order_header")
+    assert rows(df) == [
+        ("1", "0051", 1000.0, dt.datetime(2024, 5, 10)),
+        ("1", "7", None, dt.datetime(2024, 5, 10, 1, 2, 3)),
+    ]
+
+
+def test_a_missing_table_is_empty_with_the_declared_schema(spark, tmp_path):
+    df = read_optional(spark, str(tmp_path), "vendor_master")
+    assert df.columns == ["client_id", "vendor_number", "name_line_1", "country_code"]
+    assert df.count() == 0
+
+
+def test_ingest_renames_types_and_resolves(spark, tmp_path, rows):
+    raw = "mandt,werks,name1,land1,operation_flag,is_deleted,recordstamp\n"
+    raw += "100,1000,old,DE,L,False,2022-01-31 20:43:36.246882+00:00\n"
+    raw += "100,1000,new,DE,U,False,2022-02-21 10:28:06.821947+00:00\n"
+    raw += "100,2000,gone,US,D,True,2022-02-21 10:28:06.821947+00:00\n"
+    raw += "100,2000,was,US,L,False,2022-01-31 20:43:36.246882+00:00\n"
+    write(tmp_path / "raw", "t001w.csv", raw)
+    stages = pipeline.ingest(spark, str(tmp_path / "raw"), str(tmp_path / "clean"))
+    assert stages.rows == {"plant": 1}
+    clean = read_table(spark, str(tmp_path / "clean"), "plant", "parquet")
+    assert rows(clean, "client_id", "plant_code", "name_line_1", "country_code") == [("100", "1000", "new", "DE")]
+    unresolved = pipeline.ingest(spark, str(tmp_path / "raw"), str(tmp_path / "log"), resolve=False)
+    assert unresolved.rows == {"plant": 4}
+
+
+def test_sinks(spark, tmp_path, rows):
+    df = spark.createDataFrame([("a,\"b\"", 1.5), (None, None)], "t string, n double")
+    assert write_table(df, str(tmp_path / "p")) == 2
+    assert write_table(df.limit(1), str(tmp_path / "p")) == 1
+    write_report(df, str(tmp_path / "r"))
+    assert rows(read_report(spark, str(tmp_path / "r"))) == [("a,\"b\"", "1.5"), (None, None)]
+    write_json_rows(df, str(tmp_path / "j"))
+    assert rows(read_json_rows(spark, str(tmp_path / "j"), df.schema)) == rows(df)
+
+
+def test_workspace_computes_a_table_once(spark):
+    workspace = Workspace(spark, "once")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+
+    assert workspace.table("t", build).count() == workspace.table("t", build).count() == 3
+    assert calls == [1]
+
+
+@pytest.fixture
+def clean_folder(spark, tmp_path):
+    folder = tmp_path / "clean"
+    lines = [f"100,{i},10,M{i % 3},P1,10,{i * 10}" for i in range(1, 31)]
+    write(folder, "sales_order_item.csv", "client_id,sales_document_number,item_number,material_number,plant_code,cumulative_order_quantity,net_value\n" + "\n".join(lines))
+    heads = [f"100,{i},C1,2024-04-0{1 + i % 9}" for i in range(1, 31)]
+    header = "client_id,sales_document_number,customer_number,order_date\n"
+    write(folder, "sales_order_header.csv", header + "\n".join(heads))
+    moved = [f"100,D{i},{4500000000 + i},000010,M{i % 3},P1,{i % 11},{i % 11}" for i in range(1, 21)]
+    write(folder, "delivery_item.csv", "client_id,sales_document_number,reference_document_number,reference_item_number,material_number,plant_code,delivery_quantity,quantity_delivered\n" + "\n".join(moved))
+    issued = [f"100,D{i},2024-03-{10 + i % 15}" for i in range(1, 21)]
+    write(folder, "delivery_header.csv", "client_id,sales_document_number,goods_issue_date\n" + "\n".join(issued))
+    write(folder, "material_stock.csv", "client_id,material_number,plant_code,storage_location,unrestricted_stock\n100,M0,P1,1,3\n100,M1,P1,1,500\n100,M2,,1,\n")
+    write(folder, "material_master.csv", "client_id,material_number,material_type,material_group\n100,M0,FERT,G\n100,M1,ROH,G\n")
+    return str(folder)
+
+
+@pytest.mark.parametrize("target_format", ["parquet", "csv"])
+def test_pipeline_on_csv_files(spark, tmp_path, clean_folder, rows, target_format):
+    target = str(tmp_path / "out")
+    stages = pipeline.run(spark, clean_folder, target, dt.date(2024, 4, 30), target_format=target_format)
+    assert stages.rows == {
+        "master_order_fulfillment": 30,
+        "master_inventory_material": 3,
+        "master_purchase": 0,
+        "master_order_fulfillment_brd": 30,
+        "shipment_history": stages.rows["shipment_history"],
+        "master_woc": 3,
+        "master_order_fulfillment_with_targets": 30,
+        "master_inventory_material_with_targets": 3,
+    }
+    if target_format == "csv":
+        return
+    done = {name: stages.load(name) for name in stages.rows}
+    labelled = done["master_order_fulfillment_with_targets"]
+    assert labelled.filter("backorder_units > outstanding_qty").count() == 0
+    assert labelled.filter("is_open <> (outstanding_qty > 0)").count() == 0
+    moved = labelled.agg(F.sum("total_quantity_delivered")).first()[0]
+    assert done["shipment_history"].agg(F.sum("quantity_shipped")).first()[0] == moved
+
+    pipeline.register_views(done)
+    assert spark.sql("SELECT count(*) FROM order_fulfillment").first()[0] == 30
+
+    reports = pipeline.run_discovery(done, target, dt.date(2024, 4, 30))
+    missing = {r.column_name: r.n_missing for r in read_report(spark, reports["discovery_missing_order"]).collect()}
+    assert missing["billing_status"] == "30"
+    results = pipeline.run_modelling(done, Workspace(spark, f"modelling-{target_format}"), target)
+    metrics = read_json_rows(spark, results["classification_metrics"])
+    assert {r.model for r in metrics.collect()} == {"logistic_regression", "random_forest"}
+    assert read_report(spark, results["classification_feature_importance"]).count() == 8
+    summary = {r.metric: r.value for r in read_json_rows(spark, results["regression_metrics"]).collect()}
+    assert summary["materials_with_forecast"] == 3.0
+
+
+def test_targets_need_their_inputs(spark):
+    with pytest.raises(FileNotFoundError, match="master_woc"):
+        pipeline.build_targets({"master_order_fulfillment_brd": None, "master_inventory_material": None})
