@@ -48,7 +48,12 @@ def category_codes(df: DataFrame, column: str) -> DataFrame:
 def encoded_features(
     targets: DataFrame, keys: Sequence[str] = ORDER_GRAIN, label: str = LABEL, exclude_leaky: bool = False
 ) -> DataFrame:
-    """Keys, features and label: numbers without gaps, categories as alphabetical codes."""
+    """Keys, features and label: numbers without gaps, categories as alphabetical codes.
+
+    A column that the table lacks counts as missing in every row.
+    """
+    absent = [c for c in (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES) if c not in targets.columns]
+    targets = targets.withColumns({c: F.lit(None).cast("string") for c in absent})
     category = {c: F.substring(F.coalesce(F.col(c).cast("string"), F.lit("")), 1, CATEGORY_LENGTH) for c in CATEGORICAL_FEATURES}
     numeric = {c: finite_or_zero(number(targets, c)) for c in NUMERIC_FEATURES}
     rows = targets.filter(F.col(label).isNotNull()).select(

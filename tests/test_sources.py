@@ -113,8 +113,8 @@ def clean_folder(spark, tmp_path):
     folder = tmp_path / "clean"
     lines = [f"100,{i},10,M{i % 3},P1,10,{i * 10}" for i in range(1, 31)]
     write(folder, "sales_order_item.csv", "client_id,sales_document_number,item_number,material_number,plant_code,cumulative_order_quantity,net_value\n" + "\n".join(lines))
-    heads = [f"100,{i},C1,2024-04-0{1 + i % 9}" for i in range(1, 31)]
-    header = "client_id,sales_document_number,customer_number,order_date\n"
+    heads = [f"100,{i},C1,2024-04-0{1 + i % 9}," for i in range(1, 31)]
+    header = "client_id,sales_document_number,customer_number,order_date,requested_delivery_date\n"
     write(folder, "sales_order_header.csv", header + "\n".join(heads))
     moved = [f"100,D{i},{4500000000 + i},000010,M{i % 3},P1,{i % 11},{i % 11}" for i in range(1, 21)]
     write(folder, "delivery_item.csv", "client_id,sales_document_number,reference_document_number,reference_item_number,material_number,plant_code,delivery_quantity,quantity_delivered\n" + "\n".join(moved))
