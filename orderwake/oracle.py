@@ -31,7 +31,7 @@ header AS (
     o_orderdate NULLS LAST, requested_delivery_date NULLS LAST, o_totalprice NULLS LAST, channel NULLS LAST) = 1
 ),
 delivery AS (
-  SELECT '100' AS client_id, (l_orderkey * 10 + l_linenumber)::VARCHAR AS number,
+  SELECT '100' AS client_id, concat_ws('/', l_orderkey, l_linenumber) AS number,
     l_orderkey + 4500000000 AS reference, l_linenumber AS item, l_partkey::VARCHAR AS material_number,
     n_regionkey::VARCHAR AS plant_code, l_quantity AS delivery_quantity,
     CASE WHEN l_returnflag = 'R' THEN l_quantity / 2 ELSE l_quantity END AS quantity_delivered,

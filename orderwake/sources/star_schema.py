@@ -243,4 +243,4 @@ def _missing(name: str) -> Column:
 
 
 def _delivery_number() -> Column:
-    return (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("sales_document_number")
+    return F.concat_ws("/", "l_orderkey", "l_linenumber").alias("sales_document_number")
