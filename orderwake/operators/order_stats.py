@@ -1,9 +1,11 @@
 """Exact, linearly interpolated quantiles of several columns without sorting the table.
 
-1. A sketch gives, per column, a narrow bracket of values around each wanted rank.
-2. One pass counts how many values lie below each bracket edge. The counts are exact, so the
-   interval that holds a wanted rank is known for certain, however good the sketch was.
-3. Only values inside those intervals are grouped (value, count), ordered and ranked.
+1. A sketch gives, per column, a narrow bracket of values around each wanted rank. The bracket edges
+   cut the column into pieces: below the first edge, equal to it, up to the next edge, and so on.
+2. One pass counts the values per piece. The counts are exact, so the piece that holds a wanted rank
+   is known for certain, however good the sketch was. If that piece is an edge, so is the value.
+3. Only values strictly between two edges with a wanted rank between them are grouped (value, count),
+   ordered and ranked.
 
 Steps 1 and 2 bring a few numbers per column and probability to the driver. Nothing but step 3
 moves rows, and it moves about 4/accuracy of them per quantile, equal values already merged.
@@ -13,14 +15,17 @@ The table is scanned three times, so it should be a written one.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import number
 
-WANTED = "column_name string, piece int, below bigint, rank bigint, probability double, upper_end boolean, fraction double"
+Edges = dict[str, list[float]]
+
+FOUND = "column_name string, probability double, upper_end boolean, fraction double, value double"
+OPEN = "column_name string, piece int, place bigint, probability double, upper_end boolean, fraction double"
 
 
 def quantiles(
@@ -37,22 +42,11 @@ def quantiles(
     measured = df.select(*(number(df, c).alias(c) for c in columns))
     accuracy = accuracy or min(max(df.count() // 100, 1_000), 100_000)
     edges = _bracket_edges(measured, probabilities, accuracy)
-    counts = _counts_below(measured, edges)
-    wanted = [rank for c in columns for rank in _wanted_ranks(c, counts[c], probabilities)]
-    pieces = sorted({(c, piece) for c, piece, *_ in wanted})
-
-    inside = F.array_compact(F.array(*(_value_in_piece(c, piece, edges[c]) for c, piece in pieces)))
-    hits = measured.select(F.explode(inside).alias("hit")).select("hit.*") if pieces else _no_hits(df)
-    counted = hits.groupBy("column_name", "piece", "value").agg(F.count(F.lit(1)).alias("n"))
-    up_to = Window.partitionBy("column_name", "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("up_to", F.sum("n").over(up_to))
+    known, still_open = _locate(_piece_counts(measured, edges), edges, probabilities)
 
-    # Two rows per column and probability: the broadcast is bounded by the request.
-    requests = F.broadcast(df.sparkSession.createDataFrame(wanted, WANTED))
-    place = F.col("rank") - F.col("below")
-    found = ranked.join(requests, ["column_name", "piece"]).filter(
-        (place < F.col("up_to")) & (place >= F.col("up_to") - F.col("n"))
-    )
+    found = df.sparkSession.createDataFrame(known, FOUND)
+    if still_open:
+        found = found.unionByName(_ranked_values(measured, edges, still_open).select(*found.columns))
     ends = found.groupBy("column_name", "probability").agg(
         F.max(F.when(~F.col("upper_end"), F.col("value"))).alias("low"),
         F.max(F.when(F.col("upper_end"), F.col("value"))).alias("high"),
@@ -62,54 +56,72 @@ def quantiles(
     return ends.select("column_name", "probability", value.alias("value"))
 
 
-def _bracket_edges(measured: DataFrame, probabilities: Sequence[float], accuracy: int) -> dict[str, list[float]]:
+def _bracket_edges(measured: DataFrame, probabilities: Sequence[float], accuracy: int) -> Edges:
     around = sorted({min(max(p + side * 2.0 / accuracy, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
     row = measured.agg(*(F.percentile_approx(c, around, accuracy).alias(c) for c in measured.columns)).first()
     return {c: sorted(set(row[c] or [])) for c in measured.columns}
 
 
-def _counts_below(measured: DataFrame, edges: dict[str, list[float]]) -> dict[str, list[int]]:
-    """Per column: the number of values below each edge, and of all values."""
-    wanted = [(c, edge) for c in measured.columns for edge in (*edges[c], None)]
-    row = measured.agg(
-        *(
-            (F.count(c) if edge is None else F.count_if(F.col(c) < F.lit(edge))).alias(f"_{i}")
-            for i, (c, edge) in enumerate(wanted)
-        )
-    ).first()
-    counts: dict[str, list[int]] = {c: [] for c in measured.columns}
-    for (c, _), n in zip(wanted, row):
-        counts[c].append(n)
-    return counts
-
-
-def _wanted_ranks(column: str, below: Sequence[int], probabilities: Sequence[float]) -> list[tuple]:
-    """Both neighbours of each position p * (n - 1), counted from zero, and the piece they fall into.
-
-    Piece k holds the values from edge k - 1 up to, but without, edge k.
-    """
-    *starts, n = [0, *below]
-    if n == 0:
-        return []
-    ranks = []
-    for p in probabilities:
-        position = p * (n - 1)
-        for upper_end, rank in ((False, math.floor(position)), (True, math.ceil(position))):
-            piece = max(k for k, start in enumerate(starts) if start <= rank)
-            ranks.append((column, piece, starts[piece], rank, float(p), upper_end, position - math.floor(position)))
-    return ranks
-
-
-def _value_in_piece(column: str, piece: int, edges: Sequence[float]):
+def _piece(column: str, edges: Sequence[float]) -> Column:
+    """2k for values below edge k and above the one before, 2k + 1 for values equal to edge k."""
     value = F.col(column)
-    inside = value.isNotNull()
-    if piece > 0:
-        inside &= value >= F.lit(edges[piece - 1])
-    if piece < len(edges):
-        inside &= value < F.lit(edges[piece])
-    hit = F.struct(F.lit(column).alias("column_name"), F.lit(piece).alias("piece"), value.alias("value"))
-    return F.when(inside, hit)
+    piece = F.when(value.isNull(), F.lit(None))
+    for k, edge in enumerate(edges):
+        piece = piece.when(value < F.lit(edge), 2 * k).when(value == F.lit(edge), 2 * k + 1)
+    return piece.otherwise(2 * len(edges)).cast("int")
+
+
+def _in_pieces(measured: DataFrame, edges: Edges, only: Collection[tuple[str, int]] | None = None) -> DataFrame:
+    """(column_name, piece, value) of the values in the listed pieces, or in any."""
+    places = []
+    for c in measured.columns:
+        piece = _piece(c, edges[c])
+        if only is not None:
+            listed = [k for name, k in only if name == c]
+            if not listed:
+                continue
+            piece = F.when(piece.isin(listed), piece)
+        places.append(F.struct(F.lit(c).alias("column_name"), piece.alias("piece"), F.col(c).alias("value")))
+    rows = measured.select(F.explode(F.array(*places)).alias("at"))
+    return rows.filter("at.piece is not null").select("at.*")
+
+
+def _piece_counts(measured: DataFrame, edges: Edges) -> dict[str, dict[int, int]]:
+    counts: dict[str, dict[int, int]] = {c: {} for c in measured.columns}
+    counted = _in_pieces(measured, edges).groupBy("column_name", "piece").agg(F.count(F.lit(1)).alias("n"))
+    for row in counted.collect():  # at most 4 pieces per column and probability
+        counts[row["column_name"]][row["piece"]] = row["n"]
+    return counts
 
 
-def _no_hits(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], "column_name string, piece int, value double")
+def _locate(
+    counts: dict[str, dict[int, int]], edges: Edges, probabilities: Sequence[float]
+) -> tuple[list[tuple], list[tuple]]:
+    """Both neighbours of each position p * (n - 1): those that are an edge, and those between edges."""
+    known, still_open = [], []
+    for column, pieces in counts.items():
+        total = sum(pieces.values())
+        for p in probabilities if total else ():
+            position = p * (total - 1)
+            fraction = position - math.floor(position)
+            for upper_end, place in ((False, math.floor(position)), (True, math.ceil(position))):
+                for piece in sorted(pieces):
+                    if place < pieces[piece]:
+                        break
+                    place -= pieces[piece]
+                if piece % 2:
+                    known.append((column, float(p), upper_end, fraction, edges[column][piece // 2]))
+                else:
+                    still_open.append((column, piece, place, float(p), upper_end, fraction))
+    return known, still_open
+
+
+def _ranked_values(measured: DataFrame, edges: Edges, still_open: list[tuple]) -> DataFrame:
+    values = _in_pieces(measured, edges, {(column, piece) for column, piece, *_ in still_open})
+    counted = values.groupBy("column_name", "piece", "value").agg(F.count(F.lit(1)).alias("n"))
+    up_to = Window.partitionBy("column_name", "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("up_to", F.sum("n").over(up_to))
+    # Two rows per column and probability: the broadcast is bounded by the request.
+    requests = F.broadcast(measured.sparkSession.createDataFrame(still_open, OPEN))
+    hit = (F.col("place") < F.col("up_to")) & (F.col("place") >= F.col("up_to") - F.col("n"))
+    return ranked.join(requests, ["column_name", "piece"]).filter(hit)
