@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Collection, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import number
@@ -62,28 +64,26 @@ def _bracket_edges(measured: DataFrame, probabilities: Sequence[float], accuracy
     return {c: sorted(set(row[c] or [])) for c in measured.columns}
 
 
-def _piece(column: str, edges: Sequence[float]) -> Column:
-    """2k for values below edge k and above the one before, 2k + 1 for values equal to edge k."""
-    value = F.col(column)
-    piece = F.when(value.isNull(), F.lit(None))
-    for k, edge in enumerate(edges):
-        piece = piece.when(value < F.lit(edge), 2 * k).when(value == F.lit(edge), 2 * k + 1)
-    return piece.otherwise(2 * len(edges)).cast("int")
-
-
 def _in_pieces(measured: DataFrame, edges: Edges, only: Collection[tuple[str, int]] | None = None) -> DataFrame:
-    """(column_name, piece, value) of the values in the listed pieces, or in any."""
-    places = []
-    for c in measured.columns:
-        piece = _piece(c, edges[c])
-        if only is not None:
-            listed = [k for name, k in only if name == c]
-            if not listed:
-                continue
-            piece = F.when(piece.isin(listed), piece)
-        places.append(F.struct(F.lit(c).alias("column_name"), piece.alias("piece"), F.col(c).alias("value")))
-    rows = measured.select(F.explode(F.array(*places)).alias("at"))
-    return rows.filter("at.piece is not null").select("at.*")
+    """(column_name, piece, value) of the values in the listed pieces, or in any.
+
+    Piece 2k holds the values below edge k and above the one before, 2k + 1 those equal to edge k.
+    The edges are looked up in an array: one comparison per edge written out as code would make
+    methods that the JVM refuses to compile.
+    """
+    names = [c for c in measured.columns if edges[c] and (only is None or any(c == name for name, _ in only))]
+    if not names:
+        return measured.sparkSession.createDataFrame([], "column_name string, piece int, value double")
+    pairs = (F.struct(F.lit(i).alias("column"), F.col(c).alias("value")) for i, c in enumerate(names))
+    values = measured.select(F.explode(F.array(*pairs)).alias("at")).select("at.*").filter("value is not null")
+    own_edges = F.get(F.array(*(F.array(*map(F.lit, edges[c])) for c in names)), F.col("column"))
+    below = F.size(F.filter(own_edges, lambda edge: edge < F.col("value")))
+    placed = values.withColumn("piece", 2 * below + F.array_contains(own_edges, F.col("value")).cast("int"))
+    if only is not None:
+        listed = [(names.index(name), piece) for name, piece in only]
+        placed = placed.filter(reduce(or_, ((F.col("column") == i) & (F.col("piece") == k) for i, k in listed)))
+    name = F.get(F.array(*map(F.lit, names)), F.col("column"))
+    return placed.select(name.alias("column_name"), "piece", "value")
 
 
 def _piece_counts(measured: DataFrame, edges: Edges) -> dict[str, dict[int, int]]:

@@ -46,8 +46,9 @@ def running_totals(
         *(F.coalesce(F.sum(f"_all_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}") for name in totals),
     )
     so_far = Window.partitionBy(bucket).orderBy(direction(order_by)).rowsBetween(Window.unboundedPreceding, 0)
-    # One row per bucket: the broadcast is bounded by the number of buckets.
-    placed = df.join(F.broadcast(offsets), F.col(bucket) == F.col("_offset_bucket"))
+    # Not hinted: if the offsets are too many to broadcast, the join shuffles by bucket, which the
+    # window needs anyway.
+    placed = df.join(offsets, F.col(bucket) == F.col("_offset_bucket"))
     for name, source in totals.items():
         placed = placed.withColumn(name, F.sum(source).over(so_far) + F.col(f"_before_{name}"))
     return placed.drop("_offset_bucket", bucket, *(f"_before_{name}" for name in totals))
