@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import canonical_document, canonical_item, number, sum_or_zero, text_key
@@ -159,37 +159,40 @@ def billing_totals(billing_item: DataFrame) -> DataFrame:
     )
 
 
+def _first_known(df: DataFrame, column: str, order_by: Sequence[str]) -> Column:
+    """The first known value of a column in a group, in the order of those columns that exist."""
+    order_by = [c for c in order_by if c in df.columns]
+    if not order_by:
+        return F.min(column).alias(column)
+    ranked = F.struct(*order_by, F.col(column))
+    return F.min(F.when(F.col(column).isNotNull(), ranked))[column].alias(column)
+
+
 def schedule_totals(schedule: DataFrame) -> DataFrame:
     """Per order item: the first known requested date and the quantities of all schedule lines.
 
     First means in the order of schedule line number, record timestamp and date, as far as present.
     """
     keyed = with_text_keys(schedule, ORDER_GRAIN)
-    date = F.col("requested_delivery_date_schedule")
-    ranked = F.struct(*(c for c in ("schedule_line_number", RECORD_TIMESTAMP) if c in keyed.columns), date)
     return keyed.groupBy(*ORDER_GRAIN).agg(
-        F.min(F.when(date.isNotNull(), ranked))["requested_delivery_date_schedule"].alias(
-            "requested_delivery_date_schedule"
-        ),
+        _first_known(keyed, "requested_delivery_date_schedule", ["schedule_line_number", RECORD_TIMESTAMP]),
         sum_or_zero(number(keyed, "requested_quantity")).alias("total_requested_quantity"),
         sum_or_zero(number(keyed, "confirmed_quantity")).alias("total_confirmed_quantity"),
     )
 
 
-def first_description(description: DataFrame) -> DataFrame:
+def first_description(description: DataFrame, text_keys: bool = False) -> DataFrame:
     """First known text per material, by language, record timestamp and text, as far as present."""
-    text = F.col("material_description_text")
-    ranked = F.struct(*(c for c in ("language_code", RECORD_TIMESTAMP) if c in description.columns), text)
-    return (
-        description.na.drop(subset=MATERIAL)
-        .groupBy(*MATERIAL)
-        .agg(F.min(F.when(text.isNotNull(), ranked))["material_description_text"].alias("material_description_text"))
-    )
+    known = description.na.drop(subset=MATERIAL)
+    known = with_text_keys(known, MATERIAL) if text_keys else known
+    text = _first_known(known, "material_description_text", ["language_code", RECORD_TIMESTAMP])
+    return known.groupBy(*MATERIAL).agg(text)
 
 
-def materials(material_master: DataFrame) -> DataFrame:
+def materials(material_master: DataFrame, text_keys: bool = False) -> DataFrame:
     """Attributes per material, one row per (client, material)."""
-    return _one_per_key(_with_timestamp(material_master, [*MATERIAL, *MATERIAL_ATTRIBUTES]), MATERIAL)
+    listed = _with_timestamp(material_master, [*MATERIAL, *MATERIAL_ATTRIBUTES])
+    return _one_per_key(with_text_keys(listed, MATERIAL) if text_keys else listed, MATERIAL)
 
 
 def _with_customer(header: DataFrame, customer: DataFrame) -> DataFrame:
@@ -222,8 +225,10 @@ def order_fulfillment(tables: Tables) -> DataFrame:
     moved = [delivery_totals(tables["delivery_item"]), billing_totals(tables["billing_document_item"])]
     items = lookup_join(items, moved, REFERENCE, hot["reference"], ORDER_GRAIN)
 
-    described = [materials(tables["material_master"]), first_description(tables["material_description"])]
-    described = [_one_per_key(with_text_keys(d, MATERIAL), MATERIAL) for d in described]
+    described = [
+        materials(tables["material_master"], text_keys=True),
+        first_description(tables["material_description"], text_keys=True),
+    ]
     items = lookup_join(items, described, MATERIAL, hot["material"], ORDER_GRAIN)
     return existing(items, ORDER_COLUMNS)
 

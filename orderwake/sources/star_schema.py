@@ -72,11 +72,11 @@ class StarSchema:
         )
         lines = lookup_join(lines, orders, ["l_orderkey"], hot["order"], LINE_KEY)
         lines = lookup_join(lines, regions, ["l_suppkey"], hot["supplier"], LINE_KEY)
-        return lines.drop("l_tax")
+        return lines.drop("l_tax").withColumn("client_id", F.lit(CLIENT))
 
-    def _line_keys(self) -> list[Column]:
+    def _line_keys(self) -> list[Column | str]:
         return [
-            _client(),
+            "client_id",
             _text("l_orderkey").alias("sales_document_number"),
             _text("l_linenumber").alias("item_number"),
         ]
@@ -121,7 +121,7 @@ class StarSchema:
 
     def _delivery_item(self) -> DataFrame:
         return self._shipped().select(
-            _client(),
+            "client_id",
             _delivery_number(),
             _text("l_linenumber").alias("item_number"),
             (F.col("l_orderkey") + REFERENCE_OFFSET).cast("string").alias("reference_document_number"),
@@ -135,14 +135,14 @@ class StarSchema:
         )
 
     def _delivery_header(self) -> DataFrame:
-        return self._shipped().select(_client(), _delivery_number(), F.col("l_shipdate").alias("goods_issue_date"))
+        return self._shipped().select("client_id", _delivery_number(), F.col("l_shipdate").alias("goods_issue_date"))
 
     def _billing_document_item(self) -> DataFrame:
         return (
             self.lines()
             .filter("l_returnflag <> 'N'")
             .select(
-                _client(),
+                "client_id",
                 _text("l_orderkey").alias("aubel"),
                 _text("l_linenumber").alias("aupos"),
                 F.col("l_quantity").alias("billed_quantity"),
@@ -207,11 +207,11 @@ class StarSchema:
         return lookup_join(partners, nations, ["n_nationkey"]).drop("n_nationkey")
 
     def _purchase_order_header(self) -> DataFrame:
-        per_order = self.lines().groupBy("l_orderkey").agg(
+        per_order = self.lines().groupBy("client_id", "l_orderkey").agg(
             F.min("l_suppkey").alias("l_suppkey"), F.min("o_orderdate").alias("o_orderdate")
         )
         return per_order.select(
-            _client(),
+            "client_id",
             _text("l_orderkey").alias("purchase_order_number"),
             _text("l_suppkey").alias("vendor_number"),
             F.col("o_orderdate").alias("purchasing_document_date"),
@@ -219,7 +219,7 @@ class StarSchema:
 
     def _purchase_order_item(self) -> DataFrame:
         return self.lines().select(
-            _client(),
+            "client_id",
             _text("l_orderkey").alias("purchase_order_number"),
             _text("l_linenumber").alias("purchase_order_item_number"),
             _text("l_partkey").alias("material_number"),
