@@ -13,12 +13,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def numeric_buckets(df: DataFrame, column: str, bucket: str = "_bucket", buckets: int = 1024) -> DataFrame:
+LEAST_BUCKETS = 256
+
+
+def numeric_buckets(df: DataFrame, column: str, bucket: str = "_bucket", buckets: int | None = None) -> DataFrame:
     """Add a bucket number that grows with `column`, cut at approximate quantiles.
 
-    The cut points (at most `buckets` numbers) are fetched once, so every use of the returned frame
-    sees the same cuts even if a task is run again.
+    By default there are at least as many buckets as shuffle partitions. The cut points are fetched
+    once, so every use of the returned frame sees the same cuts even if a task is run again.
     """
+    buckets = buckets or max(LEAST_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     wanted = [i / buckets for i in range(1, buckets)]
     found = df.agg(F.percentile_approx(column, wanted, 10 * buckets).alias("cuts")).first()["cuts"] or []
     cuts = [float("-inf"), *sorted(set(found)), float("inf")]

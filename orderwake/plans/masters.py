@@ -195,14 +195,15 @@ def materials(material_master: DataFrame, text_keys: bool = False) -> DataFrame:
     return _one_per_key(with_text_keys(listed, MATERIAL) if text_keys else listed, MATERIAL)
 
 
-def _with_customer(header: DataFrame, customer: DataFrame) -> DataFrame:
-    """Order headers with the customer's name and country; headers are far fewer than lines."""
+def _headers(header: DataFrame, customer: DataFrame) -> DataFrame:
+    """One row per order with the customer's name and country; headers are far fewer than lines."""
     key = ["client_id", "customer_number"]
-    named = _with_timestamp(customer, [*key, "country_code", "name_line_1"]).withColumnRenamed(
-        "name_line_1", "customer_name"
-    )
+    header = with_text_keys(_with_timestamp(header, [*DOCUMENT, *HEADER_ATTRIBUTES]), DOCUMENT)
     hot = hot_keys(header, customer=key)["customer"]
-    return lookup_join(header, _one_per_key(with_text_keys(named, key), key), key, hot, DOCUMENT)
+    header = _one_per_key(header, DOCUMENT).withColumnRenamed("net_value", "order_header_net_value")
+    named = _with_timestamp(customer, [*key, "country_code", "name_line_1"])
+    named = with_text_keys(named.withColumnRenamed("name_line_1", "customer_name"), key)
+    return lookup_join(header, _one_per_key(named, key), key, hot, DOCUMENT)
 
 
 def order_fulfillment(tables: Tables) -> DataFrame:
@@ -217,9 +218,7 @@ def order_fulfillment(tables: Tables) -> DataFrame:
     items = lookup_join(items, schedule_totals(tables["sales_order_schedule_line"]), ORDER_GRAIN)
     items = lookup_join(items, _one_per_key(with_text_keys(status, ORDER_GRAIN), ORDER_GRAIN), ORDER_GRAIN)
 
-    header = _with_timestamp(tables["sales_order_header"], [*DOCUMENT, *HEADER_ATTRIBUTES])
-    header = _one_per_key(with_text_keys(header, DOCUMENT), DOCUMENT)
-    header = _with_customer(header.withColumnRenamed("net_value", "order_header_net_value"), tables["customer_master"])
+    header = _headers(tables["sales_order_header"], tables["customer_master"])
     items = lookup_join(items, header, DOCUMENT, hot["document"], ORDER_GRAIN)
 
     moved = [delivery_totals(tables["delivery_item"]), billing_totals(tables["billing_document_item"])]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orderwake.operators import latest_image
+from orderwake.operators import hot_keys, latest_image
 from orderwake.plans import masters
 from orderwake.sources.catalog import CLEAN_TABLES
 
@@ -176,3 +176,37 @@ def test_result_does_not_depend_on_partitions_or_row_order(spark, tables, rows):
         assert rows(masters.order_fulfillment(tables)) == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_hot_documents_materials_and_customers_change_nothing(tables, rows, monkeypatch):
+    """A third of the lines in one order, a third with one material, a third of the orders from one customer."""
+    lines = [
+        item("1" if i % 3 == 0 else str(i // 4), str(i), "HOT" if i % 3 == 1 else f"M{i % 50}", cumulative_order_quantity=float(i))
+        for i in range(3000)
+    ]
+    tables.fill("sales_order_item", *lines, *lines[:900])
+    headers = [
+        dict(client_id="100", sales_document_number=str(i), customer_number="C0" if i % 3 else f"C{i % 9}") for i in range(750)
+    ]
+    tables.fill("sales_order_header", *headers)
+    tables.fill("customer_master", *(dict(client_id="100", customer_number=f"C{i}", name_line_1=f"n{i}") for i in range(9)))
+    tables.fill("material_master", *(dict(client_id="100", material_number=m, material_type=m) for m in ("HOT", "M1", "M2")))
+    moved = [
+        dict(client_id="100", reference_document_number=str(4500000000 + i % 500), reference_item_number=str(i), quantity_delivered=1.0)
+        for i in range(2000)
+    ]
+    tables.fill("delivery_item", *moved)
+
+    spread = []
+
+    def look_at_everything(df, **keys):
+        found = hot_keys(df, looked_at=1.0, **keys)
+        spread.extend(name for name, hot in found.items() if hot)
+        return found
+
+    monkeypatch.setattr(masters, "hot_keys", look_at_everything)
+    with_hot_keys = rows(masters.order_fulfillment(tables))
+    assert set(spread) == {"document", "material", "customer"}
+    monkeypatch.setattr(masters, "hot_keys", lambda df, **keys: {name: {} for name in keys})
+    assert with_hot_keys == rows(masters.order_fulfillment(tables))
+    assert len(with_hot_keys) == 3000

@@ -135,7 +135,7 @@ def test_quantiles_of_nothing(spark):
     assert quantiles(df, ["x"], [0.5]).collect() == []
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 1024])
+@pytest.mark.parametrize("buckets", [2, 7, None])
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals_do_not_depend_on_the_buckets(spark, buckets, descending):
     data = [(float(i * i % 997), i % 4) for i in range(997)]
