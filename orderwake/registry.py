@@ -67,8 +67,7 @@ class Dataset:
 
     def build_features(self) -> DataFrame:
         keys = [*masters.ORDER_GRAIN, "material_number", "plant_code", "backorder_units"]
-        encoded = features.encoded_features(self.targets(), keys)
-        return self.workspace.table("encoded", lambda: encoded)
+        return self.workspace.table("encoded", lambda: features.encoded_features(self.targets(), keys))
 
     def build_split(self) -> DataFrame:
         return features.stratified_split(self.build_features())

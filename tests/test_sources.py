@@ -14,6 +14,7 @@ from orderwake.sources import (
     read_table,
     rename_columns,
     rename_table,
+    resolve_change_log,
     write_json_rows,
     write_report,
     write_table,
@@ -86,6 +87,12 @@ def test_ingest_renames_types_and_resolves(spark, tmp_path, rows):
     assert unresolved.rows == {"plant": 4}
 
 
+def test_a_log_without_its_full_key_is_not_resolved(spark):
+    df = spark.createDataFrame([("100", "2022-01-01"), ("100", "bad")], "client_id string, record_timestamp string")
+    assert resolve_change_log(df, ["client_id", "plant_code"]).count() == 2
+    assert resolve_change_log(df, ["client_id"]).count() == 1
+
+
 def test_sinks(spark, tmp_path, rows):
     df = spark.createDataFrame([("a,\"b\"", 1.5), (None, None)], "t string, n double")
     assert write_table(df, str(tmp_path / "p")) == 2
