@@ -162,22 +162,24 @@ def run_discovery(stages: Tables, target: str, today: dt.date) -> dict[str, str]
 def run_modelling(stages: Tables, workspace: Workspace, target: str) -> dict[str, str]:
     """Train and evaluate the classifiers, forecast demand, size excess stock.
 
-    Writes models, metrics (JSON) and reports (CSV) below `target`; returns name -> path. The
-    feature table is written to the workspace, since every fit scans it many times.
+    Writes models, metrics (JSON) and reports (CSV) below `target`; returns name -> path. Features and
+    scored rows are written to the workspace, since fits and evaluations scan them many times.
     """
     encoded = workspace.table("encoded", lambda: encoded_features(stages["master_order_fulfillment_with_targets"]))
     data = workspace.table("split", lambda: stratified_split(encoded))
     names = feature_names()
-    logistic, logistic_rows = models.logistic_backorder(data, names)
-    forest, forest_rows = models.forest_backorder(data, names)
+    logistic, logistic_scored = models.logistic_backorder(data, names)
+    forest, forest_scored = models.forest_backorder(data, names)
+    logistic_scored = workspace.table("logistic_scored", lambda df=logistic_scored: df)
+    forest_scored = workspace.table("forest_scored", lambda df=forest_scored: df)
     fitted = {"backorder_logistic": logistic, "backorder_random_forest": forest}
     paths = {name: f"{target}/models/{name}" for name in fitted}
     for name, model in fitted.items():
         model.write().overwrite().save(paths[name])
 
     paths["classification_metrics"] = f"{target}/models/classification_metrics"
-    scores = evaluate.classification_metrics(logistic_rows, "logistic_regression").unionByName(
-        evaluate.classification_metrics(forest_rows, "random_forest")
+    scores = evaluate.classification_metrics(logistic_scored, "logistic_regression").unionByName(
+        evaluate.classification_metrics(forest_scored, "random_forest")
     )
     write_json_rows(scores, paths["classification_metrics"])
 

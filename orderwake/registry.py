@@ -9,7 +9,9 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +48,7 @@ class Dataset:
         self.spark = spark
         self.workspace = Workspace(spark, hashlib.md5(folder.encode()).hexdigest()[:12])
         self.clean = StarSchema(spark, folder, self.workspace)
+        self._models: dict[str, PipelineModel] = {}
 
     def build_orders(self) -> DataFrame:
         return masters.order_fulfillment(self.clean.tables(*ORDER_INPUTS))
@@ -96,6 +99,17 @@ class Dataset:
     def targets(self) -> DataFrame:
         return targets.order_targets(self.metrics())
 
+    def fitted(self, name: str, fit: Callable) -> tuple[PipelineModel, DataFrame]:
+        """A model on the training rows, fitted once, and its scored test rows, written once.
+
+        Evaluation reads the scored rows several times; scoring them again each time costs more.
+        """
+        if name not in self._models:
+            model, scored = fit(self.split(), features.feature_names())
+            self._models[name] = model
+            self.workspace.table(f"{name}_scored", lambda: scored)
+        return self._models[name], self.workspace.table(f"{name}_scored")
+
     def scored(self) -> DataFrame:
         """Deterministic classifier: the outstanding quantity is the score."""
         return self.targets().select(
@@ -436,23 +450,22 @@ def best_threshold(d: Dataset) -> DataFrame:
 
 
 def backorder_logistic(d: Dataset) -> DataFrame:
-    _, scored = models.logistic_backorder(d.split(), features.feature_names())
+    _, scored = d.fitted("logistic_regression", models.logistic_backorder)
     return evaluate.classification_metrics(scored, "logistic_regression")
 
 
 def backorder_forest(d: Dataset) -> DataFrame:
-    _, scored = models.forest_backorder(d.split(), features.feature_names())
+    _, scored = d.fitted("random_forest", models.forest_backorder)
     return evaluate.classification_metrics(scored, "random_forest")
 
 
 def forest_importance(d: Dataset) -> DataFrame:
-    names = features.feature_names()
-    model, _ = models.forest_backorder(d.split(), names)
-    return models.feature_importance(model, d.split(), names)
+    model, scored = d.fitted("random_forest", models.forest_backorder)
+    return models.feature_importance(model, scored, features.feature_names())
 
 
 def backorder_gbt(d: Dataset) -> DataFrame:
-    _, scored = models.gbt_backorder(d.split(), features.feature_names())
+    _, scored = d.fitted("gradient_boosted_trees", models.gbt_backorder)
     return evaluate.classification_metrics(scored, "gradient_boosted_trees")
 
 
@@ -472,12 +485,12 @@ def magnitude_gbt(d: Dataset) -> DataFrame:
 
 
 def model_comparison(d: Dataset) -> DataFrame:
-    heuristic = evaluate.classification_metrics(d.scored(), "outstanding_quantity")
-    return evaluate.model_comparison(backorder_logistic(d).unionByName(heuristic))
+    compared = (backorder_logistic(d), backorder_forest(d), backorder_gbt(d))
+    return evaluate.model_comparison(reduce(DataFrame.unionByName, compared))
 
 
 def at_risk_report(d: Dataset) -> DataFrame:
-    _, scored = models.logistic_backorder(d.split(), features.feature_names())
+    _, scored = d.fitted("logistic_regression", models.logistic_backorder)
     return models.at_risk_report(scored, d.coverage())
 
 

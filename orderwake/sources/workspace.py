@@ -44,10 +44,13 @@ class Workspace:
         self._schemas: dict[str, StructType] = {}
         self._lock = threading.RLock()
 
-    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def table(self, name: str, build: Callable[[], DataFrame] | None = None) -> DataFrame:
+        """The named table; built and written first if this workspace has not done so."""
         path = f"{self.folder}/{name}"
         with self._lock:
             if name not in self._schemas:
+                if build is None:
+                    raise KeyError(f"no table {name} in this workspace")
                 df = build()
                 df.write.mode("overwrite").parquet(path)
                 self._schemas[name] = df.schema
