@@ -341,7 +341,7 @@ def _missing(table: str, names: list[str]) -> str:
 
 
 def _described(column: str, table: str, name: str | None = None, skew: bool = False) -> str:
-    tail = f", round(skewness({column}), 3) AS skew" if skew else ""
+    tail = f", round(skewness({column}), 3) + 0.0 AS skew" if skew else ""
     return f"""SELECT '{name or column}' AS column_name, count({column}) AS n, round(avg({column}), 3) AS mean,
       round(stddev_samp({column}), 3) AS std, round(min({column}), 6)::DOUBLE AS min,
       round(quantile_cont({column}::DOUBLE, 0.25), 6) AS p25, round(quantile_cont({column}::DOUBLE, 0.5), 6) AS p50,
@@ -369,7 +369,7 @@ def _winsorized() -> str:
 def _correlations() -> str:
     names = [*FEATURES[:6], "target_backorder_risk"]
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS left_column, '{b}' AS right_column, round(corr({a}, {b}), 6) AS correlation FROM targets"
+        f"SELECT '{a}' AS left_column, '{b}' AS right_column, round(corr({a}, {b}), 6) + 0.0 AS correlation FROM targets"
         for i, a in enumerate(names)
         for b in names[i + 1 :]
     )
@@ -378,7 +378,7 @@ def _correlations() -> str:
 def _scaled() -> str:
     scaled = ", ".join(
         f"""round(({c} - (SELECT avg({c}) FROM split WHERE NOT is_test)) / (SELECT CASE WHEN stddev_pop({c}) > 0
-          THEN stddev_pop({c}) ELSE 1 END FROM split WHERE NOT is_test), 5) AS {c}"""
+          THEN stddev_pop({c}) ELSE 1 END FROM split WHERE NOT is_test), 5) + 0.0 AS {c}"""
         for c in FEATURES
     )
     return f"SELECT {GRAIN}, {scaled} FROM split"

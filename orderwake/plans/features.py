@@ -118,6 +118,15 @@ def _class_quotas(classes: DataFrame, test_share: float) -> DataFrame:
     return shares.select("_class", (F.col("whole") + extra).alias("quota"))
 
 
+def in_stable_order(df: DataFrame, keys: Sequence[str] = ORDER_GRAIN) -> DataFrame:
+    """The same rows in the same partitions and order on every run, so that seeded fits repeat.
+
+    Trees draw their samples by partition number and row position; a written table keeps both.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Balanced weights n / (k * n_c); one row per class."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -15,7 +15,7 @@ from ..sources.catalog import CLEAN_TABLES
 from ..sources.ingest import clean_table
 from ..sources.names import TABLE_NAMES
 from . import evaluate, forecast, models, quality
-from .features import encoded_features, feature_names, stratified_split
+from .features import encoded_features, feature_names, in_stable_order, stratified_split
 from .masters import Tables, inventory_material, order_fulfillment, purchase
 from .metrics import order_backorder_metrics, shipment_history, weeks_of_coverage
 from .targets import OVERSTOCK_WEEKS, inventory_targets, order_targets
@@ -166,7 +166,7 @@ def run_modelling(stages: Tables, workspace: Workspace, target: str) -> dict[str
     scored rows are written to the workspace, since fits and evaluations scan them many times.
     """
     encoded = workspace.table("encoded", lambda: encoded_features(stages["master_order_fulfillment_with_targets"]))
-    data = workspace.table("split", lambda: stratified_split(encoded))
+    data = workspace.table("split", lambda: in_stable_order(stratified_split(encoded)))
     names = feature_names()
     logistic, logistic_scored = models.logistic_backorder(data, names)
     forest, forest_scored = models.forest_backorder(data, names)

@@ -94,7 +94,7 @@ class Dataset:
         return self.workspace.table("master_woc", self.build_coverage)
 
     def split(self) -> DataFrame:
-        return self.workspace.table("split", self.build_split)
+        return self.workspace.table("split", lambda: features.in_stable_order(self.build_split()))
 
     def targets(self) -> DataFrame:
         return targets.order_targets(self.metrics())

@@ -148,6 +148,17 @@ def test_models_learn_and_can_be_saved(spark, split, tmp_path):
     assert importance[0].feature == "outstanding_qty"
 
 
+def test_seeded_forest_repeats_on_reshuffled_rows(spark, split, tmp_path):
+    names = features.feature_names()
+    found = []
+    for i, rows_in in enumerate((split.repartition(3), split.orderBy(F.rand(1)).repartition(11))):
+        path = str(tmp_path / str(i))
+        features.in_stable_order(rows_in).write.parquet(path)
+        model, _ = models.forest_backorder(spark.read.parquet(path), names, trees=5, depth=4)
+        found.append(list(model.stages[-1].featureImportances.toArray()))
+    assert found[0] == found[1]
+
+
 def test_magnitude_regression(split):
     names = features.feature_names()
     _, linear = models.magnitude_regression(split, names)
