@@ -547,6 +547,18 @@ QUERIES: dict[str, str] = {
         round(recall, 6) AS recall, round(f1, 6) AS f1 FROM thresholds""",
     "best_threshold": """SELECT threshold::DOUBLE AS threshold, tp, fp, round(precision, 6) AS precision,
         round(recall, 6) AS recall, round(f1, 6) AS f1 FROM thresholds ORDER BY thresholds.f1 DESC, thresholds.threshold LIMIT 1""",
+    "at_risk_by_quantity": """SELECT o.client_id, o.material_number, o.plant_code,
+        CASE WHEN o.risk >= 20 THEN 'Yes' ELSE 'No' END AS predicted_backorder, o.risk AS risk_score,
+        round(c.woc, 6) AS woc, c.saleable_inventory
+      FROM (SELECT client_id, material_number, coalesce(plant_code, '') AS plant_code,
+              max(outstanding_qty)::DOUBLE AS risk FROM order_metrics GROUP BY ALL) o
+      LEFT JOIN coverage c ON c.client_id = o.client_id AND c.plant_code = o.plant_code
+        AND c.material_number IS NOT DISTINCT FROM o.material_number""",
+    "magnitude_by_quantity": """SELECT 'outstanding_quantity' AS model,
+        round(sqrt(avg((outstanding_qty - backorder_units) ** 2)), 6) AS rmse,
+        round(avg(abs(outstanding_qty - backorder_units)), 6) AS mae,
+        round(1 - avg((outstanding_qty - backorder_units) ** 2) / var_pop(backorder_units), 6) AS r2
+      FROM order_metrics""",
 }
 
 

@@ -494,6 +494,22 @@ def at_risk_report(d: Dataset) -> DataFrame:
     return models.at_risk_report(scored, d.coverage())
 
 
+def at_risk_by_quantity(d: Dataset) -> DataFrame:
+    """The at-risk report on the deterministic classifier."""
+    lines = d.metrics().select(
+        *metrics.SERIES,
+        (F.col("outstanding_qty") >= SCORE_THRESHOLD).cast("int").alias("prediction"),
+        F.col("outstanding_qty").alias("score"),
+    )
+    return models.at_risk_report(lines, d.coverage())
+
+
+def magnitude_by_quantity(d: Dataset) -> DataFrame:
+    """Regression metrics when the outstanding quantity is taken as the backorder magnitude."""
+    predicted = d.metrics().select("backorder_units", F.col("outstanding_qty").alias("prediction"))
+    return models.regression_metrics(predicted, "outstanding_quantity")
+
+
 QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     order_fulfillment,
     inventory_material,
@@ -555,6 +571,8 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     magnitude_gbt,
     model_comparison,
     at_risk_report,
+    at_risk_by_quantity,
+    magnitude_by_quantity,
 )
 
 # Digits to compare where six do not fit: a price per unit has more, a scaled feature fewer.
