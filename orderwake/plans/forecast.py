@@ -13,11 +13,16 @@ TARGET_WOC_WEEKS = 8
 
 
 def weekly_demand(shipments: DataFrame) -> DataFrame:
-    """Demand per series and week, with the ISO week of the year."""
+    """Demand per series and week, with the ISO week of the year.
+
+    Rows without a week or a quantity are left out; a quantity that is no number counts as zero.
+    """
     week = F.col("shipment_week").try_cast("date")
-    dated = shipments.select(*SERIES, week.alias("shipment_week"), number(shipments, "quantity_shipped").alias("quantity"))
+    quantity = F.coalesce(number(shipments, "quantity_shipped"), F.lit(0.0))
     demand = (
-        dated.na.drop(subset=["shipment_week", "quantity"])
+        shipments.filter("quantity_shipped is not null")
+        .select(*SERIES, week.alias("shipment_week"), quantity.alias("quantity"))
+        .na.drop(subset=["shipment_week"])
         .groupBy(*SERIES, "shipment_week")
         .agg(F.sum("quantity").alias("quantity_shipped"))
     )

@@ -177,3 +177,25 @@ def test_excess_stock_over_eight_weeks_of_demand(spark, rows):
     found = {r.material_number: r.excess_units for r in excess.collect()}
     assert found == {"s1": 0.0, "s2": pytest.approx(3155.3333333333335), "s3": 0.0}
     assert rows(forecast.top_excess(excess), "material_number") == [("s2",)]
+
+
+def test_demand_leaves_out_missing_quantities_and_reads_others_leniently(spark, rows):
+    data = [("100", "M", "1", "2024-01-01", q) for q in ("2", "x", None)] + [("100", "N", "1", "2024-12-30", None)]
+    shipments = spark.createDataFrame(data, SHIPMENTS.replace("double", "string"))
+    assert rows(forecast.weekly_demand(shipments), "material_number", "quantity_shipped", "week_of_year") == [("M", 2.0, 1)]
+
+
+def test_coverage_invariants_on_generated_data(spark):
+    from conftest import DATA
+    from pyspark.sql import functions as F
+
+    from orderwake import registry
+
+    d = registry.dataset(spark, DATA)
+    coverage, lines = d.coverage(), d.metrics()
+    assert coverage.filter("net_available < 0").count() == 0
+    assert coverage.filter("woc_low_flag and not (woc <= 2)").count() == 0
+    assert coverage.count() == coverage.select(*metrics.SERIES).distinct().count()
+    assert lines.count() == lines.select("client_id", "sales_document_number", "item_number").distinct().count()
+    issued = d.clean["delivery_item"].filter("quantity_delivered > 0").agg(F.sum("quantity_delivered")).first()[0]
+    assert d.shipments().agg(F.sum("quantity_shipped")).first()[0] == issued
