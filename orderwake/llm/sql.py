@@ -40,7 +40,7 @@ def _op6() -> str:
 WITH words AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> trim(x, {SPACES}) <> '') AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {SPACES}) <> '') AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, unnest(range(1, len(words) - 1)) AS pos, words FROM words WHERE len(words) >= 3
@@ -53,7 +53,7 @@ WITH words AS (
   SELECT doc_id, count(DISTINCT place) AS n FROM repeated GROUP BY doc_id
 ), measured AS (
   SELECT w.doc_id, lang, source, len(words) AS n_words,
-    coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+    coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
     (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
     len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
     coalesce(c.n, 0) AS n_repeat_words
