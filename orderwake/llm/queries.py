@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderwake.llm.common import table
+from orderwake.llm.decontaminate import contamination
 from orderwake.llm.line_dedup import line_dedup
 from orderwake.llm.quality_rules import quality_rules
+from orderwake.llm.simhash import simhash_groups
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,10 +20,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op3_line_dedup, op6_quality_rules)
+    query.__name__: query for query in (op3_line_dedup, op5_simhash_near_dedup, op6_quality_rules, op10_decontamination)
 }
