@@ -12,6 +12,16 @@ from orderwake.llm.decontaminate import contamination
 from orderwake.llm.line_dedup import line_dedup
 from orderwake.llm.quality_rules import quality_rules
 from orderwake.llm.simhash import simhash_groups
+from orderwake.llm.token_counts import recount, token_trees, with_cleaning_edits
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after it is cleaned by edits."""
+    edited = with_cleaning_edits(table(spark, sf_dir, "documents"))
+    trees = token_trees(edited, id_col="doc", edits_col="edits")
+    return recount(trees).select(
+        F.col("doc").alias("doc_id"), "n_before", "n_tokens", "n_edits", "n_encoded", F.sha2("text", 256).alias("edited_sha256")
+    )
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,5 +43,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op3_line_dedup, op5_simhash_near_dedup, op6_quality_rules, op10_decontamination)
+    query.__name__: query for query in (op1_token_counts, op3_line_dedup, op5_simhash_near_dedup, op6_quality_rules, op10_decontamination)
 }
