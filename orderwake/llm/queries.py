@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderwake.llm.common import table
 from orderwake.llm.decontaminate import contamination
 from orderwake.llm.line_dedup import line_dedup
+from orderwake.llm.pieces import decode_pieces, encode_pieces
 from orderwake.llm.quality_rules import quality_rules
 from orderwake.llm.simhash import simhash_groups
 from orderwake.llm.token_counts import recount, token_trees, with_cleaning_edits
@@ -30,6 +31,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and a digest of the text decoded from them."""
+    decoded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents")), text_col="decoded")
+    return decoded.select("doc_id", "n_words", F.size("pieces").alias("n_pieces"), "pieces", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -43,5 +50,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op3_line_dedup, op5_simhash_near_dedup, op6_quality_rules, op10_decontamination)
+    query.__name__: query for query in (op1_token_counts, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op10_decontamination)
 }
