@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderwake.llm.common import table
 from orderwake.llm.decontaminate import contamination
+from orderwake.llm.language_id import fit_languages, language_spans
 from orderwake.llm.line_dedup import line_dedup
 from orderwake.llm.pieces import decode_pieces, encode_pieces
 from orderwake.llm.quality_rules import quality_rules
@@ -16,6 +17,11 @@ from orderwake.llm.simhash import simhash_groups
 from orderwake.llm.token_counts import recount, token_trees, with_cleaning_edits
 
 
+def remainder(id_col: str, folds: int) -> Column:
+    """Fold of a row, by the checksum of its id as text."""
+    return F.crc32(F.col(id_col).cast("string")) % folds
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document before and after it is cleaned by edits."""
     edited = with_cleaning_edits(table(spark, sf_dir, "documents"))
@@ -45,10 +51,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = fit_languages(docs.where(~held_out))
+    return language_spans(docs, model, spans=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op10_decontamination)
+    query.__name__: query for query in (op1_token_counts, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op9_language_id, op10_decontamination)
 }
