@@ -12,6 +12,7 @@ from orderwake.llm.decontaminate import contamination
 from orderwake.llm.language_id import fit_languages, language_spans
 from orderwake.llm.line_dedup import line_dedup
 from orderwake.llm.pieces import decode_pieces, encode_pieces
+from orderwake.llm.quality_crf import fit_quality, quality_scores, training_fold
 from orderwake.llm.quality_rules import quality_rules
 from orderwake.llm.simhash import simhash_groups
 from orderwake.llm.token_counts import recount, token_trees, with_cleaning_edits
@@ -31,6 +32,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_quality(docs, labels.where(training_fold("doc_id")))
+    return quality_scores(docs, model, threshold=0.3).select("doc_id", (~training_fold("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -63,5 +70,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op9_language_id, op10_decontamination)
+    query.__name__: query for query in (op1_token_counts, op2_quality_classifier, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op9_language_id, op10_decontamination)
 }
