@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def portions(
 ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a piece add up to about `most_bytes`; a longer text stands alone."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if total and total + size > most_bytes:
@@ -60,8 +61,6 @@ def map_texts(
     """Run `work` on pieces of bounded text size, in Arrow batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401  (loads pa.compute)
-
         for piece in portions(batches, text):
             made = work(piece)
             if made is not None:
