@@ -12,6 +12,7 @@ from orderwake.llm.decontaminate import contamination
 from orderwake.llm.language_id import fit_languages, language_spans
 from orderwake.llm.line_dedup import line_dedup
 from orderwake.llm.pieces import decode_pieces, encode_pieces
+from orderwake.llm.pii import find_pii, fit_pii
 from orderwake.llm.quality_crf import fit_quality, quality_scores, training_fold
 from orderwake.llm.quality_rules import quality_rules
 from orderwake.llm.simhash import simhash_groups
@@ -58,6 +59,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return find_pii(docs, fit_pii(docs))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 4) == 2
@@ -70,5 +76,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op2_quality_classifier, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op9_language_id, op10_decontamination)
+    query.__name__: query for query in (op1_token_counts, op2_quality_classifier, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op8_pii, op9_language_id, op10_decontamination)
 }
