@@ -55,7 +55,7 @@ def _window(values: np.ndarray, start: int, fill: int) -> np.ndarray:
     return np.concatenate((part, np.full(WINDOW - len(part), fill)))
 
 
-def fit_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fit_windows: int = FIT_WINDOWS, hidden: int = 16, epochs: int = 8) -> Tagger | None:
+def fit_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fit_windows: int = FIT_WINDOWS, hidden: int = 24, epochs: int = 12) -> Tagger | None:
     """Fit the tagger on windows labelled by the base rules; None if there is no labelled span.
 
     Windows are cut in tasks; the `fit_windows` with the smallest hashes, each text once, reach the driver.

@@ -108,23 +108,24 @@ class Tagger:
         miss = np.swapaxes(gold - expected, 0, 1) / len(x)
         g = {"out": np.einsum("tbh,tbk->hk", both, miss), "bias": miss.sum(axis=(0, 1)), "moves": (seen - pairs) / len(x)}
         down = miss @ self.p["out"].T
+        shown = np.eye(SYMBOLS)[x.T.ravel()]
         for side, part in (("f", down[:, :, :h]), ("b", down[:, :, h:])):
             recur = self.p[f"recur_{side}"]
-            g_table, g_recur = np.zeros_like(self.p[f"table_{side}"]), np.zeros_like(recur)
+            g_recur, into = np.zeros_like(recur), np.zeros((*x.T.shape, 4 * h))
             d_state, d_cell = np.zeros((len(x), h)), np.zeros((len(x), h))
             for t, gates, before, bent, was in reversed(runs[side][1]):
                 d_state = d_state + part[t]
                 i, f, o, new = gates[:, :h], gates[:, h : 2 * h], gates[:, 2 * h : 3 * h], gates[:, 3 * h :]
                 d_cell = d_cell + d_state * o * (1 - bent**2)
                 d_gates = np.concatenate((d_cell * new * i * (1 - i), d_cell * before * f * (1 - f), d_state * bent * o * (1 - o), d_cell * i * (1 - new**2)), axis=1)
-                np.add.at(g_table, x[:, t], d_gates)
+                into[t] = d_gates
                 g_recur += was.T @ d_gates
                 d_state, d_cell = d_gates @ recur.T, d_cell * f
-            g[f"table_{side}"], g[f"recur_{side}"] = g_table, g_recur
+            g[f"table_{side}"], g[f"recur_{side}"] = shown.T @ into.reshape(-1, 4 * h), g_recur
         return g
 
 
-def fit_tagger(x: np.ndarray, tags: np.ndarray, *, hidden: int = 16, epochs: int = 8, batch: int = 64, rate: float = 0.03, seed: int = 0) -> Tagger:
+def fit_tagger(x: np.ndarray, tags: np.ndarray, *, hidden: int = 24, epochs: int = 12, batch: int = 64, rate: float = 0.02, seed: int = 0) -> Tagger:
     """Fit by Adam on windows (n, time) of symbols and tags; the same input gives the same model."""
     model = Tagger(hidden, seed)
     rng = np.random.default_rng(seed)
