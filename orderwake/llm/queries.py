@@ -16,6 +16,7 @@ from orderwake.llm.pii import find_pii, fit_pii
 from orderwake.llm.quality_crf import fit_quality, quality_scores, training_fold
 from orderwake.llm.quality_rules import quality_rules
 from orderwake.llm.simhash import simhash_groups
+from orderwake.llm.substring_dedup import substring_dedup
 from orderwake.llm.token_counts import recount, token_trees, with_cleaning_edits
 
 
@@ -59,6 +60,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), window=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return find_pii(docs, fit_pii(docs))
@@ -76,5 +83,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op2_quality_classifier, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op8_pii, op9_language_id, op10_decontamination)
+    query.__name__: query for query in (op1_token_counts, op2_quality_classifier, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op7_substring_dedup, op8_pii, op9_language_id, op10_decontamination)
 }
