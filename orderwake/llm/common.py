@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,19 +28,29 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-def durable(frame: DataFrame) -> DataFrame:
-    """Write a frame below `spark.checkpoint.dir`, so that it is computed once and survives lost executors.
-
-    Only a local session may lack that setting; it then gets a temporary folder.
-    """
-    context = frame.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`. Only a local session may lack that setting; it gets a temporary one."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def durable(frame: DataFrame) -> DataFrame:
+    """Compute a frame once and keep its rows in the shared folder, so that it survives lost executors."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet in the shared folder and read it again."""
+    folder = f"{shared_folder(frame.sparkSession)}/{re.sub('[^a-z]+', '-', name.lower())}-{uuid.uuid4().hex}"
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.parquet(folder)
+
+
 def portions(
     batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4_000_000
 ) -> Iterator[pa.RecordBatch]:
