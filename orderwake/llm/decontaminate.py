@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from orderwake.llm.common import portions
 
 #: Edits allowed per character of a test item.
-ERROR_RATE = 0.05
+ERROR_RATE = 0.08
 #: Characters of test items that one pass over the documents looks for.
 BLOCK_CHARS = 4_000_000
 _GAPS = re.compile(r"[\W_]+")

@@ -10,7 +10,7 @@ import regex
 from conftest import DATA
 
 import corpus_pipeline
-from orderwake.llm.decontaminate import ItemBlock, normalised
+from orderwake.llm.decontaminate import ERROR_RATE, ItemBlock, normalised
 from orderwake.llm.language_id import LanguageModel, SCRIPTS, Words, fit_languages, language_spans, split_words
 from orderwake.llm.pieces import decode, decode_pieces, default_model, encode_batch, encode_pieces, marked_words, vocabulary
 from orderwake.llm.quality_crf import FEATURES, fit_field, fit_quality, forward_backward, keep_good, line_features, quality_scores, with_neighbours
@@ -292,7 +292,7 @@ def brute_pipeline(spark):
             a, b = group[i], group[j]
             group = [min(a, b) if g in (a, b) else g for g in group]
     rows = [r for i, r in enumerate(rows) if group[i] == i]
-    items = ItemBlock([(r.item_id, normalised(r.text)) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()], 0.05)
+    items = ItemBlock([(r.item_id, normalised(r.text)) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()], ERROR_RATE)
     return {r["doc_id"]: r["text"] for r in rows if not list(items.matches(normalised(r["text"])))}
 
 

@@ -8,7 +8,7 @@ import pytest
 from conftest import DATA
 
 from orderwake.llm import pii
-from orderwake.llm.decontaminate import ItemBlock, best_distance, contamination, decontaminate, edit_budget, normalised, pieces
+from orderwake.llm.decontaminate import ERROR_RATE, ItemBlock, best_distance, contamination, decontaminate, edit_budget, normalised, pieces
 from orderwake.llm.pii_model import FORBIDDEN, PADDING, SYMBOLS, TAGS, Tagger, fit_tagger, symbols
 from orderwake.llm.pii_rules import KINDS, base_spans, luhn
 from orderwake.llm.queries import QUERIES
@@ -58,7 +58,7 @@ def edited(text, n, rng):
     return text
 
 
-def brute_matches(docs, items, rate=0.05):
+def brute_matches(docs, items, rate=ERROR_RATE):
     found = set()
     for doc, text in docs:
         for item, wanted in items:
@@ -102,7 +102,7 @@ def test_decontamination_query_finds_every_whole_item(spark):
     found = {(r.doc_id, r.item_id): r.distance for r in QUERIES["op10_decontamination"](spark, DATA).collect()}
     exact = {(d, i) for d, t in docs.items() for i, item in items.items() if item in t}
     assert exact <= set(found) and all(found[k] == 0 for k in exact)
-    block = ItemBlock(list(items.items()), 0.05)
+    block = ItemBlock(list(items.items()), ERROR_RATE)
     assert {(d, *m) for d, t in docs.items() for m in block.matches(t)} == {(*k, v) for k, v in found.items()}
 
 
