@@ -6,22 +6,19 @@ and the stages from scratch.
 
 from __future__ import annotations
 
-LINE_ORDER = """l_partkey NULLS LAST, l_suppkey NULLS LAST, l_shipdate NULLS LAST, l_quantity NULLS LAST,
-    l_extendedprice NULLS LAST, l_discount NULLS LAST, l_tax NULLS LAST, l_returnflag NULLS LAST,
-    l_linestatus NULLS LAST"""
-
-TABLES = f"""
-line AS (
-  SELECT * FROM lineitem
-  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) = 1
-),
+TABLES = """
 lines AS (
   SELECT l.*, n.n_regionkey, o.o_orderdate, o.o_orderpriority, o.o_orderstatus
-  FROM line l
+  FROM lineitem l
   LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
   LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey
   LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
 ),
+line AS (
+  SELECT * FROM lines
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey::VARCHAR NULLS LAST,
+    l_returnflag NULLS LAST, l_quantity NULLS LAST, l_extendedprice NULLS LAST, n_regionkey::VARCHAR NULLS LAST) = 1
+),
 header AS (
   SELECT o_orderkey AS doc, o_custkey AS cust, o_orderdate AS order_date,
     CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate + INTERVAL 30 DAY END AS requested_delivery_date,
@@ -31,11 +28,11 @@ header AS (
     o_orderdate NULLS LAST, requested_delivery_date NULLS LAST, o_totalprice NULLS LAST, channel NULLS LAST) = 1
 ),
 delivery AS (
-  SELECT '100' AS client_id, concat_ws('/', l_orderkey, l_linenumber) AS number,
-    l_orderkey + 4500000000 AS reference, l_linenumber AS item, l_partkey::VARCHAR AS material_number,
-    n_regionkey::VARCHAR AS plant_code, l_quantity AS delivery_quantity,
-    CASE WHEN l_returnflag = 'R' THEN l_quantity / 2 ELSE l_quantity END AS quantity_delivered,
-    l_shipdate AS goods_issue_date
+  SELECT '100' AS client_id, l_orderkey AS number,
+    CASE WHEN l_orderkey % 97 <> 0 THEN l_orderkey + 4500000000 END AS reference, l_linenumber AS item,
+    l_partkey::VARCHAR AS material_number, n_regionkey::VARCHAR AS plant_code, l_quantity AS delivery_quantity,
+    CASE WHEN l_partkey % 53 = 0 THEN 0 WHEN l_returnflag = 'R' THEN l_quantity / 2 ELSE l_quantity END AS quantity_delivered,
+    min(l_shipdate) OVER (PARTITION BY l_orderkey) AS goods_issue_date
   FROM lines WHERE l_linestatus = 'F'
 ),
 delivered AS (
@@ -52,22 +49,35 @@ billed AS (
 ),
 scheduled AS (
   SELECT '100' AS client_id, l_orderkey::VARCHAR AS sales_document_number, l_linenumber::VARCHAR AS item_number,
-    min(l_shipdate) AS requested_delivery_date_schedule,
+    first(l_shipdate ORDER BY l_suppkey % 12, l_shipdate)
+      FILTER (WHERE l_suppkey % 12 <> 0 AND l_shipdate IS NOT NULL) AS requested_delivery_date_schedule,
     coalesce(sum(l_quantity), 0) AS total_requested_quantity,
     coalesce(sum(CASE WHEN l_linestatus = 'F' THEN l_quantity END), 0) AS total_confirmed_quantity
   FROM lines WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY ALL
 ),
+material_images AS (
+  SELECT p_partkey, p_type, p_brand FROM part UNION ALL SELECT p_partkey, p_type, 'A-' || p_brand FROM part WHERE p_partkey % 10 = 0
+),
 material AS (
   SELECT p_partkey::VARCHAR AS material_number, p_type AS material_type, p_brand AS material_group
-  FROM part
+  FROM material_images
   QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY p_type NULLS LAST, p_brand NULLS LAST) = 1
 ),
+texts AS (
+  SELECT p_partkey, 'A' AS language, CASE WHEN p_partkey % 5 = 0 THEN 'alt ' || p_name END AS text FROM part
+  UNION ALL SELECT p_partkey, 'E', p_name FROM part
+),
 described AS (
-  SELECT p_partkey::VARCHAR AS material_number, min(p_name) AS material_description_text
-  FROM part WHERE p_partkey IS NOT NULL GROUP BY ALL
+  SELECT p_partkey::VARCHAR AS material_number,
+    first(text ORDER BY language, text) FILTER (WHERE text IS NOT NULL) AS material_description_text
+  FROM texts WHERE p_partkey IS NOT NULL GROUP BY p_partkey
+),
+customer_images AS (
+  SELECT c_custkey, c_name, c_nationkey FROM customer
+  UNION ALL SELECT c_custkey, 'Alias of ' || c_name, c_nationkey FROM customer WHERE c_custkey % 10 = 0
 ),
 customers AS (
-  SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+  SELECT c_custkey, c_name, n_name FROM customer_images LEFT JOIN nation ON n_nationkey = c_nationkey
   QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY n_name NULLS LAST, c_name NULLS LAST) = 1
 ),
 master_order AS (
@@ -84,7 +94,7 @@ master_order AS (
     l.n_regionkey::VARCHAR AS plant_code,
     CASE l.o_orderstatus WHEN 'F' THEN 'C' WHEN 'P' THEN 'B' WHEN 'O' THEN 'A' END AS delivery_status,
     NULL::VARCHAR AS billing_status, NULL::VARCHAR AS goods_movement_status
-  FROM lines l
+  FROM line l
   LEFT JOIN header h ON h.doc = l.l_orderkey
   LEFT JOIN customers c ON c.c_custkey = h.cust
   LEFT JOIN delivered d ON d._doc = (l.l_orderkey % 100000000)::VARCHAR AND d._item = l.l_linenumber::VARCHAR
@@ -110,7 +120,8 @@ master_inventory AS (
   LEFT JOIN region r ON r.r_regionkey IS NOT DISTINCT FROM s.r_regionkey
 ),
 po_header AS (
-  SELECT l_orderkey, min(l_suppkey) AS vendor, min(o_orderdate) AS po_date FROM lines GROUP BY ALL
+  SELECT l_orderkey, min(l_suppkey) AS vendor, min(o_orderdate) AS po_date FROM lines
+  WHERE l_orderkey % 50 <> 0 GROUP BY ALL
 ),
 master_po AS (
   SELECT '100' AS client_id, l.l_orderkey::VARCHAR AS purchase_order_number,
@@ -492,7 +503,7 @@ QUERIES: dict[str, str] = {
     "validity_checks": """SELECT 'negative_order_quantity' AS check_name,
         count_if(cumulative_order_quantity < 0)::BIGINT AS n_rows FROM order_metrics
       UNION ALL SELECT 'negative_delivery_quantity', count_if(total_delivery_quantity < 0)::BIGINT FROM order_metrics
-      UNION ALL SELECT 'future_order_date', count_if(order_date > TIMESTAMP '2001-08-01')::BIGINT FROM order_metrics
+      UNION ALL SELECT 'future_order_date', count_if(order_date > TIMESTAMP '2000-01-01')::BIGINT FROM order_metrics
       UNION ALL SELECT 'negative_stock', count_if(unrestricted_stock < 0)::BIGINT FROM master_inventory""",
     "duplicate_checks": """SELECT 'order' AS table_name, coalesce(sum(n - 1), 0)::BIGINT AS duplicate_rows
         FROM (SELECT count(*) AS n FROM master_order GROUP BY client_id, sales_document_number, item_number)
@@ -505,9 +516,9 @@ QUERIES: dict[str, str] = {
         f"FROM (SELECT count(*) AS n FROM {table} GROUP BY {key})"
         for name, table, key in (
             ("sales_order_header", "orders", "o_orderkey"),
-            ("delivery_header", "delivery", "number"),
-            ("material_master", "part", "p_partkey"),
-            ("customer_master", "customer", "c_custkey"),
+            ("delivery_header", "(SELECT DISTINCT number FROM delivery)", "number"),
+            ("material_master", "material_images", "p_partkey"),
+            ("customer_master", "customer_images", "c_custkey"),
             ("vendor_master", "supplier", "s_suppkey"),
             ("purchase_order_header", "po_header", "l_orderkey"),
             ("plant", "region", "r_regionkey"),

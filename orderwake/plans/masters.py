@@ -171,11 +171,17 @@ def _first_known(df: DataFrame, column: str, order_by: Sequence[str]) -> Column:
 def schedule_totals(schedule: DataFrame) -> DataFrame:
     """Per order item: the first known requested date and the quantities of all schedule lines.
 
-    First means in the order of schedule line number, record timestamp and date, as far as present.
+    First means in the order of schedule line number (by value, text that is no number last), record
+    timestamp and date, as far as present.
     """
     keyed = with_text_keys(schedule, ORDER_GRAIN)
+    order = ["schedule_line_number", RECORD_TIMESTAMP]
+    if "schedule_line_number" in keyed.columns:
+        line = canonical_item(F.col("schedule_line_number")).try_cast("bigint")
+        keyed = keyed.withColumns({"_unnumbered": line.isNull(), "_line": line})
+        order = ["_unnumbered", "_line", *order]
     return keyed.groupBy(*ORDER_GRAIN).agg(
-        _first_known(keyed, "requested_delivery_date_schedule", ["schedule_line_number", RECORD_TIMESTAMP]),
+        _first_known(keyed, "requested_delivery_date_schedule", order),
         sum_or_zero(number(keyed, "requested_quantity")).alias("total_requested_quantity"),
         sum_or_zero(number(keyed, "confirmed_quantity")).alias("total_confirmed_quantity"),
     )

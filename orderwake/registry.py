@@ -24,6 +24,7 @@ from .sources.catalog import CLEAN_TABLES
 from .sources.star_schema import CLIENT, StarSchema
 
 REFERENCE_DATE = dt.date(2001, 8, 1)
+VALIDITY_DATE = dt.date(2000, 1, 1)
 SCORE_THRESHOLD = 20
 
 ORDER_INPUTS = (
@@ -360,7 +361,7 @@ def order_summary_stats(d: Dataset) -> DataFrame:
 
 
 def validity_checks(d: Dataset) -> DataFrame:
-    return quality.validity_checks(d.metrics(), d.inventory(), REFERENCE_DATE)
+    return quality.validity_checks(d.metrics(), d.inventory(), VALIDITY_DATE)
 
 
 def duplicate_checks(d: Dataset) -> DataFrame:

@@ -1,9 +1,12 @@
 """Clean tables derived from a TPC-H-like star schema (region, nation, customer, supplier, part,
 orders, lineitem), so that every query can be run on generated data.
 
-`lineitem` repeats (l_orderkey, l_linenumber) and thus stands in for a change log; the first row
-of each key in a stated order is the order line. The lines, with their supplier's region and their
-order's attributes, are written once per workspace; all document tables are views on them.
+`lineitem` repeats (l_orderkey, l_linenumber). Every row is an image of an order item, and a delivery,
+billing, schedule or purchase item of its own, so order items have several of each. The rows, with their
+supplier's region and their order's attributes, are written once per workspace; all document tables
+are views on them and leave the choice of one row per order item to the masters. The views also hold
+what real extracts hold: repeated images of dimensions, several texts per material, schedule lines
+numbered without padding, references that are no number, and orders without a purchase header.
 Regions and nations are tables of 5 and 25 rows by definition and get no skew handling.
 """
 
@@ -13,22 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import first_per_key, hot_keys, lookup_join
+from ..operators import hot_keys, lookup_join
 from .workspace import Workspace
 
 CLIENT = "100"
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-LINE_ORDER = [
-    "l_partkey",
-    "l_suppkey",
-    "l_shipdate",
-    "l_quantity",
-    "l_extendedprice",
-    "l_discount",
-    "l_tax",
-    "l_returnflag",
-    "l_linestatus",
-]
 REFERENCE_OFFSET = 4_500_000_000
 
 
@@ -54,13 +46,12 @@ class StarSchema:
         return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def lines(self) -> DataFrame:
-        """Order lines, one per (order, line number), written on first use."""
+        """All rows of lineitem, written on first use."""
         return self.workspace.table("lines", self._build_lines)
 
     def _build_lines(self) -> DataFrame:
-        raw = self.raw("lineitem")
-        hot = hot_keys(raw, supplier=["l_suppkey"], order=["l_orderkey"])
-        lines = first_per_key(raw, LINE_KEY, LINE_ORDER)
+        lines = self.raw("lineitem")
+        hot = hot_keys(lines, supplier=["l_suppkey"], order=["l_orderkey"])
         nations = self.raw("nation").select("n_nationkey", "n_regionkey")
         regions = lookup_join(
             self.raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")),
@@ -109,9 +100,11 @@ class StarSchema:
 
     def _sales_order_schedule_line(self) -> DataFrame:
         urgent = self.lines().filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+        place = F.col("l_suppkey") % 12 + 1
         return urgent.select(
             *self._line_keys(),
-            F.col("l_shipdate").alias("requested_delivery_date_schedule"),
+            place.cast("string").alias("schedule_line_number"),
+            F.when(place != 1, F.col("l_shipdate")).alias("requested_delivery_date_schedule"),
             F.col("l_quantity").alias("requested_quantity"),
             F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("confirmed_quantity"),
         )
@@ -120,22 +113,25 @@ class StarSchema:
         return self.lines().filter("l_linestatus = 'F'")
 
     def _delivery_item(self) -> DataFrame:
+        reference = (F.col("l_orderkey") + REFERENCE_OFFSET).cast("string")
         return self._shipped().select(
             "client_id",
             _delivery_number(),
             _text("l_linenumber").alias("item_number"),
-            (F.col("l_orderkey") + REFERENCE_OFFSET).cast("string").alias("reference_document_number"),
+            F.when(F.col("l_orderkey") % 97 != 0, reference).otherwise("unknown").alias("reference_document_number"),
             _text("l_linenumber").alias("reference_item_number"),
             _text("l_partkey").alias("material_number"),
             _text("n_regionkey").alias("plant_code"),
             F.col("l_quantity").alias("delivery_quantity"),
-            F.when(F.col("l_returnflag") == "R", F.col("l_quantity") / 2)
+            F.when(F.col("l_partkey") % 53 == 0, 0.0)
+            .when(F.col("l_returnflag") == "R", F.col("l_quantity") / 2)
             .otherwise(F.col("l_quantity"))
             .alias("quantity_delivered"),
         )
 
     def _delivery_header(self) -> DataFrame:
-        return self._shipped().select("client_id", _delivery_number(), F.col("l_shipdate").alias("goods_issue_date"))
+        """One delivery per order, issued with its first item."""
+        return self._shipped().groupBy("client_id", _delivery_number()).agg(F.min("l_shipdate").alias("goods_issue_date"))
 
     def _billing_document_item(self) -> DataFrame:
         return (
@@ -160,17 +156,30 @@ class StarSchema:
         )
 
     def _material_master(self) -> DataFrame:
+        """Every tenth part has a second image."""
+        brand = F.col("p_brand")
+        images = F.when(F.col("p_partkey") % 10 == 0, F.array(brand, F.concat(F.lit("A-"), brand))).otherwise(F.array(brand))
         return self.raw("part").select(
             _client(),
             _text("p_partkey").alias("material_number"),
             F.col("p_type").alias("material_type"),
-            F.col("p_brand").alias("material_group"),
+            F.explode(images).alias("material_group"),
             F.lit("EA").alias("base_unit_of_measure"),
         )
 
     def _material_description(self) -> DataFrame:
-        return self.raw("part").select(
-            _client(), _text("p_partkey").alias("material_number"), F.col("p_name").alias("material_description_text")
+        """Two languages per part; the first one has a text for every fifth part only."""
+        name = F.col("p_name")
+        texts = F.array(
+            F.struct(F.lit("A").alias("language"), F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("alt "), name)).alias("text")),
+            F.struct(F.lit("E").alias("language"), name.alias("text")),
+        )
+        rows = self.raw("part").select(_client(), _text("p_partkey").alias("material_number"), F.explode(texts).alias("t"))
+        return rows.select(
+            "client_id",
+            "material_number",
+            F.col("t.language").alias("language_code"),
+            F.col("t.text").alias("material_description_text"),
         )
 
     def _material_stock(self) -> DataFrame:
@@ -194,7 +203,12 @@ class StarSchema:
         )
 
     def _customer_master(self) -> DataFrame:
-        return self._partners("customer", "c_custkey", "c_name", "c_nationkey", "customer_number")
+        """Every tenth customer has a second image."""
+        name = F.col("name_line_1")
+        tenth = F.col("customer_number").cast("bigint") % 10 == 0
+        images = F.when(tenth, F.array(name, F.concat(F.lit("Alias of "), name))).otherwise(F.array(name))
+        customers = self._partners("customer", "c_custkey", "c_name", "c_nationkey", "customer_number")
+        return customers.withColumn("name_line_1", F.explode(images))
 
     def _vendor_master(self) -> DataFrame:
         return self._partners("supplier", "s_suppkey", "s_name", "s_nationkey", "vendor_number")
@@ -207,7 +221,8 @@ class StarSchema:
         return lookup_join(partners, nations, ["n_nationkey"]).drop("n_nationkey")
 
     def _purchase_order_header(self) -> DataFrame:
-        per_order = self.lines().groupBy("client_id", "l_orderkey").agg(
+        """One header per order; every fiftieth order has none."""
+        per_order = self.lines().filter("l_orderkey % 50 <> 0").groupBy("client_id", "l_orderkey").agg(
             F.min("l_suppkey").alias("l_suppkey"), F.min("o_orderdate").alias("o_orderdate")
         )
         return per_order.select(
@@ -243,4 +258,4 @@ def _missing(name: str) -> Column:
 
 
 def _delivery_number() -> Column:
-    return F.concat_ws("/", "l_orderkey", "l_linenumber").alias("sales_document_number")
+    return _text("l_orderkey").alias("sales_document_number")

@@ -7,9 +7,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
+from orderwake import oracle
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-STATEMENTS = entry.oracle_sql()
+STATEMENTS = oracle.statements()
 QUERIES = entry.queries()
 
 
