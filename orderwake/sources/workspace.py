@@ -1,57 +1,60 @@
 """Stage tables: a lazily written table is computed once and read back by every later stage.
 
 Tables go below the shared folder that the session names in `spark.checkpoint.dir`, so they
-outlive any executor. Only a local session without that setting falls back to a folder of its own.
+outlive any executor. A session without that setting keeps them as persisted frames instead, which
+Spark computes again from their inputs if an executor is lost; nothing goes to a local folder.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import threading
 from collections.abc import Callable
-from functools import lru_cache
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
 
 
-def scratch_folder(spark: SparkSession) -> str:
+def scratch_folder(spark: SparkSession) -> str | None:
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    return _own_folder()
-
-
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="orderwake-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
+    return folder.rstrip("/") if folder else None
 
 
 class Workspace:
-    """Named tables of one data set, written on first use."""
+    """Named tables of one data set, written on first use. `close` gives their space back."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.folder = f"{scratch_folder(spark)}/orderwake/{spark.sparkContext.applicationId}/{name}"
+        shared = scratch_folder(spark)
+        self.folder = f"{shared}/orderwake/{spark.sparkContext.applicationId}/{name}" if shared else None
         self._schemas: dict[str, StructType] = {}
+        self._kept: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def table(self, name: str, build: Callable[[], DataFrame] | None = None) -> DataFrame:
         """The named table; built and written first if this workspace has not done so."""
-        path = f"{self.folder}/{name}"
         with self._lock:
             if name not in self._schemas:
                 if build is None:
                     raise KeyError(f"no table {name} in this workspace")
                 df = build()
-                df.write.mode("overwrite").parquet(path)
+                if self.folder:
+                    df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+                else:
+                    self._kept[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
                 self._schemas[name] = df.schema
-        return self.spark.read.schema(self._schemas[name]).parquet(path)
+        if name in self._kept:
+            return self._kept[name]
+        return self.spark.read.schema(self._schemas[name]).parquet(f"{self.folder}/{name}")
+
+    def close(self) -> None:
+        """Forget the tables and delete this workspace's own folder."""
+        with self._lock:
+            for df in self._kept.values():
+                df.unpersist()
+            if self.folder and self._schemas:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+                path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+            self._kept, self._schemas = {}, {}
