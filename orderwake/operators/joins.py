@@ -17,9 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The sketch follows this many candidates per key, enough to see any key above 1/1024 of the rows.
-TRACKED_KEYS = 16_384
-MOST_HOT_KEYS = 1_024
+# Spark's bounds for the sketch: keys it returns, and candidates it follows per key.
+MOST_RETURNED, MOST_TRACKED = 100_000, 1_000_000
+# Candidates followed for each key that may be hot; at a fair share per partition there are as many
+# hot keys as partitions at most.
+TRACKED_PER_KEY = 16
 
 # Share of the rows that the sketch looks at, and how often it must meet a key to call it hot. The
 # sample only decides how widely a key is spread; every row takes part in the join.
@@ -36,14 +38,14 @@ def hot_keys(df: DataFrame, *, looked_at: float = LOOKED_AT, **keys: Sequence[st
     two per partition plus one per hot key. Only those few numbers reach the driver.
     """
     partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    fair_share = 1.0 / min(partitions, MOST_HOT_KEYS)
+    returned, tracked = sketch_size(partitions)
     looked = df if looked_at >= 1 else df.sample(fraction=looked_at, seed=1)
     hashed = looked.select(*(_key_hash(columns).alias(name) for name, columns in keys.items()))
     sketch = hashed.agg(
         F.count(F.lit(1)).alias("rows"),
-        *(F.expr(f"approx_top_k(`{name}`, {MOST_HOT_KEYS}, {TRACKED_KEYS})").alias(f"top_{name}") for name in keys),
+        *(F.expr(f"approx_top_k(`{name}`, {returned}, {tracked})").alias(f"top_{name}") for name in keys),
     ).first()
-    limit = max(fair_share * sketch["rows"], LEAST_SEEN)
+    limit = max(sketch["rows"] / partitions, LEAST_SEEN)
     return {
         name: {
             e["item"]: math.ceil(2 * partitions * e["count"] / sketch["rows"])
@@ -54,6 +56,12 @@ def hot_keys(df: DataFrame, *, looked_at: float = LOOKED_AT, **keys: Sequence[st
     }
 
 
+def sketch_size(partitions: int) -> tuple[int, int]:
+    """Keys that the sketch returns and candidates that it follows, so that no key above 1 / partitions is missed."""
+    returned = min(max(partitions, 2), MOST_RETURNED)
+    return returned, min(max(returned * TRACKED_PER_KEY, 1 << 14), MOST_TRACKED)
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame | Sequence[DataFrame],

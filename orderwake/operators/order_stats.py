@@ -26,6 +26,9 @@ from ..functions import number
 
 Edges = dict[str, list[float]]
 
+#: Cells that a piece is cut into for ranking.
+CELLS = 1_024
+
 FOUND = "column_name string, probability double, upper_end boolean, fraction double, value double"
 OPEN = "column_name string, piece int, place bigint, probability double, upper_end boolean, fraction double"
 
@@ -116,11 +119,31 @@ def _locate(
     return known, still_open
 
 
+def _running_counts(counted: DataFrame, edges: Edges) -> DataFrame:
+    """Add `up_to`, the running count within a piece, cell by cell.
+
+    A piece between two edges is cut into CELLS ranges of equal width, so that no task ranks a whole
+    piece; the totals of the cells are few. Pieces beyond the outer edges are one cell.
+    """
+    names = list(edges)
+    place = F.floor(F.col("piece") / 2).cast("int")
+    own = F.get(F.array(*(F.array(*map(F.lit, edges[c])).cast("array<double>") for c in names)), F.array_position(F.array(*map(F.lit, names)), F.col("column_name")).cast("int") - 1)
+    low, high = F.get(own, place - 1), F.get(own, place)
+    cell = F.least(F.floor((F.col("value") - low) / (high - low) * CELLS), F.lit(CELLS - 1))
+    celled = counted.withColumn("cell", F.coalesce(cell, F.lit(0)).cast("int"))
+    within = ["column_name", "piece"]
+    before = Window.partitionBy(*within).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = celled.groupBy(*within, "cell").agg(F.sum("n").alias("in_cell"))
+    offsets = offsets.select(*within, "cell", F.coalesce(F.sum("in_cell").over(before), F.lit(0)).alias("before"))
+    so_far = Window.partitionBy(*within, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = celled.join(offsets, [*within, "cell"])
+    return placed.select("column_name", "piece", "value", "n", (F.sum("n").over(so_far) + F.col("before")).alias("up_to"))
+
+
 def _ranked_values(measured: DataFrame, edges: Edges, still_open: list[tuple]) -> DataFrame:
     values = _in_pieces(measured, edges, {(column, piece) for column, piece, *_ in still_open})
     counted = values.groupBy("column_name", "piece", "value").agg(F.count(F.lit(1)).alias("n"))
-    up_to = Window.partitionBy("column_name", "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("up_to", F.sum("n").over(up_to))
+    ranked = _running_counts(counted, edges)
     # Two rows per column and probability: the broadcast is bounded by the request.
     requests = F.broadcast(measured.sparkSession.createDataFrame(still_open, OPEN))
     hit = (F.col("place") < F.col("up_to")) & (F.col("place") >= F.col("up_to") - F.col("n"))

@@ -58,6 +58,16 @@ def running_totals(
     return placed.drop("_offset_bucket", bucket, *(f"_before_{name}" for name in totals))
 
 
-def string_buckets(df: DataFrame, column: str, bucket: str = "_bucket", prefix: int = 2) -> DataFrame:
-    """Bucket text by its first characters; binary text order keeps such buckets contiguous."""
-    return df.withColumn(bucket, F.substring(column, 1, prefix))
+def string_buckets(df: DataFrame, column: str, bucket: str = "_bucket", buckets: int | None = None) -> DataFrame:
+    """Add a bucket number that grows with a text column of distinct values.
+
+    The cuts are values picked by their hash, a few per bucket, so that buckets hold about as many
+    values each however alike their beginnings are. Any cuts give the same running totals.
+    """
+    buckets = buckets or max(LEAST_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    values = df.filter(F.col(column).isNotNull()).select(column)
+    every = max(1, values.count() // (4 * buckets))
+    picked = sorted(r[0] for r in values.filter(F.pmod(F.xxhash64(column), F.lit(every)) == 0).collect())
+    cuts = picked[:: max(1, len(picked) // buckets)]
+    below = F.filter(F.array(*map(F.lit, cuts)).cast("array<string>"), lambda cut: cut <= F.col(column))
+    return df.withColumn(bucket, F.size(below))

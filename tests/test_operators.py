@@ -17,6 +17,8 @@ from orderwake.operators import (
     quantiles,
     running_totals,
 )
+from orderwake.operators.joins import sketch_size
+from orderwake.operators.running import string_buckets
 
 
 @pytest.fixture
@@ -44,6 +46,33 @@ def test_hot_keys_finds_the_heavy_key_only(spark, skewed):
     assert found[hot_hash] == math.ceil(2 * 8 / 3)
 
 
+def test_the_sketch_follows_the_partition_count():
+    for partitions in (8, 1_024, 4_000, 20_000):
+        returned, tracked = sketch_size(partitions)
+        assert returned >= partitions and tracked >= 16 * partitions
+    assert sketch_size(10**6) == (100_000, 1_000_000)
+
+
+def test_a_key_of_a_two_thousandth_is_spread_over_4000_partitions(spark):
+    keyed = spark.range(200_000).select(F.when(F.col("id") % 2_000 == 0, -1).otherwise(F.col("id")).alias("k"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    try:
+        found = hot_keys(keyed, looked_at=1.0, key=["k"])["key"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == {spark.sql("select xxhash64(cast(-1 as bigint))").first()[0]: 4}
+
+
+def test_text_buckets_are_even_however_alike_the_values_begin(spark):
+    values = spark.range(20_000).select(F.format_string("common beginning %07d", "id").alias("v"), F.lit(1).alias("one"))
+    bucketed = string_buckets(values, "v", buckets=64)
+    sizes = [r["count"] for r in bucketed.groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 50 and max(sizes) < 20 * 20_000 / 64
+    totals = running_totals(bucketed, "v", {"number": "one"})
+    assert totals.filter(F.substring("v", -7, 7).cast("int") + 1 != F.col("number")).count() == 0
+
+
 @pytest.mark.parametrize("null_safe", [False, True])
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_spread_join_equals_plain_join(spark, rows, skewed, names, null_safe, how):
