@@ -15,7 +15,10 @@ UNICODE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Document numbers that agree in their last eight digits refer to the same order.
+# Number ranges (first number, size) whose documents refer to order n by first number + n.
+DOCUMENT_RANGES = ((4_500_000_000, 100_000_000),)
+# The classic rule instead: numbers that agree in their last eight digits refer to the same order.
+# It confuses orders as soon as there are more than that.
 DOCUMENT_MODULUS = 100_000_000
 
 
@@ -36,9 +39,18 @@ def _whole_number(column: Column) -> Column:
     return F.coalesce(strip_space(text).try_cast("bigint"), parse_number(text).try_cast("bigint"))
 
 
-def canonical_document(column: Column, modulus: int = DOCUMENT_MODULUS) -> Column:
-    """4500000051, '51' and ' 51.0 ' all become '51'; text that is no number becomes ''."""
-    return F.coalesce(F.pmod(_whole_number(column), F.lit(modulus)).cast("string"), F.lit(""))
+def canonical_document(column: Column, modulus: int | None = None) -> Column:
+    """4500000051, '51' and ' 51.0 ' all become '51'; text that is no number becomes ''.
+
+    Numbers outside the declared ranges stay whole, unless a modulus is given (DOCUMENT_MODULUS).
+    """
+    number = _whole_number(column)
+    if modulus is not None:
+        return F.coalesce(F.pmod(number, F.lit(modulus)).cast("string"), F.lit(""))
+    folded = number
+    for first, size in DOCUMENT_RANGES:
+        folded = F.when(number.between(first, first + size - 1), number - first).otherwise(folded)
+    return F.coalesce(folded.cast("string"), F.lit(""))
 
 
 def canonical_item(column: Column) -> Column:

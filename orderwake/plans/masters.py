@@ -130,32 +130,37 @@ def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return first_per_key(df, keys).drop(RECORD_TIMESTAMP)
 
 
-def _with_reference(df: DataFrame, document: str, item: str) -> DataFrame:
-    return df.withColumn("_doc", canonical_document(F.col(document))).withColumn("_item", canonical_item(F.col(item)))
+def _with_reference(df: DataFrame, document: str, item: str, modulus: int | None) -> DataFrame:
+    number = canonical_document(F.col(document), modulus)
+    return df.withColumn("_doc", number).withColumn("_item", canonical_item(F.col(item)))
 
 
-def _totals_by_reference(df: DataFrame, document: str, item: str, totals: Mapping[str, str]) -> DataFrame:
+def _totals_by_reference(
+    df: DataFrame, document: str, item: str, totals: Mapping[str, str], modulus: int | None
+) -> DataFrame:
     """Sums per client and canonical order item; rows that refer to no order number are left out."""
-    referring = _with_reference(df.withColumn("client_id", F.col("client_id").cast("string")), document, item)
+    referring = _with_reference(df.withColumn("client_id", F.col("client_id").cast("string")), document, item, modulus)
     sums = [sum_or_zero(number(referring, source)).alias(name) for name, source in totals.items()]
     return referring.filter("_doc <> ''").groupBy(*REFERENCE).agg(*sums)
 
 
-def delivery_totals(delivery_item: DataFrame) -> DataFrame:
+def delivery_totals(delivery_item: DataFrame, modulus: int | None = None) -> DataFrame:
     return _totals_by_reference(
         delivery_item,
         "reference_document_number",
         "reference_item_number",
         {"total_delivery_quantity": "delivery_quantity", "total_quantity_delivered": "quantity_delivered"},
+        modulus,
     )
 
 
-def billing_totals(billing_item: DataFrame) -> DataFrame:
+def billing_totals(billing_item: DataFrame, modulus: int | None = None) -> DataFrame:
     return _totals_by_reference(
         billing_item,
         "aubel",
         "aupos",
         {"total_billed_quantity": "billed_quantity", "total_billed_value": "net_value"},
+        modulus,
     )
 
 
@@ -212,12 +217,16 @@ def _headers(header: DataFrame, customer: DataFrame) -> DataFrame:
     return lookup_join(header, _one_per_key(named, key), key, hot, DOCUMENT)
 
 
-def order_fulfillment(tables: Tables) -> DataFrame:
-    """One row per sales order item with header, delivery, billing, schedule, material, customer and status."""
+def order_fulfillment(tables: Tables, document_modulus: int | None = None) -> DataFrame:
+    """One row per sales order item with header, delivery, billing, schedule, material, customer and status.
+
+    `document_modulus` matches deliveries and billing by the remainder of document numbers instead of
+    by declared number ranges.
+    """
     keyed = with_text_keys(tables["sales_order_item"], ORDER_GRAIN)
     own_reference = ("sales_document_number", "item_number")
-    hot = hot_keys(_with_reference(keyed, *own_reference), document=DOCUMENT, reference=REFERENCE, material=MATERIAL)
-    items = _with_reference(_one_per_key(keyed, ORDER_GRAIN), *own_reference)
+    hot = hot_keys(_with_reference(keyed, *own_reference, document_modulus), document=DOCUMENT, reference=REFERENCE, material=MATERIAL)
+    items = _with_reference(_one_per_key(keyed, ORDER_GRAIN), *own_reference, document_modulus)
 
     # Same keys as the line-up above: these two need no further shuffle of the items.
     status = _with_timestamp(tables["sales_document_status_item"], [*ORDER_GRAIN, *STATUS_ATTRIBUTES])
@@ -227,7 +236,10 @@ def order_fulfillment(tables: Tables) -> DataFrame:
     header = _headers(tables["sales_order_header"], tables["customer_master"])
     items = lookup_join(items, header, DOCUMENT, hot["document"], ORDER_GRAIN)
 
-    moved = [delivery_totals(tables["delivery_item"]), billing_totals(tables["billing_document_item"])]
+    moved = [
+        delivery_totals(tables["delivery_item"], document_modulus),
+        billing_totals(tables["billing_document_item"], document_modulus),
+    ]
     items = lookup_join(items, moved, REFERENCE, hot["reference"], ORDER_GRAIN)
 
     described = [

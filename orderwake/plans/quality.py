@@ -38,6 +38,8 @@ def missing_summary(df: DataFrame, blank_is_missing: bool = True) -> DataFrame:
 
 def _is_missing(df: DataFrame, name: str, blank_is_missing: bool) -> Column:
     missing = F.col(name).isNull()
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        missing = missing | F.isnan(name)
     if blank_is_missing and isinstance(df.schema[name].dataType, T.StringType):
         missing = missing | (F.col(name) == "")
     return missing
@@ -168,10 +170,12 @@ def backorder_overview(order_metrics: DataFrame) -> DataFrame:
     )
 
 
-def reference_collisions(documents: DataFrame, column: str = "sales_document_number") -> DataFrame:
+def reference_collisions(
+    documents: DataFrame, column: str = "sales_document_number", modulus: int | None = None
+) -> DataFrame:
     """Canonical document numbers that stand for more than one original number."""
     spelled = documents.select(
-        canonical_document(F.col(column)).alias("canonical"), text_key(F.col(column)).alias("original")
+        canonical_document(F.col(column), modulus).alias("canonical"), text_key(F.col(column)).alias("original")
     ).distinct()
     per_number = spelled.filter("canonical <> ''").groupBy("canonical").agg(F.count(F.lit(1)).alias("n_documents"))
     return per_number.filter("n_documents > 1")

@@ -19,6 +19,7 @@ from orderwake.functions import (
     week_start,
     whole_days,
 )
+from orderwake.functions.keys import DOCUMENT_MODULUS
 
 
 def column(spark, values, kind, expression):
@@ -27,13 +28,15 @@ def column(spark, values, kind, expression):
 
 
 def test_canonical_document_folds_notations_and_the_leading_range(spark):
-    values = ["4500000051", "51", " 51 ", "100000051", "51.0", "0000000051", "abc", None, "1d", "nan", "inf", ""]
-    expected = ["51", "51", "51", "51", "51", "51", "", "", "", "", "", ""]
+    values = ["4500000051", "51", " 51 ", "51.0", "0000000051", "abc", None, "1d", "nan", "inf", ""]
+    expected = ["51", "51", "51", "51", "51", "", "", "", "", "", ""]
     assert column(spark, values, "string", lambda d: canonical_document(d.v)) == expected
 
 
-def test_canonical_document_of_a_negative_number_uses_the_floored_remainder(spark):
-    assert column(spark, ["-5"], "string", lambda d: canonical_document(d.v)) == ["99999995"]
+def test_canonical_document_keeps_numbers_outside_the_ranges_whole(spark):
+    values = ["-5", "100000051", "4600000000", "4599999999"]
+    assert column(spark, values, "string", lambda d: canonical_document(d.v)) == ["-5", "100000051", "4600000000", "99999999"]
+    assert column(spark, values, "string", lambda d: canonical_document(d.v, DOCUMENT_MODULUS)) == ["99999995", "51", "0", "99999999"]
 
 
 def test_canonical_item(spark):

@@ -75,6 +75,28 @@ def test_schedule_takes_the_first_known_date(tables, rows, day):
     ]
 
 
+def test_schedule_lines_are_ordered_by_number(tables, rows, day):
+    key = dict(client_id="100", sales_document_number="1", item_number="10")
+    tables.fill(
+        "sales_order_schedule_line",
+        dict(key, schedule_line_number="x", requested_delivery_date_schedule=day("2024-01-01")),
+        dict(key, schedule_line_number="10", requested_delivery_date_schedule=day("2024-03-03")),
+        dict(key, schedule_line_number="2", requested_delivery_date_schedule=day("2024-01-02")),
+        dict(key, schedule_line_number="0001"),
+    )
+    assert rows(masters.schedule_totals(tables["sales_order_schedule_line"])) == [("100", "1", "10", day("2024-01-02"), 0.0, 0.0)]
+
+
+def test_document_modulus_is_an_option(tables, rows):
+    tables.fill("sales_order_item", item("100000051", "10"))
+    tables.fill(
+        "delivery_item",
+        dict(client_id="100", reference_document_number="51", reference_item_number="10", quantity_delivered=3.0),
+    )
+    found = lambda **how: rows(masters.order_fulfillment(tables, **how), "total_quantity_delivered")
+    assert found() == [(None,)] and found(document_modulus=100_000_000) == [(3.0,)]
+
+
 def test_description_skips_missing_texts_and_keys(tables, rows):
     tables.fill(
         "material_description",
