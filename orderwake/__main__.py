@@ -25,6 +25,7 @@ def main() -> None:
     )
     parser.add_argument("--discovery", action="store_true", help="also write the data discovery reports")
     parser.add_argument("--models", action="store_true", help="also train models and write forecasts")
+    parser.add_argument("--exclude-leaky", action="store_true", help="train without the features that define the label")
     options = parser.parse_args()
 
     spark = SparkSession.builder.appName("orderwake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -37,7 +38,7 @@ def main() -> None:
     if options.discovery:
         pipeline.run_discovery(tables, options.target, options.reference_date)
     if options.models:
-        pipeline.run_modelling(tables, Workspace(spark, "models"), options.target)
+        pipeline.run_modelling(tables, Workspace(spark, "models"), options.target, options.exclude_leaky)
 
 
 if __name__ == "__main__":

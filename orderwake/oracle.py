@@ -565,6 +565,22 @@ QUERIES: dict[str, str] = {
               max(outstanding_qty)::DOUBLE AS risk FROM order_metrics GROUP BY ALL) o
       LEFT JOIN coverage c ON c.client_id = o.client_id AND c.plant_code = o.plant_code
         AND c.material_number IS NOT DISTINCT FROM o.material_number""",
+    "at_risk_coverage": """SELECT o.client_id, o.material_number, o.plant_code, round(c.woc, 6) AS woc, c.saleable_inventory
+      FROM (SELECT DISTINCT client_id, material_number, coalesce(plant_code, '') AS plant_code FROM order_metrics) o
+      LEFT JOIN coverage c ON c.client_id = o.client_id AND c.plant_code = o.plant_code
+        AND c.material_number IS NOT DISTINCT FROM o.material_number""",
+    "model_comparison_by_quantity": """, at_limit AS (
+        SELECT bound, count_if(label = 1 AND score >= bound)::DOUBLE AS tp, count_if(label = 0 AND score >= bound)::DOUBLE AS fp,
+          count_if(label = 1 AND score < bound)::DOUBLE AS fn, count_if(label = 0 AND score < bound)::DOUBLE AS tn
+        FROM scored, (VALUES (10), (20), (40)) b(bound) GROUP BY bound
+      ), rated_limit AS (
+        SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r
+        FROM at_limit
+      )
+      SELECT 'Quantity From ' || bound AS model, printf('%.3f', (tp + tn) / (tp + tn + fp + fn)) AS accuracy,
+        printf('%.3f', p) AS precision, printf('%.3f', r) AS recall,
+        printf('%.3f', CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) AS f1,
+        printf('%.3f', (SELECT auc FROM auc_score)) AS roc_auc FROM rated_limit""",
     "magnitude_by_quantity": """SELECT 'outstanding_quantity' AS model,
         round(sqrt(avg((outstanding_qty - backorder_units) ** 2)), 6) AS rmse,
         round(avg(abs(outstanding_qty - backorder_units)), 6) AS mae,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import SQLTransformer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import finite_or_zero, number
@@ -12,7 +13,7 @@ from ..operators import hot_keys, lookup_join, running_totals
 from ..operators.running import string_buckets
 from .masters import ORDER_GRAIN
 
-# Feature names and the length to which categories are cut.
+# Feature names.
 NUMERIC_FEATURES = [
     "outstanding_qty",
     "saleable_inventory",
@@ -22,7 +23,6 @@ NUMERIC_FEATURES = [
     "backorder_aging_days",
 ]
 CATEGORICAL_FEATURES = ["material_type", "item_category"]
-CATEGORY_LENGTH = 20
 
 # The label is computed from these two, so a model that sees them only learns the formula.
 LEAKY_FEATURES = ["outstanding_qty", "saleable_inventory"]
@@ -46,15 +46,22 @@ def category_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def encoded_features(
-    targets: DataFrame, keys: Sequence[str] = ORDER_GRAIN, label: str = LABEL, exclude_leaky: bool = False
+    targets: DataFrame,
+    keys: Sequence[str] = ORDER_GRAIN,
+    label: str = LABEL,
+    exclude_leaky: bool = False,
+    category_length: int | None = None,
 ) -> DataFrame:
     """Keys, features and label: numbers without gaps, categories as alphabetical codes.
 
-    A column that the table lacks counts as missing in every row.
+    A column that the table lacks counts as missing in every row. With `category_length` (20 in the
+    classic feature list) categories that agree in so many first characters become one.
     """
     absent = [c for c in (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES) if c not in targets.columns]
     targets = targets.withColumns({c: F.lit(None).cast("string") for c in absent})
-    category = {c: F.substring(F.coalesce(F.col(c).cast("string"), F.lit("")), 1, CATEGORY_LENGTH) for c in CATEGORICAL_FEATURES}
+    category = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in CATEGORICAL_FEATURES}
+    if category_length is not None:
+        category = {c: F.substring(e, 1, category_length) for c, e in category.items()}
     numeric = {c: finite_or_zero(number(targets, c)) for c in NUMERIC_FEATURES}
     rows = targets.filter(F.col(label).isNotNull()).select(
         *keys,
@@ -139,16 +146,25 @@ def with_class_weights(df: DataFrame, fitted_on: DataFrame, label: str = LABEL)
     return df.join(F.broadcast(weights), F.col(label) == F.col("_class"), "left").drop("_class")
 
 
+def _moments(features: Sequence[str]) -> Column:
+    means = (F.avg(c).alias(f"{c}_mean") for c in features)
+    return F.struct(*means, *(F.stddev_pop(c).alias(f"{c}_std") for c in features))
+
+
+def fitted_scaler(features: Sequence[str], fitted_on: DataFrame, suffix: str = "_scaled") -> SQLTransformer:
+    """`standardize` as a pipeline stage that holds the fitted numbers and can be saved with a model."""
+    found = fitted_on.agg(_moments(features).alias("m")).first()["m"]
+    scaled = (
+        f"(`{c}` - {found[f'{c}_mean'] or 0.0!r}D) / {found[f'{c}_std'] or 1.0!r}D AS `{c}{suffix}`" for c in features
+    )
+    return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
+
+
 def standardize(df: DataFrame, features: Sequence[str], fitted_on: DataFrame) -> DataFrame:
     """Features with the training rows' mean 0 and population standard deviation 1.
 
     A constant feature is only centred.
     """
-    moments = fitted_on.agg(
-        F.struct(
-            *(F.avg(c).alias(f"{c}_mean") for c in features),
-            *(F.stddev_pop(c).alias(f"{c}_std") for c in features),
-        )
-    ).scalar()
+    moments = fitted_on.agg(_moments(features)).scalar()
     spread = {c: F.when(moments[f"{c}_std"] > 0, moments[f"{c}_std"]).otherwise(1.0) for c in features}
     return df.withColumns({c: (F.col(c) - moments[f"{c}_mean"]) / spread[c] for c in features})

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import lookup_join
-from .features import LABEL, standardize, with_class_weights
+from .features import LABEL, fitted_scaler, with_class_weights
 from .metrics import SERIES
 
 SEED = 42
@@ -28,10 +28,10 @@ def _split(data: DataFrame) -> tuple[DataFrame, DataFrame]:
     return data.filter("not is_test"), data.filter("is_test")
 
 
-def _scored(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
+def scored(model: PipelineModel, rows: DataFrame, label: str = LABEL) -> DataFrame:
     """All columns of `rows` plus label, prediction and the score of class 1."""
-    scored = model.transform(rows)
-    return scored.select(
+    transformed = model.transform(rows)
+    return transformed.select(
         *rows.columns,
         F.col(label).alias("label"),
         F.col("prediction").cast("int").alias("prediction"),
@@ -47,11 +47,14 @@ def _fit(estimator, features: Sequence[str], train: DataFrame) -> PipelineModel:
 def logistic_backorder(data: DataFrame, features: Sequence[str], label: str = LABEL) -> tuple[PipelineModel, DataFrame]:
     """Balanced logistic regression on standardised features; returns (model, scored test rows).
 
+    The model standardises by itself: saved and loaded again, it scores plain feature rows.
+
     The penalty equals an unscaled L2 term with C = 1: the weights add up to the number of training
     rows and Spark divides the loss by them, so the parameter is one over that number.
     """
     train, test = _split(data)
-    weighted = with_class_weights(standardize(train, features, train), train, label)
+    scaler = fitted_scaler(features, train)
+    weighted = with_class_weights(scaler.transform(train), train, label)
     rows = train.count()
     estimator = LogisticRegression(
         labelCol=label,
@@ -62,8 +65,9 @@ def logistic_backorder(data: DataFrame, features: Sequence[str], label: str = LA
         elasticNetParam=0.0,
         standardization=False,
     )
-    model = _fit(estimator, features, weighted)
-    return model, _scored(model, standardize(test, features, train), label)
+    fitted = _fit(estimator, [f"{c}_scaled" for c in features], weighted)
+    model = PipelineModel([scaler, *fitted.stages])
+    return model, scored(model, test, label)
 
 
 def forest_backorder(
@@ -81,7 +85,7 @@ def forest_backorder(
         maxMemoryInMB=1024,
     )
     model = _fit(estimator, features, with_class_weights(train, train, label))
-    return model, _scored(model, test, label)
+    return model, scored(model, test, label)
 
 
 def gbt_backorder(
@@ -91,7 +95,7 @@ def gbt_backorder(
     train, test = _split(data)
     estimator = GBTClassifier(labelCol=label, weightCol="weight", maxIter=iterations, maxDepth=depth, seed=SEED)
     model = _fit(estimator, features, with_class_weights(train, train, label))
-    return model, _scored(model, test, label)
+    return model, scored(model, test, label)
 
 
 def magnitude_regression(
@@ -132,10 +136,10 @@ def feature_importance(model: PipelineModel, data: DataFrame, features: Sequence
     )
 
 
-def at_risk_report(scored: DataFrame, coverage: DataFrame) -> DataFrame:
+def at_risk_report(lines: DataFrame, coverage: DataFrame) -> DataFrame:
     """Per material and plant: is any line predicted to go on backorder, with coverage and stock."""
     plant = F.coalesce("plant_code", F.lit("")).alias("plant_code")
-    predicted = scored.groupBy("client_id", "material_number", plant).agg(
+    predicted = lines.groupBy("client_id", "material_number", plant).agg(
         F.max("prediction").alias("predicted"), F.max("score").alias("risk_score")
     )
     known = coverage.select(*SERIES, "woc", "saleable_inventory")

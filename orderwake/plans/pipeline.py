@@ -16,7 +16,7 @@ from ..sources.ingest import clean_table
 from ..sources.names import TABLE_NAMES
 from . import evaluate, forecast, models, quality
 from .features import encoded_features, feature_names, in_stable_order, stratified_split
-from .masters import Tables, inventory_material, order_fulfillment, purchase
+from .masters import ORDER_GRAIN, Tables, inventory_material, order_fulfillment, purchase
 from .metrics import order_backorder_metrics, shipment_history, weeks_of_coverage
 from .targets import OVERSTOCK_WEEKS, inventory_targets, order_targets
 
@@ -56,9 +56,9 @@ class Stages:
         return (reader.schema(schema) if schema else reader).load(self.path(name))
 
 
-def build_masters(tables: Tables) -> dict[str, DataFrame]:
+def build_masters(tables: Tables, document_modulus: int | None = None) -> dict[str, DataFrame]:
     return {
-        "master_order_fulfillment": order_fulfillment(tables),
+        "master_order_fulfillment": order_fulfillment(tables, document_modulus),
         "master_inventory_material": inventory_material(tables),
         "master_purchase": purchase(tables),
     }
@@ -98,11 +98,15 @@ def run(
     supporting: str | None = None,
     source_format: str = "csv",
     target_format: str = "parquet",
+    document_modulus: int | None = None,
 ) -> Stages:
-    """Read the clean tables below `source`, write every stage table below `target`."""
+    """Read the clean tables below `source`, write every stage table below `target`.
+
+    A missing required table is an error before anything is written.
+    """
     tables = read_tables(spark, source, supporting, source_format)
     stages = Stages(spark, target, target_format)
-    done = stages.save(build_masters(tables))
+    done = stages.save(build_masters(tables, document_modulus))
 
     inventory = done["master_inventory_material"]
     orders = order_backorder_metrics(done["master_order_fulfillment"], inventory, reference_date)
@@ -159,15 +163,21 @@ def run_discovery(stages: Tables, target: str, today: dt.date) -> dict[str, str]
     return _write_reports(reports, target)
 
 
-def run_modelling(stages: Tables, workspace: Workspace, target: str) -> dict[str, str]:
-    """Train and evaluate the classifiers, forecast demand, size excess stock.
+def run_modelling(
+    stages: Tables, workspace: Workspace, target: str, exclude_leaky: bool = False, category_length: int | None = None
+) -> dict[str, str]:
+    """Train and evaluate the classifiers, report lines at risk, forecast demand, size excess stock.
 
     Writes models, metrics (JSON) and reports (CSV) below `target`; returns name -> path. Features and
     scored rows are written to the workspace, since fits and evaluations scan them many times.
     """
-    encoded = workspace.table("encoded", lambda: encoded_features(stages["master_order_fulfillment_with_targets"]))
+    targets = stages["master_order_fulfillment_with_targets"]
+    keys = [*ORDER_GRAIN, "material_number", "plant_code"]
+    encoded = workspace.table(
+        "encoded", lambda: encoded_features(targets, keys, exclude_leaky=exclude_leaky, category_length=category_length)
+    )
     data = workspace.table("split", lambda: in_stable_order(stratified_split(encoded)))
-    names = feature_names()
+    names = feature_names(exclude_leaky)
     logistic, logistic_scored = models.logistic_backorder(data, names)
     forest, forest_scored = models.forest_backorder(data, names)
     logistic_scored = workspace.table("logistic_scored", lambda df=logistic_scored: df)
@@ -190,6 +200,9 @@ def run_modelling(stages: Tables, workspace: Workspace, target: str) -> dict[str
     written = read_json_rows(workspace.spark, paths["classification_metrics"], scores.schema)
     reports = {
         "classification_feature_importance": models.feature_importance(forest, data, names),
+        "confusion_matrix": evaluate.confusion_matrix(logistic_scored),
+        "classification_report": evaluate.classification_report(logistic_scored),
+        "at_risk": models.at_risk_report(models.scored(logistic, data), stages["master_woc"]),
         "demand_forecast": forecasts,
         "excess_inventory": excess,
         "model_comparison": evaluate.model_comparison(written),

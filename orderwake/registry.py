@@ -100,17 +100,26 @@ class Dataset:
     def targets(self) -> DataFrame:
         return targets.order_targets(self.metrics())
 
-    def fitted(self, name: str, fit: Callable) -> tuple[PipelineModel, DataFrame]:
+    def fitted(self, name: str, fit: Callable, exclude_leaky: bool = False) -> tuple[PipelineModel, DataFrame]:
         """A model on the training rows, fitted once, and its scored test rows, written once.
 
         Evaluation reads the scored rows several times; scoring them again each time costs more.
         """
         if name not in self._models:
-            model, scored = fit(self.split(), features.feature_names())
+            model, scored = fit(self.split(), features.feature_names(exclude_leaky))
             self._models[name] = model
             self.workspace.table(f"{name}_scored", lambda: scored)
         return self._models[name], self.workspace.table(f"{name}_scored")
 
+    def magnitude(self, name: str, **how) -> DataFrame:
+        """Test rows with the predicted magnitude; fitted once, without the features that define it."""
+
+        def predict() -> DataFrame:
+            _, predicted = models.magnitude_regression(self.split(), features.feature_names(exclude_leaky=True), **how)
+            return predicted
+
+        return models.regression_metrics(self.workspace.table(f"{name}_predicted", predict), name)
+
     def scored(self) -> DataFrame:
         """Deterministic classifier: the outstanding quantity is the score."""
         return self.targets().select(
@@ -379,15 +388,7 @@ def material_overlap(d: Dataset) -> DataFrame:
 
 
 def sql_views_sample(d: Dataset) -> DataFrame:
-    pipeline.register_views(
-        {
-            "master_order_fulfillment_brd": d.metrics(),
-            "master_inventory_material": d.inventory(),
-            "master_purchase": d.purchase(),
-            "shipment_history": d.shipments(),
-            "master_woc": d.coverage(),
-        }
-    )
+    pipeline.register_views({"master_order_fulfillment_brd": d.metrics()})
     return d.spark.sql(
         "SELECT * FROM order_fulfillment ORDER BY cast(sales_document_number AS bigint), cast(item_number AS int) LIMIT 5"
     )
@@ -466,23 +467,20 @@ def forest_importance(d: Dataset) -> DataFrame:
 
 
 def backorder_gbt(d: Dataset) -> DataFrame:
-    _, scored = d.fitted("gradient_boosted_trees", models.gbt_backorder)
+    _, scored = d.fitted("gradient_boosted_trees", models.gbt_backorder, exclude_leaky=True)
     return evaluate.classification_metrics(scored, "gradient_boosted_trees")
 
 
 def magnitude_elasticnet(d: Dataset) -> DataFrame:
-    _, predicted = models.magnitude_regression(d.split(), features.feature_names())
-    return models.regression_metrics(predicted, "elastic_net")
+    return d.magnitude("elastic_net")
 
 
 def magnitude_ridge(d: Dataset) -> DataFrame:
-    _, predicted = models.magnitude_regression(d.split(), features.feature_names(), elastic_net=0.0)
-    return models.regression_metrics(predicted, "ridge")
+    return d.magnitude("ridge", elastic_net=0.0)
 
 
 def magnitude_gbt(d: Dataset) -> DataFrame:
-    _, predicted = models.magnitude_regression(d.split(), features.feature_names(), boosted=True)
-    return models.regression_metrics(predicted, "gradient_boosted_trees")
+    return d.magnitude("gradient_boosted_regression", boosted=True)
 
 
 def model_comparison(d: Dataset) -> DataFrame:
@@ -490,9 +488,25 @@ def model_comparison(d: Dataset) -> DataFrame:
     return evaluate.model_comparison(reduce(DataFrame.unionByName, compared))
 
 
+def model_comparison_by_quantity(d: Dataset) -> DataFrame:
+    """The model comparison for three deterministic classifiers."""
+    scored = d.scored()
+    compared = (
+        evaluate.classification_metrics(scored.withColumn("prediction", (F.col("score") >= limit).cast("int")), f"quantity_from_{limit}")
+        for limit in (10, 20, 40)
+    )
+    return evaluate.model_comparison(reduce(DataFrame.unionByName, compared))
+
+
 def at_risk_report(d: Dataset) -> DataFrame:
-    _, scored = d.fitted("logistic_regression", models.logistic_backorder)
-    return models.at_risk_report(scored, d.coverage())
+    """Every line, scored by the model that was fitted on the training lines."""
+    model, _ = d.fitted("logistic_regression", models.logistic_backorder)
+    return models.at_risk_report(models.scored(model, d.split()), d.coverage())
+
+
+def at_risk_coverage(d: Dataset) -> DataFrame:
+    """The at-risk report without the model's two columns."""
+    return at_risk_report(d).drop("predicted_backorder", "risk_score")
 
 
 def at_risk_by_quantity(d: Dataset) -> DataFrame:
@@ -571,7 +585,9 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     magnitude_ridge,
     magnitude_gbt,
     model_comparison,
+    model_comparison_by_quantity,
     at_risk_report,
+    at_risk_coverage,
     at_risk_by_quantity,
     magnitude_by_quantity,
 )

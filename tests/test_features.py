@@ -138,7 +138,9 @@ def test_models_learn_and_can_be_saved(spark, split, tmp_path):
     path = str(tmp_path / "lr")
     model.write().overwrite().save(path)
     again = type(model).load(path)
-    assert len(again.stages) == 2
+    plain = split.filter("is_test")
+    assert plain.agg(F.max("net_value")).first()[0] > 100  # not standardised
+    assert models.scored(again, plain).orderBy(*features.ORDER_GRAIN).collect() == tested.orderBy(*features.ORDER_GRAIN).collect()
 
     forest, tested = models.forest_backorder(split, names, trees=10, depth=5)
     assert evaluate.classification_metrics(tested, "rf").first().accuracy > 0.9
@@ -159,15 +161,30 @@ def test_seeded_forest_repeats_on_reshuffled_rows(spark, split, tmp_path):
     assert found[0] == found[1]
 
 
-def test_magnitude_regression(split):
-    names = features.feature_names()
-    _, linear = models.magnitude_regression(split, names)
-    _, boosted = models.magnitude_regression(split, names, boosted=True)
+def test_magnitude_regression_without_the_features_that_define_it(spark, split):
+    names = features.feature_names(exclude_leaky=True)
+    assert not set(names) & set(features.LEAKY_FEATURES)
+    shaped = split.withColumn("backorder_units", F.when(F.col("net_value") > 700, 40.0).otherwise(5.0) + F.col("item_category_enc"))
+    _, linear = models.magnitude_regression(shaped, names)
+    _, boosted = models.magnitude_regression(shaped, names, boosted=True)
     linear, boosted = (models.regression_metrics(p, "m").first() for p in (linear, boosted))
     assert boosted.rmse < linear.rmse
     assert boosted.r2 > 0.9
 
 
+def test_scores_that_are_no_number_have_no_rank(spark):
+    data = [(1, 1, 3.0), (0, 0, 1.0), (0, 1, float("nan")), (1, 0, None)]
+    frame = spark.createDataFrame(data, "label int, prediction int, score double")
+    assert evaluate.roc_auc(frame).first()[0] == 1.0
+    assert evaluate.threshold_curve(frame).count() == 2
+
+
+def test_categories_stay_whole_unless_cut(lines):
+    whole = features.encoded_features(lines).agg(F.count_distinct("material_type_enc")).first()[0]
+    cut = features.encoded_features(lines, category_length=4).agg(F.count_distinct("material_type_enc")).first()[0]
+    assert whole == 10 and cut == 2
+
+
 def test_at_risk_report(spark, rows):
     found = spark.createDataFrame(
         [("100", "A", "1", 1, 0.9), ("100", "A", "1", 0, 0.1), ("100", "B", None, 0, 0.2)],

@@ -1,6 +1,7 @@
 """Readers, renames, change logs, sinks and the whole pipeline on files."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from orderwake.sources import (
     write_report,
     write_table,
 )
+from orderwake.sources.catalog import CLEAN_TABLES
+from orderwake.sources.readers import OPTIONAL_TABLES
 
 
 def write(folder, name, text):
@@ -113,6 +116,19 @@ def test_workspace_computes_a_table_once(spark):
 
     assert workspace.table("t", build).count() == workspace.table("t", build).count() == 3
     assert calls == [1]
+    folder = workspace.folder
+    assert os.path.isdir(folder)
+    workspace.close()
+    assert not os.path.exists(folder)
+
+
+def test_without_a_shared_folder_a_table_is_a_persisted_frame(spark, monkeypatch):
+    monkeypatch.setattr("orderwake.sources.workspace.scratch_folder", lambda _: None)
+    workspace = Workspace(spark, "kept")
+    kept = workspace.table("t", lambda: spark.range(3))
+    assert kept.is_cached and workspace.table("t") is kept and kept.count() == 3
+    workspace.close()
+    assert not kept.is_cached
 
 
 @pytest.fixture
@@ -129,9 +145,30 @@ def clean_folder(spark, tmp_path):
     write(folder, "delivery_header.csv", "client_id,sales_document_number,goods_issue_date\n" + "\n".join(issued))
     write(folder, "material_stock.csv", "client_id,material_number,plant_code,storage_location,unrestricted_stock\n100,M0,P1,1,3\n100,M1,P1,1,500\n100,M2,,1,\n")
     write(folder, "material_master.csv", "client_id,material_number,material_type,material_group\n100,M0,FERT,G\n100,M1,ROH,G\n")
+    for name, table in CLEAN_TABLES.items():
+        if name not in OPTIONAL_TABLES and not (folder / f"{name}.csv").exists():
+            write(folder, f"{name}.csv", ",".join(table.schema.names) + "\n")
     return str(folder)
 
 
+def test_missing_required_tables_stop_the_run_before_it_writes(spark, tmp_path, clean_folder):
+    target = tmp_path / "out"
+    pipeline.run(spark, clean_folder, str(target), dt.date(2024, 4, 30))
+    before = sorted(p.name for p in target.rglob("*"))
+    with pytest.raises(FileNotFoundError, match="sales_order_item"):
+        pipeline.run(spark, str(tmp_path / "elsewhere"), str(target), dt.date(2024, 4, 30))
+    os.remove(f"{clean_folder}/customer_master.csv")
+    with pytest.raises(FileNotFoundError, match="customer_master"):
+        pipeline.run(spark, clean_folder, str(target), dt.date(2024, 4, 30))
+    assert sorted(p.name for p in target.rglob("*")) == before
+
+
+def test_delivery_headers_may_be_missing(spark, tmp_path, clean_folder):
+    os.remove(f"{clean_folder}/delivery_header.csv")
+    stages = pipeline.run(spark, clean_folder, str(tmp_path / "out"), dt.date(2024, 4, 30))
+    assert stages.rows["shipment_history"] == 0 and stages.rows["master_order_fulfillment"] == 30
+
+
 @pytest.mark.parametrize("target_format", ["parquet", "csv"])
 def test_pipeline_on_csv_files(spark, tmp_path, clean_folder, rows, target_format):
     target = str(tmp_path / "out")
@@ -165,6 +202,10 @@ def test_pipeline_on_csv_files(spark, tmp_path, clean_folder, rows, target_forma
     metrics = read_json_rows(spark, results["classification_metrics"])
     assert {r.model for r in metrics.collect()} == {"logistic_regression", "random_forest"}
     assert read_report(spark, results["classification_feature_importance"]).count() == 8
+    pairs = labelled.select("client_id", "material_number", F.coalesce("plant_code", F.lit(""))).distinct().count()
+    assert read_report(spark, results["at_risk"]).count() == pairs
+    assert read_report(spark, results["classification_report"]).count() == 5
+    assert sum(int(r.n_rows) for r in read_report(spark, results["confusion_matrix"]).collect()) == 6
     summary = {r.metric: r.value for r in read_json_rows(spark, results["regression_metrics"]).collect()}
     assert summary["materials_with_forecast"] == 3.0
 
