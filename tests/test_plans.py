@@ -22,7 +22,11 @@ def test_no_all_pairs_join_and_no_python(spark, query):
 
 
 def test_scans_read_the_needed_columns_only(spark):
-    plan = physical(registry.runner(registry.delivery_agg)(spark, DATA))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = physical(registry.runner(registry.delivery_agg)(spark, DATA))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     schema = plan[plan.index("ReadSchema") :].split("\n")[0]
     for column in ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"):
         assert column in schema
