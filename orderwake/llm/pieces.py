@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from functools import lru_cache
 from itertools import chain
@@ -20,7 +21,7 @@ MARK = "▁"
 #: What a character without piece scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Words whose pieces a Python worker remembers from earlier batches.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 def default_model() -> str:
@@ -38,8 +39,8 @@ class Vocabulary:
         self.raw: list[bytes] = []
         self.byte_ids = [0] * 256
         self.unknown = model.unk_id()
-        #: Pieces by their characters from last to first; "" holds (score, id).
-        self.backwards: dict = {}
+        #: Pieces by their characters from last to first: character -> [further characters, score, id or -1].
+        self.backwards: dict[str, list] = {}
         scores = []
         for i in ids:
             piece = model.id_to_piece(i)
@@ -52,19 +53,20 @@ class Vocabulary:
             else:
                 text = piece.replace(MARK, " ")
                 self.raw.append(text.encode())
-                node = self.backwards
+                further, node = self.backwards, []
                 for c in reversed(text):
-                    node = node.setdefault(c, {})
-                node[""] = (model.get_score(i), i)
+                    node = further.setdefault(c, [{}, 0.0, -1])
+                    further = node[0]
+                node[1:] = [model.get_score(i), i]
                 scores.append(model.get_score(i))
         self.has_bytes = any(model.is_byte(i) for i in ids)
         self.unknown_score = min(scores) - UNKNOWN_PENALTY
-        self.remembered: dict[str, list[int]] = {}
+        self.remembered: dict[str, tuple[int, ...]] = {}
 
     def spelled(self, character: str) -> list[int]:
         return [self.byte_ids[b] for b in character.encode()] if self.has_bytes else [self.unknown]
 
-    def segment(self, words: list[str]) -> list[list[int]]:
+    def segment(self, words: list[str]) -> list[tuple[int, ...]]:
         """Ids of the best-scoring pieces of each of the sorted, distinct words.
 
         The words form a trie that is walked depth first: `best` and `back` hold the forward scores along the
@@ -73,28 +75,27 @@ class Vocabulary:
         """
         root, worst = self.backwards, self.unknown_score
         best, back = [0.0], [(0, -1)]
-        found, previous = [], ""
+        found: list[tuple[int, ...]] = []
+        previous = ""
         for word in words:
             shared, most = 0, min(len(previous), len(word))
             while shared < most and previous[shared] == word[shared]:
                 shared += 1
             del best[shared + 1 :], back[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                at = end - 1
-                top, step = best[at] + worst, (at, -1)
-                node = root
-                while at >= 0:
-                    node = node.get(word[at])
+                top, start, last = best[end - 1] + worst, end - 1, -1
+                further = root
+                for at in range(end - 1, -1, -1):
+                    node = further.get(word[at])
                     if node is None:
                         break
-                    piece = node.get("")
-                    if piece is not None:
-                        score = best[at] + piece[0]
+                    further, score, piece = node
+                    if piece >= 0:
+                        score += best[at]
                         if score >= top:
-                            top, step = score, (at, piece[1])
-                    at -= 1
+                            top, start, last = score, at, piece
                 best.append(top)
-                back.append(step)
+                back.append((start, last))
             ids: list[int] = []
             end = len(word)
             while end:
@@ -105,14 +106,16 @@ class Vocabulary:
                     ids.extend(reversed(self.spelled(word[at:end])))
                 end = at
             ids.reverse()
-            found.append(ids)
+            found.append(tuple(ids))
             previous = word
         return found
 
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    known = Vocabulary(path)
+    gc.freeze()  # its many small tables stay; the garbage collector need not walk them again and again
+    return known
 
 
 #: No piece holds a space after another character, so these parts of a text can be segmented alone.
@@ -127,13 +130,13 @@ def marked_words(text: str) -> list[str]:
 def encode_batch(texts: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts end to end, the number of ids and of words of each text."""
     words = [marked_words(t or "") for t in texts]
-    distinct = sorted(set().union(*words))
-    number = {w: i for i, w in enumerate(distinct)}
-    new = [w for w in distinct if w not in vocab.remembered]
-    fresh = dict(zip(new, vocab.segment(new)))
-    pieces = [fresh.get(w) or vocab.remembered[w] for w in distinct]
-    for word in new[: max(0, REMEMBERED - len(vocab.remembered))]:
-        vocab.remembered[word] = fresh[word]
+    distinct = set().union(*words)
+    new = sorted(distinct - vocab.remembered.keys())
+    known = [w for w in distinct if w in vocab.remembered]
+    pieces = [*map(vocab.remembered.__getitem__, known), *vocab.segment(new)]
+    number = dict(zip(chain(known, new), range(len(distinct))))
+    room = max(0, REMEMBERED - len(vocab.remembered))
+    vocab.remembered.update(zip(new[:room], pieces[len(known) :]))
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     flat = np.fromiter(chain.from_iterable(pieces), np.int32, int(sizes.sum()))
     first = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
