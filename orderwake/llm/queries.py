@@ -17,7 +17,7 @@ from orderwake.llm.quality_crf import fit_quality, quality_scores, training_fold
 from orderwake.llm.quality_rules import quality_rules
 from orderwake.llm.simhash import simhash_groups
 from orderwake.llm.substring_dedup import substring_dedup
-from orderwake.llm.token_counts import recount, token_trees, with_cleaning_edits
+from orderwake.llm.token_counts import cleaned_token_counts
 
 
 def remainder(id_col: str, folds: int) -> Column:
@@ -27,11 +27,7 @@ def remainder(id_col: str, folds: int) -> Column:
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document before and after it is cleaned by edits."""
-    edited = with_cleaning_edits(table(spark, sf_dir, "documents"))
-    trees = token_trees(edited, id_col="doc", edits_col="edits")
-    return recount(trees).select(
-        F.col("doc").alias("doc_id"), "n_before", "n_tokens", "n_edits", "n_encoded", F.sha2("text", 256).alias("edited_sha256")
-    )
+    return cleaned_token_counts(table(spark, sf_dir, "documents"))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ def default_ranks() -> str:
 class PretokenCounter(dict):
     """Tokens of a pre-token; remembers up to `most` of them."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 200_000):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
@@ -163,6 +164,14 @@ class PretokenTree:
         return "".join(texts), chars, tokens
 
 
+def after_edits(text: str, edits: list[dict], leaves: tuple[np.ndarray, np.ndarray], counts: PretokenCounter) -> tuple[PretokenTree, str, list[int], list[int]]:
+    """The tree after all edits in order, with the text and leaves that it then stands for."""
+    tree = PretokenTree(text, *leaves, counts)
+    for e in edits:
+        tree.edit(e["at"] or 0, e["cut"] or 0, e["put"] or "")
+    return tree, *tree.state(*leaves)
+
+
 def _packed(values: list[int]) -> bytes:
     return np.array(values, "<i4").tobytes()
 
@@ -202,11 +211,7 @@ def recount(trees: DataFrame, *, ranks: str | None = None) -> DataFrame:
             if not own:
                 made.append((text, c, t, n, n, 0, 0))
                 continue
-            leaf_chars, leaf_tokens = np.frombuffer(c, "<i4"), np.frombuffer(t, "<i4")
-            tree = PretokenTree(text, leaf_chars, leaf_tokens, counter(path))
-            for e in own:
-                tree.edit(e["at"] or 0, e["cut"] or 0, e["put"] or "")
-            changed, c, t = tree.state(leaf_chars, leaf_tokens)
+            tree, changed, c, t = after_edits(text, own, (np.frombuffer(c, "<i4"), np.frombuffer(t, "<i4")), counter(path))
             made.append((changed, _packed(c), _packed(t), tree.tokens[1], n, len(own), tree.encoded))
         kinds = [pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         columns = [pa.array(x, k) for x, k in zip(zip(*made), kinds)]
@@ -236,14 +241,27 @@ def cleaning_edits(text: str | None) -> list[dict]:
     return edits[::-1]
 
 
-def with_cleaning_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc`, `text` and `edits` of each row."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    shape = pa.list_(pa.struct([("at", pa.int32()), ("cut", pa.int32()), ("put", pa.string())]))
+def cleaned_token_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None) -> DataFrame:
+    """Id, `n_before`, `n_tokens`, `n_edits`, `n_encoded` (long) and `edited_sha256` of each row after its cleaning edits.
+
+    Trees, edits and counts are made in one pass; no state travels. A null text counts as empty.
+    """
+    path, kind = ranks or default_ranks(), docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        edits = pa.array([cleaning_edits(t) for t in piece.column(1).to_pylist()], shape)
-        return pa.RecordBatch.from_arrays([*piece.columns, edits], ["doc", "text", "edits"])
+        counts, made = counter(path), []
+        for text in piece.column(1).to_pylist():
+            text = text or ""
+            leaves = tuple(np.array(x, "<i4") for x in counts.leaves(text))
+            before, edits = int(leaves[1].sum()), cleaning_edits(text)
+            tokens, encoded = before, 0
+            if edits:
+                tree, text, _, _ = after_edits(text, edits, leaves, counts)
+                tokens, encoded = tree.tokens[1], tree.encoded
+            made.append((before, tokens, len(edits), encoded, hashlib.sha256(text.encode()).hexdigest()))
+        kinds = [pa.int64()] * 4 + [pa.string()]
+        columns = [pa.array(x, k) for x, k in zip(zip(*made), kinds)]
+        return pa.RecordBatch.from_arrays([piece.column(0), *columns], [id_col, "n_before", "n_tokens", "n_edits", "n_encoded", "edited_sha256"])
 
-    return map_texts(rows, "text", work, f"doc {kind}, text string, edits {EDITS}")
+    return map_texts(rows, "text", work, f"`{id_col}` {kind}, n_before bigint, n_tokens bigint, n_edits bigint, n_encoded bigint, edited_sha256 string")
