@@ -14,8 +14,10 @@ from ..functions import at_least_zero, canonical_document, instant, number, text
 from ..operators import duplicate_rows, quantiles
 from .masters import ORDER_GRAIN
 
+# What identifies a row of the masters.
 INVENTORY_KEY = ["client_id", "material_number", "plant_code", "storage_location"]
 PURCHASE_KEY = ["client_id", "purchase_order_number", "purchase_order_item_number"]
+DESCRIBED_AT_ONCE = 8
 
 # The quantiles and columns that the outlier report shows.
 OUTLIER_QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -52,21 +54,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std (sample), min, quartiles and max, one row per numeric column."""
     columns = list(columns or numeric_columns(df))
-    # Long form keeps the generated code small however many columns there are; the partial sums
-    # leave each task as one row per column.
-    pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), number(df, c).alias("value")) for c in columns))
-    values = df.select(F.explode(pairs).alias("pair")).select("pair.column_name", "pair.value")
-    value = F.col("value")
-    moments = values.groupBy("column_name").agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        _unbiased_skew(value).alias("skew"),
-    )
+    # One wide row per group of columns, so that no row is copied; groups keep the generated code small.
+    parts = [_moments(df, columns[i : i + DESCRIBED_AT_ONCE]) for i in range(0, len(columns), DESCRIBED_AT_ONCE)]
+    moments = reduce(DataFrame.unionByName, parts)
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
-        *(F.max(F.when(F.col("probability") == p, value)).alias(f"p{int(p * 100)}") for p in (0.25, 0.5, 0.75))
+        *(F.max(F.when(F.col("probability") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in (0.25, 0.5, 0.75))
     )
     # Both sides hold one row per column of the table.
     return moments.join(quartiles, "column_name", "left").select(
@@ -74,6 +66,23 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    values = df.select(*(number(df, c).alias(c) for c in columns))
+    rows = (
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(c).alias("n"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+            _unbiased_skew(F.col(c)).alias("skew"),
+        )
+        for c in columns
+    )
+    return values.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def _unbiased_skew(value: Column) -> Column:
     n = F.count(value).cast("double")
     return F.when(n > 2, F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2))
