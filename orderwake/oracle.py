@@ -441,6 +441,12 @@ QUERIES: dict[str, str] = {
       FROM (SELECT o_orderkey AS number FROM orders WHERE o_orderkey IS NOT NULL
             UNION SELECT reference FROM delivery WHERE reference IS NOT NULL)
       GROUP BY 1 HAVING count(*) > 1""",
+    "coerced_values": """SELECT l_orderkey, l_linenumber, 'K' || l_partkey AS material, 'a category of part n' AS category,
+        CASE l_orderkey % 8 WHEN 0 THEN l_linenumber WHEN 1 THEN 1000 WHEN 5 THEN -2.5 END::DOUBLE AS quantity,
+        CASE l_orderkey % 8 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%d 00:00:00') WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%d 10:30:00')
+          WHEN 2 THEN strftime(l_shipdate, '%Y-%m-%d 00:00:00') END AS moment,
+        CASE l_orderkey % 8 WHEN 0 THEN 1.5 ELSE 0 END::DOUBLE AS ratio
+      FROM lineitem""",
     "event_weeks": """SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week,
         weekofyear(ts)::INTEGER AS week_of_year,
         floor(epoch(TIMESTAMP '2024-01-15 12:00:00' - ts::TIMESTAMP) / 86400) AS days, count(*) AS n_events
@@ -581,6 +587,12 @@ QUERIES: dict[str, str] = {
         printf('%.3f', p) AS precision, printf('%.3f', r) AS recall,
         printf('%.3f', CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) AS f1,
         printf('%.3f', (SELECT auc FROM auc_score)) AS roc_auc FROM rated_limit""",
+    "logistic_optimality": f"""SELECT coefficient, true AS is_flat, n_rows, n_positive
+      FROM (SELECT unnest({['intercept', *FEATURES]}) AS coefficient),
+        (SELECT count(*) AS n_rows, sum(target_backorder_risk)::BIGINT AS n_positive FROM split WHERE NOT is_test)""",
+    "ridge_optimality": f"""SELECT coefficient, true AS is_flat, n_rows, n_positive
+      FROM (SELECT unnest({['intercept', *FEATURES[2:]]}) AS coefficient),
+        (SELECT count(*) AS n_rows, sum(target_backorder_risk)::BIGINT AS n_positive FROM split WHERE NOT is_test)""",
     "magnitude_by_quantity": """SELECT 'outstanding_quantity' AS model,
         round(sqrt(avg((outstanding_qty - backorder_units) ** 2)), 6) AS rmse,
         round(avg(abs(outstanding_qty - backorder_units)), 6) AS mae,

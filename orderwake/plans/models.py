@@ -116,6 +116,43 @@ def magnitude_regression(
     return model, model.transform(test).select(*test.columns, "prediction")
 
 
+def logistic_optimality(
+    model: PipelineModel, train: DataFrame, features: Sequence[str], label: str = LABEL, bound: float = 1e-3
+) -> DataFrame:
+    """(coefficient, is_flat, n_rows, n_positive): is the penalised mean loss flat within `bound` at the fit?"""
+    fitted = model.stages[-1]
+    rows = with_class_weights(model.transform(train), train, label)
+    miss = F.col("weight") * (vector_to_array("probability")[1] - F.col(label))
+    inputs = {"intercept": F.lit(1.0), **{c: F.col(f"{c}_scaled") for c in features}}
+    penalty = fitted.getRegParam()
+    pull = {"intercept": 0.0, **{c: penalty * float(b) for c, b in zip(features, fitted.coefficients)}}
+    return _flatness(rows, miss, inputs, pull, F.sum("weight"), bound, F.sum(F.col(label)))
+
+
+def ridge_optimality(
+    model: PipelineModel, train: DataFrame, features: Sequence[str], target: str = "backorder_units", bound: float = 1e-3
+) -> DataFrame:
+    """The same for a linear model without absolute penalty, whose inputs and target are scaled to unit deviation."""
+    fitted = model.stages[-1]
+    spread = train.agg(*(F.stddev_samp(c).alias(c) for c in (*features, target))).first()
+    scale = {c: spread[c] or 1.0 for c in (*features, target)}
+    rows = model.transform(train)
+    miss = (F.col("prediction") - F.col(target)) / scale[target]
+    inputs = {"intercept": F.lit(1.0), **{c: F.col(c) / scale[c] for c in features}}
+    penalty = fitted.getRegParam() / scale[target]
+    pull = {c: penalty * float(b) * scale[c] / scale[target] for c, b in zip(features, fitted.coefficients)}
+    return _flatness(rows, miss, inputs, {"intercept": 0.0, **pull}, F.count(F.lit(1)), bound, F.count_if(F.col(target) > 0))
+
+
+def _flatness(rows, miss, inputs, pull, weight, bound, positive) -> DataFrame:
+    slopes = (
+        F.struct(F.lit(c).alias("coefficient"), (F.abs(F.sum(miss * x) / weight + F.lit(pull[c])) < bound).alias("is_flat"))
+        for c, x in inputs.items()
+    )
+    found = rows.agg(F.array(*slopes).alias("slopes"), F.count(F.lit(1)).alias("n_rows"), positive.cast("bigint").alias("n_positive"))
+    return found.select(F.inline("slopes"), "n_rows", "n_positive")
+
+
 def regression_metrics(predicted: DataFrame, model: str, target: str = "backorder_units") -> DataFrame:
     """One row: RMSE, MAE and R² on the predicted rows."""
     error = F.col("prediction") - F.col(target)

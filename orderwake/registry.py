@@ -12,11 +12,11 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions import week_start, whole_days
+from .functions import finite_or_zero, instant, number, text_key, week_start, whole_days
 from .operators import latest_image
 from .plans import evaluate, features, forecast, masters, metrics, models, pipeline, quality, targets
 from .sources import Workspace, rename_columns
@@ -245,6 +245,44 @@ def key_collisions(d: Dataset) -> DataFrame:
     return quality.reference_collisions(orders.unionByName(references))
 
 
+def coerced_values(d: Dataset) -> DataFrame:
+    """Untidy text made from the lines by key, through the lenient parsers."""
+    case, day = F.col("l_orderkey") % 8, F.col("l_shipdate").cast("date")
+    untidy = {
+        "quantity": (F.format_string(" %d ", "l_linenumber"), "1e3", "1d", "nan", "inf", "-2.5", ""),
+        "moment": (
+            F.date_format(day, "yyyy-MM-dd"),
+            F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 10:30:00+02:00")),
+            F.date_format(day, "yyyyMMdd"),
+            "00000000",
+            "no date",
+        ),
+        "ratio": (1.5, "Infinity", "-Infinity", "NaN"),
+    }
+    columns = {}
+    for name, values in untidy.items():
+        column = F.lit(None)
+        for i, value in enumerate(values):
+            column = F.when(case == i, value if isinstance(value, Column) else F.lit(value)).otherwise(column)
+        columns[name] = column.cast("double" if name == "ratio" else "string")
+    text = d.clean.raw("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.concat(F.lit("\u3000\tK"), F.col("l_partkey").cast("string"), F.lit("\xa0\n")).alias("material"),
+        F.format_string("a category of part number %09d", F.col("l_partkey").cast("bigint")).alias("category"),
+        *(c.alias(name) for name, c in columns.items()),
+    )
+    return text.select(
+        "l_orderkey",
+        "l_linenumber",
+        text_key(F.col("material")).alias("material"),
+        F.substring("category", 1, 20).alias("category"),
+        number(text, "quantity").alias("quantity"),
+        instant(text, "moment").alias("moment"),
+        finite_or_zero(F.col("ratio")).alias("ratio"),
+    )
+
+
 def event_weeks(d: Dataset) -> DataFrame:
     moment = F.col("ts")
     noon = F.lit(dt.datetime(2024, 1, 15, 12)).cast("timestamp_ntz")
@@ -456,6 +494,19 @@ def backorder_logistic(d: Dataset) -> DataFrame:
     return evaluate.classification_metrics(scored, "logistic_regression")
 
 
+def logistic_optimality(d: Dataset) -> DataFrame:
+    """Per coefficient: is the penalised loss of the fitted logistic model flat there? With the training counts."""
+    model, _ = d.fitted("logistic_regression", models.logistic_backorder)
+    return models.logistic_optimality(model, d.split().filter("not is_test"), features.feature_names())
+
+
+def ridge_optimality(d: Dataset) -> DataFrame:
+    """The same for ridge regression on the magnitude."""
+    names = features.feature_names(exclude_leaky=True)
+    model, _ = models.magnitude_regression(d.split(), names, elastic_net=0.0)
+    return models.ridge_optimality(model, d.split().filter("not is_test"), names)
+
+
 def backorder_forest(d: Dataset) -> DataFrame:
     _, scored = d.fitted("random_forest", models.forest_backorder)
     return evaluate.classification_metrics(scored, "random_forest")
@@ -538,6 +589,7 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     rename_roundtrip,
     latest_image_of_lines,
     key_collisions,
+    coerced_values,
     event_weeks,
     order_backorder_metrics,
     backorder_aging,
@@ -578,6 +630,8 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     threshold_curve,
     best_threshold,
     backorder_logistic,
+    logistic_optimality,
+    ridge_optimality,
     backorder_forest,
     forest_importance,
     backorder_gbt,
