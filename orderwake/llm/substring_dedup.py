@@ -14,6 +14,8 @@ from orderwake.llm.common import portions
 
 #: Two odd factors for polynomial hashes of byte ranges modulo 2 ** 64.
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: Bytes of texts that are hashed at a time.
+AT_ONCE = 2_000_000
 #: Stands for a missing id: behind all others.
 NO_ID = (1 << 63) - 1
 _POWERS: dict[int, np.ndarray] = {}
@@ -22,7 +24,7 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(factor: int, n: int) -> np.ndarray:
     known = _POWERS.get(factor)
     if known is None or len(known) < n:
-        steps = np.full(max(n, 1 << 22), factor, np.uint64)
+        steps = np.full(max(n, 1 << 21), factor, np.uint64)
         steps[0] = 1
         known = _POWERS[factor] = np.multiply.accumulate(steps)
     return known[:n]
@@ -149,15 +151,17 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _passed_on(table: pa.Table) -> list[tuple]:
-    """Results that only travel through a group by hash."""
-    return [(r["key"], r["doc"], r["place"]) for r in table.to_pylist() if r["low"] is None]
+def _passed_on(rows: list[dict], groups: int) -> list[tuple]:
+    """Results that only travel through a group by hash, as one row."""
+    doc, place = _gathered([r for r in rows if r["low"] is None])
+    return results(doc, place, groups)
 
 
 def hit_blocks(table: pa.Table, groups: int) -> pa.Table:
     """Blocks whose hash a window of another document has; documents differ if they come in different rows."""
-    rows = [r for r in table.to_pylist() if r["low"] is not None]
-    done = _passed_on(table)
+    rows = table.to_pylist()
+    done = _passed_on(rows, groups)
+    rows = [r for r in rows if r["low"] is not None]
     if rows:
         lows = [np.cumsum(from_planes(r["low"], "<u4"), dtype=np.uint32) for r in rows]
         low = np.concatenate(lows)
@@ -178,9 +182,8 @@ def hit_blocks(table: pa.Table, groups: int) -> pa.Table:
     return _table(done, RESULT)
 
 
-def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _gathered(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """Documents and places of result rows, sorted by document."""
-    rows = table.to_pylist()
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     doc = np.concatenate([np.cumsum(from_planes(r["doc"], "<i8")) for r in rows])
@@ -209,14 +212,34 @@ def candidate_rows(docs: pa.Table, hits: pa.Table, window: int, block: int, grou
 
     Of windows with one hash only those of the smallest id are sent; the others are known to be repeated.
     """
-    doc, place = _gathered(hits)
+    doc, place = _gathered(hits.to_pylist())
     ids, texts = _ids(docs), docs.column("text").to_pylist()
     kept = np.flatnonzero(np.isin(ids, doc))
-    if not len(kept):
+    number, found, start, size = _numbered(ids, texts), [], 0, 0
+    for end, i in enumerate(kept.tolist(), 1):  # texts of bounded size at a time
+        size += len((texts[i] or "").encode())
+        if size >= AT_ONCE or end == len(kept):
+            own = kept[start:end]
+            found.append(_windows_at_hits(ids[own], [texts[j] for j in own], number[own], doc, place, window, block))
+            start, size = end, 0
+    if not sum(len(x[0]) for x in found):
         return []
-    number = _numbered(ids, texts)
-    runs, _ = word_runs([texts[i] for i in kept])
-    ids, number = ids[kept], number[kept]
+    h1, h2, doc, place = (np.concatenate(x) for x in zip(*found))
+    key = (h1 >> np.uint64(32)) % np.uint64(groups)
+    order = np.lexsort((place, doc, h2, h1, key))
+    key, h1, h2, doc, place = key[order], h1[order], h2[order], doc[order], place[order]
+    later = doc > _least(h1, h2, doc)
+    rows: list[tuple] = [(k, None, None, None, None, d, p) for k, d, p in results(doc[later], place[later], groups)]
+    h1, h2, doc, place, key = (x[~later] for x in (h1, h2, doc, place, key))
+    rows += [(k, h1[a:b].tobytes(), h2[a:b].astype("<u2").tobytes(), None, None, planes(doc[a:b]), planes(place[a:b])) for k, a, b in _slices(key.astype(np.int64))]
+    return rows
+
+
+def _windows_at_hits(
+    ids: np.ndarray, texts: list[str | None], number: np.ndarray, doc: np.ndarray, place: np.ndarray, window: int, block: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Both hashes, document and place of the windows that hold a hit block; `doc`, `place` are the hits."""
+    runs, _ = word_runs(texts)
     per_blocks = runs.per_text // block + 1
     base = np.cumsum(per_blocks) - per_blocks
     hit = np.zeros(int(per_blocks.sum()) + 1, bool)
@@ -229,19 +252,9 @@ def candidate_rows(docs: pa.Table, hits: pa.Table, window: int, block: int, grou
     # A window holds just one whole block of its text's grid; if it is repeated elsewhere, so is that block.
     grid = -(-runs.place[first] // block)
     first = first[hit[base[owner] + grid]]
-    if not len(first):
-        return []
     h1, h2 = runs.hashes(first, window, FACTORS[0]), runs.hashes(first, window, FACTORS[1]) & np.uint64(0xFFFF)
     owner = runs.owner[first]
-    doc, place = ids[owner], number[owner] << np.uint64(32) | runs.place[first].astype(np.uint64)
-    key = (h1 >> np.uint64(32)) % np.uint64(groups)
-    order = np.lexsort((place, doc, h2, h1, key))
-    key, h1, h2, doc, place = key[order], h1[order], h2[order], doc[order], place[order]
-    later = doc > _least(h1, h2, doc)
-    rows: list[tuple] = [(k, None, None, None, None, d, p) for k, d, p in results(doc[later], place[later], groups)]
-    h1, h2, doc, place, key = (x[~later] for x in (h1, h2, doc, place, key))
-    rows += [(k, h1[a:b].tobytes(), h2[a:b].astype("<u2").tobytes(), None, None, planes(doc[a:b]), planes(place[a:b])) for k, a, b in _slices(key.astype(np.int64))]
-    return rows
+    return h1, h2, ids[owner], number[owner] << np.uint64(32) | runs.place[first].astype(np.uint64)
 
 
 def _least(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -254,8 +267,9 @@ def _least(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def repeated_windows(table: pa.Table, groups: int) -> pa.Table:
     """Windows whose hash a smaller id has as well."""
-    rows = [r for r in table.to_pylist() if r["low"] is not None]
-    done = _passed_on(table)
+    rows = table.to_pylist()
+    done = _passed_on(rows, groups)
+    rows = [r for r in rows if r["low"] is not None]
     if rows:
         h1 = np.concatenate([np.frombuffer(r["low"], "<u8") for r in rows])
         h2 = np.concatenate([np.frombuffer(r["high"], "<u2") for r in rows])
@@ -270,7 +284,7 @@ def repeated_windows(table: pa.Table, groups: int) -> pa.Table:
 
 def without_repeats(docs: pa.Table, repeats: pa.Table, window: int) -> pa.Table:
     """Texts without the words that repeated windows cover."""
-    doc, place = _gathered(repeats)
+    doc, place = _gathered(repeats.to_pylist())
     ids, texts = _ids(docs), docs.column("text").to_pylist()
     number = _numbered(ids, texts)
     lo, hi = np.searchsorted(doc, ids, "left"), np.searchsorted(doc, ids, "right")
@@ -307,11 +321,11 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     block = (window + 1) // 2
     spark = docs.sparkSession
-    groups = next_prime(2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    groups = next_prime(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in portions(batches, "text"):
+        for piece in portions(batches, "text", AT_ONCE):
             runs, _ = word_runs(piece.column("text").to_pylist())
             found = _table(probe_rows(_ids(piece), runs, block, groups), TRAVEL)
             yield from found.to_batches()
