@@ -140,6 +140,13 @@ def dataset(spark: SparkSession, folder: str) -> Dataset:
     return _datasets[key]
 
 
+def forget(spark: SparkSession, folder: str) -> None:
+    """Drop what is known of a folder, for one whose files were written anew within the session."""
+    known = _datasets.pop((spark.sparkContext.applicationId, folder), None)
+    if known:
+        known.workspace.close()
+
+
 def presented(df: DataFrame, digits: int = 6) -> DataFrame:
     """Dates as text and doubles rounded, so that results compare across engines."""
     columns = []

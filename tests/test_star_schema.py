@@ -35,3 +35,10 @@ def test_checks_have_something_to_count(spark):
     assert {r[0]: r[1] for r in registry.duplicate_checks(d).collect()}["purchase"]
     assert {r[0]: r[1] for r in registry.validity_checks(d).collect()}["future_order_date"]
     assert registry.missing_summary_purchase(d).count()
+
+
+def test_a_rewritten_folder_can_be_forgotten(spark):
+    first = registry.dataset(spark, DATA + "/")
+    assert registry.dataset(spark, DATA + "/") is first
+    registry.forget(spark, DATA + "/")
+    assert registry.dataset(spark, DATA + "/") is not first
