@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderwake.llm.common import table, written
 from orderwake.llm.decontaminate import decontaminate
 from orderwake.llm.line_dedup import line_dedup
-from orderwake.llm.pieces import decode_pieces, encode_pieces
+from orderwake.llm.pieces import encode_and_decode
 from orderwake.llm.quality_crf import fit_quality, keep_good, training_fold
 from orderwake.llm.simhash import simhash_groups
 
@@ -40,8 +40,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each text, and a digest of the text that they decode to."""
-    decoded = decode_pieces(encode_pieces(docs), text_col="decoded")
-    return decoded.select("doc_id", "n_words", F.size("pieces").alias("n_pieces"), "pieces", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode_and_decode(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -52,7 +52,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 
 
 def portions(
-    batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4_000_000
+    batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 2_000_000
 ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a piece add up to about `most_bytes`; a longer text stands alone."""
     for batch in batches:

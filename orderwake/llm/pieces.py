@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import gc
+import hashlib
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -21,7 +22,7 @@ MARK = "▁"
 #: What a character without piece scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Words whose pieces a Python worker remembers from earlier batches.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 
 
 def default_model() -> str:
@@ -39,9 +40,7 @@ class Vocabulary:
         self.raw: list[bytes] = []
         self.byte_ids = [0] * 256
         self.unknown = model.unk_id()
-        #: Pieces by their characters from last to first: character -> [further characters, score, id or -1].
-        self.backwards: dict[str, list] = {}
-        scores = []
+        self.scored: list[tuple[str, float, int]] = []
         for i in ids:
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -53,16 +52,24 @@ class Vocabulary:
             else:
                 text = piece.replace(MARK, " ")
                 self.raw.append(text.encode())
-                further, node = self.backwards, []
-                for c in reversed(text):
-                    node = further.setdefault(c, [{}, 0.0, -1])
-                    further = node[0]
-                node[1:] = [model.get_score(i), i]
-                scores.append(model.get_score(i))
+                self.scored.append((text, model.get_score(i), i))
         self.has_bytes = any(model.is_byte(i) for i in ids)
-        self.unknown_score = min(scores) - UNKNOWN_PENALTY
+        self.unknown_score = min(score for _, score, _ in self.scored) - UNKNOWN_PENALTY
         self.remembered: dict[str, tuple[int, ...]] = {}
 
+    @cached_property
+    def backwards(self) -> dict[str, list]:
+        """Pieces by their characters from last to first: character -> [further characters, score, id or -1]."""
+        root: dict[str, list] = {}
+        for text, score, i in self.scored:
+            further, node = root, []
+            for c in reversed(text):
+                node = further.setdefault(c, [{}, 0.0, -1])
+                further = node[0]
+            node[1:] = [score, i]
+        gc.freeze()  # its many small tables stay; the garbage collector need not walk them again and again
+        return root
+
     def spelled(self, character: str) -> list[int]:
         return [self.byte_ids[b] for b in character.encode()] if self.has_bytes else [self.unknown]
 
@@ -113,9 +120,7 @@ class Vocabulary:
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    known = Vocabulary(path)
-    gc.freeze()  # its many small tables stay; the garbage collector need not walk them again and again
-    return known
+    return Vocabulary(path)
 
 
 #: No piece holds a space after another character, so these parts of a text can be segmented alone.
@@ -191,3 +196,21 @@ def decode_pieces(encoded: DataFrame, *, pieces_col: str = "pieces", text_col: s
     from pyspark.sql.types import StringType, StructField, StructType
 
     return encoded.mapInArrow(run, StructType([*(schema[c] for c in names), StructField(text_col, StringType())]))
+
+
+def encode_and_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
+    """Id, `n_words`, `n_pieces`, `pieces`, and `decoded_sha256` of the text that the pieces spell, in one pass."""
+    path, kind = model or default_model(), docs.schema[id_col].dataType.simpleString()
+
+    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
+        vocab = vocabulary(path)
+        ids, sizes, n_words = encode_batch(piece.column(1).to_pylist(), vocab)
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+        spelled = (decode(ids[a:b].tolist(), vocab) for a, b in zip(offsets.tolist(), offsets[1:].tolist()))
+        digests = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in spelled], pa.string())
+        columns = [piece.column(0), pa.array(n_words), pa.array(sizes.astype(np.int32)), lists, digests]
+        return pa.RecordBatch.from_arrays(columns, [id_col, "n_words", "n_pieces", "pieces", "decoded_sha256"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return map_texts(rows, "text", work, f"`{id_col}` {kind}, n_words bigint, n_pieces int, pieces array<int>, decoded_sha256 string")

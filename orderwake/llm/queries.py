@@ -11,7 +11,7 @@ from orderwake.llm.common import table
 from orderwake.llm.decontaminate import contamination
 from orderwake.llm.language_id import fit_languages, language_spans
 from orderwake.llm.line_dedup import line_dedup
-from orderwake.llm.pieces import decode_pieces, encode_pieces
+from orderwake.llm.pieces import encode_and_decode
 from orderwake.llm.pii import find_pii, fit_pii
 from orderwake.llm.quality_crf import fit_quality, quality_scores, training_fold
 from orderwake.llm.quality_rules import quality_rules
@@ -44,8 +44,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, and a digest of the text decoded from them."""
-    decoded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents")), text_col="decoded")
-    return decoded.select("doc_id", "n_words", F.size("pieces").alias("n_pieces"), "pieces", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode_and_decode(table(spark, sf_dir, "documents"))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
