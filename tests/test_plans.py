@@ -30,6 +30,6 @@ def test_scans_read_the_needed_columns_only(spark):
     schema = plan[plan.index("ReadSchema") :].split("\n")[0]
     for column in ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"):
         assert column in schema
-    for column in ("l_extendedprice", "l_shipdate", "l_partkey", "o_orderdate"):
+    for column in ("l_extendedprice", "l_shipdate", "l_suppkey", "o_orderdate"):
         assert column not in schema
     assert "PushedFilters" in plan and "EqualTo(l_linestatus,F)" in plan
