@@ -27,10 +27,16 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id (rows without id: if the group has no other)."""
-    groups = simhash_groups(docs, shingle=3, max_bits=2)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
-    return docs.join(first.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(first["first"]), "left_semi")
+    """One row of each group of near copies: that with the smallest id (rows without id: if the group has no other).
+
+    Of rows that share this id the one with the smallest hash of its columns stays, of equal rows any one. Rows
+    get a number that is written with them, so each is told from its copies and a repeated task can't renumber them.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*docs.columns).alias("hash"), F.monotonically_increasing_id().alias("number"))
+    rows = written(docs.withColumn("place", place), "rows with places")
+    groups = simhash_groups(rows, id_col="place", shingle=3, max_bits=2)
+    first = groups.where(F.col("place") == F.col("component_id")).select(F.col("place.number").alias("first"))
+    return rows.join(first.hint("shuffle_hash"), rows["place.number"] == first["first"], "left_semi").select(*docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
