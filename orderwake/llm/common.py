@@ -51,6 +51,19 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(folder)
 
 
+def fair_share(sizes: dict[int, int], total: int) -> int:
+    """The largest share, at least 1, with which members that give their size or the share, if less, give `total` at most.
+
+    `sizes` has the number of members of each size. If all fit whole, it is the largest size.
+    """
+    left, members = total, sum(sizes.values())
+    for size, count in sorted(sizes.items()):
+        if size * members > left:
+            return max(1, left // members)
+        left, members = left - size * count, members - count
+    return max(sizes, default=1)
+
+
 def portions(
     batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 2_000_000
 ) -> Iterator[pa.RecordBatch]:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderwake.llm.chars import code_points, letters, lower, positions
-from orderwake.llm.common import map_texts
+from orderwake.llm.common import fair_share, map_texts
 
 #: First code points of script ranges, in order; a range ends where the next begins. Fixed values (Unicode blocks).
 SCRIPT_RANGES = (
@@ -123,14 +124,18 @@ class LanguageModel:
 def fit_languages(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS) -> LanguageModel:
     """Trigram probabilities and scripts per language, from at most `fit_docs` labelled rows.
 
-    The rows with the smallest hashes of their id are taken. Trigrams are counted in tasks; the driver gets
-    one count per language and bin. Rows with a null language or text are not used.
+    Of each language the rows with the smallest hashes of id and text are taken: the same number of each, or all
+    if it has fewer, and at least one, so every language that occurs is learned, however rare. Rows that repeat
+    language, id and text count once. Trigrams are counted in tasks; the driver gets at most `fit_docs` hashes per
+    language and one count per language and bin. Rows with a null language or text are not used.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.xxhash64(id_col).alias("rank"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.xxhash64(id_col, text_col).alias("rank"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    last = rows.select("rank").orderBy("rank").limit(fit_docs).agg(F.max("rank")).first()[0]
-    if last is None:
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))
+    smallest = rows.select("lang", "rank").distinct().withColumn("place", place).where(F.col("place") <= fit_docs)
+    ranks = {r["lang"]: r["ranks"] for r in smallest.groupBy("lang").agg(F.sort_array(F.collect_list("rank")).alias("ranks")).collect()}
+    if not ranks:
         return LanguageModel([], np.zeros((BINS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
 
     def count(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -147,7 +152,9 @@ def fit_languages(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str
             found += [(name, BINS + i, n) for i, n in enumerate(letters_of.tolist()) if n]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found) if found else ((), (), ()), (pa.string(), pa.int32(), pa.int64()))], ["lang", "bin", "n"])
 
-    used = rows.where(F.col("rank") <= last).select("lang", "text")
+    share = fair_share(Counter(map(len, ranks.values())), fit_docs)
+    last = labelled.sparkSession.createDataFrame([(lang, own[:share][-1]) for lang, own in ranks.items()], "lang string, last bigint")
+    used = rows.join(F.broadcast(last), "lang").where(F.col("rank") <= F.col("last")).dropDuplicates(["lang", "rank"]).select("lang", "text")
     counts = map_texts(used, "text", count, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in counts})
     grams = np.zeros((BINS + len(SCRIPTS), len(languages)))
