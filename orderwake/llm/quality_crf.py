@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,12 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderwake.llm.chars import code_points, letters, positions
-from orderwake.llm.common import SPACE, map_texts
+from orderwake.llm.common import SPACE, fair_share, map_texts
 
 #: Labelled documents that the model is fitted on at most.
 FIT_DOCS = 4_000
-#: Lines of a document beyond which it is not used for fitting (it is scored like any other).
+#: Lines of a chain in the fit; a longer document is fitted as several chains (it is scored whole like any other).
 FIT_LINES = 2_000
+#: Lines that the model is fitted on at most. Beyond it the longest documents give a stretch of equal length each.
+FIT_TOTAL = 400_000
 FIT_ROUNDS = 150
 #: Weight of the squared weights against the mean log-likelihood of a line.
 PENALTY = 1e-4
@@ -134,21 +137,40 @@ class LineField:
         good = ((rows - self.mean) / self.spread) @ self.weights
         return np.stack([np.zeros(len(good)), good], axis=1)
 
+    def lines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probability that a line is good, for the lines of all texts, their lengths, and lines per text."""
+        features, length, per_text = line_features(texts)
+        marginals, _, _ = forward_backward(self.emissions(with_neighbours(features, per_text)), self.transitions, per_text)
+        return marginals[:, 1], length, per_text
+
     def scores(self, texts: list[str]) -> np.ndarray:
         """Per text the mean probability that a line is good, weighted by line length plus one."""
         if not texts:
             return np.zeros(0)
-        features, length, per_text = line_features(texts)
-        marginals, _, _ = forward_backward(self.emissions(with_neighbours(features, per_text)), self.transitions, per_text)
+        likely, length, per_text = self.lines(texts)
         owner = np.repeat(np.arange(len(texts)), per_text)
         weight = length + 1
-        good = np.bincount(owner, weights=weight * marginals[:, 1], minlength=len(texts))
+        good = np.bincount(owner, weights=weight * likely, minlength=len(texts))
         return np.clip(good / np.bincount(owner, weights=weight, minlength=len(texts)), 0.0, 1.0)
 
 
-def fit_field(features: np.ndarray, per_text: np.ndarray, good: np.ndarray, rounds: int = FIT_ROUNDS) -> LineField:
-    """Maximise the likelihood of the labellings in which each line has its document's label."""
+def _chains(per_text: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the chains that texts of so many lines are cut into, and chains per text."""
+    chains = -(-per_text // longest)
+    sizes = np.full(chains.sum(), longest)
+    sizes[np.cumsum(chains) - 1] = per_text - (chains - 1) * longest
+    return sizes, chains
+
+
+def fit_field(features: np.ndarray, per_text: np.ndarray, good: np.ndarray, rounds: int = FIT_ROUNDS, longest: int = FIT_LINES) -> LineField:
+    """Maximise the likelihood of the labellings in which each line has its document's label.
+
+    Texts of more than `longest` lines are cut into chains after their lines have met their neighbours, so all
+    lines count; only the label pairs at the cuts do not.
+    """
     rows = with_neighbours(features, per_text)
+    per_text, chains = _chains(per_text, longest)
+    good = np.repeat(good, chains)
     mean, spread = rows.mean(axis=0), rows.std(axis=0)
     mean[-1], spread[spread < 1e-9] = 0.0, 1.0
     rows = (rows - mean) / spread
@@ -169,12 +191,14 @@ def fit_field(features: np.ndarray, per_text: np.ndarray, good: np.ndarray, roun
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_docs: int = FIT_DOCS, fit_lines: int = FIT_LINES
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_docs: int = FIT_DOCS, fit_lines: int = FIT_LINES, fit_total: int = FIT_TOTAL
 ) -> LineField:
     """Fit on the at most `fit_docs` labelled documents whose ids have the smallest hashes.
 
-    Line features are made in tasks; only they reach the driver. Rows with a null id or label and documents
-    of more than `fit_lines` lines are not used. With no row or one label only, every text scores the same.
+    Line features are made in tasks; only they reach the driver. Rows with a null id or label are not used. Long
+    documents are fitted as chains of `fit_lines` lines. If the documents have more than `fit_total` lines, the
+    longest give a stretch of equal length each, so that none is left out; its place is chosen by a hash. With no
+    row or one label only, every text scores the same.
     """
     chosen = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -185,12 +209,18 @@ def fit_quality(
     )
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc") == F.col("labelled"))
 
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    share = fair_share({r["n"]: r["count"] for r in rows.groupBy(n_lines.alias("n")).count().collect()}, fit_total)
+
     def measure(piece: pa.RecordBatch) -> pa.RecordBatch:
-        features, _, per_text = line_features([t or "" for t in piece.column(1).to_pylist()])
-        ends = np.cumsum(per_text)
-        kept = np.flatnonzero(per_text <= fit_lines)
-        packed = [features[ends[i] - per_text[i] : ends[i]].astype("<f4").tobytes() for i in kept]
-        return pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(kept)), pa.array(packed, pa.binary()), piece.column(2).take(pa.array(kept))], ["doc", "features", "label"])
+        texts = [t or "" for t in piece.column(1).to_pylist()]
+        features, _, per_text = line_features(texts)
+        starts = np.cumsum(per_text) - per_text
+        packed = []
+        for text, start, n in zip(texts, starts.tolist(), per_text.tolist()):
+            skipped = zlib.crc32(text.encode("utf-8", "surrogatepass")) % (n - share + 1) if n > share else 0
+            packed.append(features[start + skipped : start + skipped + min(n, share)].astype("<f4").tobytes())
+        return pa.RecordBatch.from_arrays([piece.column(0), pa.array(packed, pa.binary()), piece.column(2)], ["doc", "features", "label"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     measured = map_texts(rows.select("doc", "text", "label"), "text", measure, f"doc {kind}, features binary, label int").collect()
@@ -202,7 +232,7 @@ def fit_quality(
         even[-1] = 0.0 if not len(good) else (4.0 if good[0] else -4.0)
         return LineField(np.zeros_like(even), np.ones_like(even), even, np.zeros((2, 2)))
     features = [np.frombuffer(r["features"], "<f4").reshape(-1, width).astype(float) for r in measured]
-    return fit_field(np.concatenate(features), np.array([len(f) for f in features]), good)
+    return fit_field(np.concatenate(features), np.array([len(f) for f in features]), good, longest=fit_lines)
 
 
 def quality_scores(docs: DataFrame, model: LineField, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -218,6 +248,24 @@ def quality_scores(docs: DataFrame, model: LineField, *, id_col: str = "doc_id",
     return map_texts(rows, "text", work, f"`{id_col}` {kind}, score double, predicted int")
 
 
+def line_labels(docs: DataFrame, model: LineField, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """Id, `line_scores` (probability that the line is good) and `line_labels` (1 from `threshold` on) of each row.
+
+    Both are arrays with an entry for each line, in order; a null or empty text is one empty line.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
+        likely, _, per_text = shared.value.lines([t or "" for t in piece.column(1).to_pylist()])
+        offsets = pa.array(np.concatenate(([0], np.cumsum(per_text))), pa.int32())
+        scores, labels = (pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (likely, (likely >= threshold).astype(np.int32)))
+        return pa.RecordBatch.from_arrays([piece.column(0), scores, labels], [id_col, "line_scores", "line_labels"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return map_texts(rows, "text", work, f"`{id_col}` {kind}, line_scores array<double>, line_labels array<int>")
+
+
 def keep_good(docs: DataFrame, model: LineField, *, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows whose text scores at least `threshold`; all columns stay as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
