@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from orderwake.llm.common import table
 from orderwake.llm.decontaminate import contamination
+from orderwake.llm.fill_in_middle import digests, fill_in_middle, frame_store
 from orderwake.llm.language_id import fit_languages, language_spans
 from orderwake.llm.line_dedup import line_dedup
+from orderwake.llm.manifest import folded, leaf_digest, manifest, siblings_digest
 from orderwake.llm.pieces import encode_and_decode
 from orderwake.llm.pii import find_pii, fit_pii
 from orderwake.llm.quality_crf import fit_quality, quality_scores, training_fold
 from orderwake.llm.quality_rules import quality_rules
+from orderwake.llm.sharding import shard_table
 from orderwake.llm.simhash import simhash_groups
 from orderwake.llm.substring_dedup import substring_dedup
 from orderwake.llm.token_counts import cleaned_token_counts
@@ -77,6 +80,31 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document among 16 shards, and its shard among 17."""
+    return shard_table(table(spark, sf_dir, "documents"), 16).withColumn("law", F.lit("key"))
+
+
+#: What a leaf of the manifest holds.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; of half of them the leaf is folded anew without line breaks."""
+    unbroken = F.translate("text", "\n", "")
+    tampered = F.when(remainder("doc_id", 2) == 0, leaf_digest([unbroken if c == "text" else F.col(c) for c in LEAF]))
+    found = manifest(table(spark, sf_dir, "documents"), LEAF, carried={"tampered": tampered})
+    found = found.withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("witness")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", siblings_digest(F.col("witness")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's training text."""
+    return digests(fill_in_middle(frame_store(table(spark, sf_dir, "documents")), seed=42, rate=50, spm=80)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op2_quality_classifier, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op7_substring_dedup, op8_pii, op9_language_id, op10_decontamination)
+    query.__name__: query for query in (op1_token_counts, op2_quality_classifier, op3_line_dedup, op4_sentencepiece, op5_simhash_near_dedup, op6_quality_rules, op7_substring_dedup, op8_pii, op9_language_id, op10_decontamination, op11_sharding, op12_manifest, op13_fill_in_middle)
 }

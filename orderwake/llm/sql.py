@@ -89,4 +89,136 @@ FROM base b JOIN flagged f USING (doc_id)
 """
 
 
-ORACLE: dict[str, str] = {"op3_line_dedup": OP3, "op6_quality_rules": _op6()}
+def _checksum(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, by the table of remainders of all bytes."""
+    remainders = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        remainders.append(byte)
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda pair: ('0x' || pair)::BIGINT)"
+    step = f"xor(({remainders}::BIGINT[])[(xor(sum, octet) & 255) + 1], sum >> 8)"
+    return f"xor(list_reduce({octets}, lambda sum, octet: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+#: The generator's state is advanced by 128-bit arithmetic; a row of `jumps` is one move of a document's key.
+OP11 = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row, doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+    coalesce(text, '') AS text,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16))::UBIGINT::UHUGEINT AS state
+  FROM documents
+), jumps AS (
+  SELECT row, state, 0::BIGINT AS here FROM docs
+  UNION ALL
+  SELECT row, drawn, floor((here + 1) * (2147483648.0::DOUBLE / ((drawn // 8589934592)::DOUBLE + 1)))::BIGINT
+  FROM (SELECT row, here, (state * 2862933555777941757 + 1) % 18446744073709551616::UHUGEINT AS drawn FROM jumps WHERE here < 17)
+), placed AS (
+  SELECT row, max(here) FILTER (WHERE here < 16)::INT AS shard, max(here) FILTER (WHERE here < 17)::INT AS grown_shard
+  FROM jumps GROUP BY row
+), bytes AS (
+  SELECT row, doc_id, size, text FROM docs
+), summed AS (
+  SELECT *, {_checksum('text')} AS text_crc32 FROM bytes
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+FROM summed JOIN placed USING (row)
+"""
+
+OP13 = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM units
+), cut AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, units,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+    array_to_string(units[b + 1:n], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def _framed(columns: list[str]) -> str:
+    """Digest of values, each with its number of bytes."""
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}, '-')" for c in columns) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of the trees over `leaves` (grp, place, digest, n), with their level."""
+    return f"""{name} AS (
+  SELECT 0 AS level, grp, place, digest, n FROM {leaves}
+  UNION ALL
+  SELECT level + 1, grp, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY level, grp, place // 3, n
+)"""
+
+
+def _steps(name: str, tree: str) -> str:
+    """The joined siblings left and right of a leaf's ancestors below the root, level by level."""
+    return f"""{name} AS (
+  SELECT l.grp, l.place, a.level,
+    coalesce(string_agg(s.digest, '' ORDER BY s.place) FILTER (WHERE s.place < a.place), '') AS lefts,
+    coalesce(string_agg(s.digest, '' ORDER BY s.place) FILTER (WHERE s.place > a.place), '') AS rights
+  FROM (SELECT grp, place FROM {tree} WHERE level = 0) l
+  JOIN {tree} a ON a.grp = l.grp AND a.n > 1 AND a.place = l.place // (3 ** a.level)::BIGINT
+  JOIN {tree} s ON s.grp = a.grp AND s.level = a.level AND s.place // 3 = a.place // 3
+  GROUP BY ALL
+)"""
+
+
+def _op12() -> str:
+    leaf = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [*leaf[:-1], "replace(text, chr(10), '')"]
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp, {_framed(leaf)} AS digest,
+    {_framed(tampered)} AS changed
+  FROM documents
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, digest) - 1 AS place,
+    count(*) OVER (PARTITION BY grp) AS n
+  FROM leaves
+), {_tree("low", "numbered")}, subroots AS (
+  SELECT 0 AS grp, grp AS place, digest, count(*) OVER () AS n FROM low WHERE n = 1
+), {_tree("high", "subroots")}, {_steps("low_steps", "low")}, {_steps("high_steps", "high")}, steps AS (
+  SELECT grp, place, level, lefts, rights FROM low_steps
+  UNION ALL
+  SELECT l.grp, l.place, 1000 + h.level, h.lefts, h.rights FROM numbered l JOIN high_steps h ON h.place = l.grp
+), proofs AS (
+  SELECT grp, place, sha256(string_agg(lefts || rights, '' ORDER BY level)) AS proof_sha256,
+    list([lefts, rights] ORDER BY level) AS steps
+  FROM steps GROUP BY grp, place
+), folds AS (
+  SELECT grp, place, 1 AS next, steps, CASE WHEN {_checksum('doc_id::VARCHAR')} % 2 = 0 THEN changed ELSE digest END AS digest
+  FROM numbered LEFT JOIN proofs USING (grp, place)
+  UNION ALL
+  SELECT grp, place, next + 1, steps, sha256(steps[next][1] || digest || steps[next][2]) FROM folds WHERE next <= len(steps)
+), ends AS (
+  SELECT grp, place, last(digest ORDER BY next) AS folded_root FROM folds GROUP BY grp, place
+)
+SELECT d.doc_id, d.digest AS leaf, s.digest AS subroot, r.digest AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+  e.folded_root, e.folded_root = r.digest AS verified
+FROM numbered d JOIN subroots s ON s.place = d.grp JOIN (SELECT digest FROM high WHERE n = 1) r ON true
+JOIN ends e ON e.grp = d.grp AND e.place = d.place LEFT JOIN proofs p ON p.grp = d.grp AND p.place = d.place
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": OP3, "op6_quality_rules": _op6(), "op11_sharding": OP11, "op12_manifest": _op12(), "op13_fill_in_middle": OP13
+}
