@@ -26,11 +26,12 @@ def main() -> None:
     parser.add_argument("--discovery", action="store_true", help="also write the data discovery reports")
     parser.add_argument("--models", action="store_true", help="also train models and write forecasts")
     parser.add_argument("--exclude-leaky", action="store_true", help="train without the features that define the label")
+    parser.add_argument("--resume", action="store_true", help="keep stages that an earlier run has finished from the same files")
     options = parser.parse_args()
 
     spark = SparkSession.builder.appName("orderwake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     stages = pipeline.run(
-        spark, options.source, options.target, options.reference_date, options.supporting, options.format
+        spark, options.source, options.target, options.reference_date, options.supporting, options.format, resume=options.resume
     )
     for name, rows in stages.rows.items():
         print(f"{name}: {rows:,} rows -> {stages.path(name)}")

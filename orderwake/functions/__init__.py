@@ -9,7 +9,16 @@ from .coerce import (
     week_start,
     whole_days,
 )
-from .keys import canonical_document, canonical_item, canonical_key, strip_space, text_key
+from .keys import (
+    canonical_document,
+    canonical_item,
+    canonical_key,
+    folded_document,
+    range_table,
+    strip_space,
+    text_key,
+    whole_number,
+)
 
 __all__ = [
     "aging_bucket",
@@ -18,12 +27,15 @@ __all__ = [
     "canonical_item",
     "canonical_key",
     "finite_or_zero",
+    "folded_document",
     "instant",
     "number",
+    "range_table",
     "ratio",
     "strip_space",
     "sum_or_zero",
     "text_key",
     "week_start",
     "whole_days",
+    "whole_number",
 ]

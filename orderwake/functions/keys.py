@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .coerce import parse_number
+from .coerce import NUMBER_PATTERN
 
 # Spark's one-argument trim removes the space character only; extracts also carry tabs, line ends
 # and the Unicode spaces.
@@ -17,6 +17,8 @@ UNICODE_SPACE = (
 
 # Number ranges (first number, size) whose documents refer to order n by first number + n.
 DOCUMENT_RANGES = ((4_500_000_000, 100_000_000),)
+# Most ranges that a table of them may hold: 16 bytes each.
+MOST_RANGES = 100_000
 # The classic rule instead: numbers that agree in their last eight digits refer to the same order.
 # It confuses orders as soon as there are more than that.
 DOCUMENT_MODULUS = 100_000_000
@@ -33,29 +35,70 @@ def text_key(column: Column) -> Column:
     return F.coalesce(strip_space(column.cast("string")), F.lit(""))
 
 
-def _whole_number(column: Column) -> Column:
+def whole_number(column: Column) -> Column:
+    """A number as a bigint; text that is no number, or too large, is NULL."""
     text = column.cast("string")
     # Plain digits are read exactly; "51.0" and "1e3" go through double. Overflow gives NULL.
-    return F.coalesce(strip_space(text).try_cast("bigint"), parse_number(text).try_cast("bigint"))
+    lenient = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return F.coalesce(strip_space(text).try_cast("bigint"), lenient.try_cast("bigint"))
 
 
-def canonical_document(column: Column, modulus: int | None = None) -> Column:
+def folded_document(number: Column, modulus: int | None = None, ranges: Column | None = None) -> Column:
+    """Document number as text, '' for none. The number is used several times, so it should be a column of its own."""
+    if modulus is not None:
+        folded = F.pmod(number, F.lit(modulus))
+    elif ranges is not None:
+        folded = within_range(number, ranges)
+    else:
+        folded = number
+        for first, size in DOCUMENT_RANGES:
+            folded = F.when(number.between(first, first + size - 1), number - first).otherwise(folded)
+    return F.coalesce(folded.cast("string"), F.lit(""))
+
+
+def canonical_document(column: Column, modulus: int | None = None, ranges: Column | None = None) -> Column:
     """4500000051, '51' and ' 51.0 ' all become '51'; text that is no number becomes ''.
 
-    Numbers outside the declared ranges stay whole, unless a modulus is given (DOCUMENT_MODULUS).
+    Numbers outside the declared ranges stay whole, unless a modulus is given (DOCUMENT_MODULUS). `ranges`
+    (a column with a `range_table`) takes the place of the declared ranges.
     """
-    number = _whole_number(column)
-    if modulus is not None:
-        return F.coalesce(F.pmod(number, F.lit(modulus)).cast("string"), F.lit(""))
-    folded = number
-    for first, size in DOCUMENT_RANGES:
-        folded = F.when(number.between(first, first + size - 1), number - first).otherwise(folded)
-    return F.coalesce(folded.cast("string"), F.lit(""))
+    return folded_document(whole_number(column), modulus, ranges)
 
 
 def canonical_item(column: Column) -> Column:
     """'000010', '10' and '10.0' all become '10'; text that is no number becomes ''."""
-    return F.coalesce(_whole_number(column).cast("string"), F.lit(""))
+    return F.coalesce(whole_number(column).cast("string"), F.lit(""))
+
+
+def range_table(ranges: DataFrame) -> Column:
+    """Number ranges (rows of `first`, `size`) as one sorted array, to be a column that `within_range` looks into.
+
+    The array is computed once when a query runs and its length does not change the plan. MOST_RANGES bounds it: a
+    larger table is an error when it is read.
+    """
+    listed = F.array_sort(F.collect_list(F.struct(F.col("first").cast("bigint").alias("first"), F.col("size").cast("bigint").alias("size"))))
+    too_many = F.raise_error(F.lit(f"more than {MOST_RANGES} number ranges")).cast("array<struct<first:bigint,size:bigint>>")
+    return ranges.na.drop(subset=["first", "size"]).agg(F.when(F.count(F.lit(1)) <= MOST_RANGES, listed).otherwise(too_many)).scalar()
+
+
+def within_range(number: Column, ranges: Column) -> Column:
+    """A number less the first one of its range; a number of no range stays whole.
+
+    Binary search: the steps halve, and each is taken if the range it leads to begins at or below the number. Of
+    ranges that overlap the one that begins last counts.
+    """
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(MOST_RANGES.bit_length()))))
+
+    def offset(value: Column) -> Column:
+        def nearer(place: Column, step: Column) -> Column:
+            ahead = F.get(ranges, place + step)["first"]
+            return F.when(ahead <= value, place + step).otherwise(place)
+
+        found = F.get(ranges, F.aggregate(steps, F.lit(-1), nearer))
+        return F.when(value - found["first"] < found["size"], value - found["first"]).otherwise(value)
+
+    # Bound to a name by the lambda, so that the number is not parsed again in every step.
+    return F.get(F.transform(F.array(number), offset), 0)
 
 
 def canonical_key(column: Column) -> Column:

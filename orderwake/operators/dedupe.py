@@ -30,6 +30,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     return _top_row(df, keys, order or [F.lit(1)])
 
 
+def newest_image(df: DataFrame, keys: Sequence[str], recorded: str = RECORD_TIMESTAMP) -> DataFrame:
+    """The newest image per key, deletions included; of images recorded at one time the least by the other columns."""
+    rest = [c for c in df.columns if c not in keys and c != recorded]
+    return _top_row(df, keys, [F.col(recorded).desc_nulls_last(), *(F.col(c).asc_nulls_last() for c in rest)])
+
+
+def is_deletion(deleted: str = "is_deleted") -> Column:
+    return F.coalesce(F.lower(F.col(deleted).cast("string")).isin("true", "1", "x"), F.lit(False))
+
+
 def latest_image(
     df: DataFrame,
     keys: Sequence[str],
@@ -37,13 +47,8 @@ def latest_image(
     deleted: str = "is_deleted",
 ) -> DataFrame:
     """Resolve a change log: the newest image per key, and no row where that image is a deletion."""
-    rest = [c for c in df.columns if c not in keys and c != recorded]
-    order = [F.col(recorded).desc_nulls_last(), *(F.col(c).asc_nulls_last() for c in rest)]
-    newest = _top_row(df, keys, order)
-    if deleted in df.columns:
-        gone = F.lower(F.col(deleted).cast("string")).isin("true", "1", "x")
-        newest = newest.filter(~F.coalesce(gone, F.lit(False)))
-    return newest
+    newest = newest_image(df, keys, recorded)
+    return newest.filter(~is_deletion(deleted)) if deleted in df.columns else newest
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:

@@ -2,14 +2,15 @@
 
 1. A sketch gives, per column, a narrow bracket of values around each wanted rank. The bracket edges
    cut the column into pieces: below the first edge, equal to it, up to the next edge, and so on.
-2. One pass counts the values per piece. The counts are exact, so the piece that holds a wanted rank
-   is known for certain, however good the sketch was. If that piece is an edge, so is the value.
+2. One pass counts the values below and up to each edge, in one wide row. The counts are exact, so the
+   piece that holds a wanted rank is known for certain, however good the sketch was. If that piece is an
+   edge, so is the value.
 3. Only values strictly between two edges with a wanted rank between them are grouped (value, count),
    ordered and ranked.
 
 Steps 1 and 2 bring a few numbers per column and probability to the driver. Nothing but step 3
 moves rows, and it moves about 4/accuracy of them per quantile, equal values already merged.
-The table is scanned three times, so it should be a written one.
+The table is scanned twice, and a third time if a rank lies between edges, so it should be a written one.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Collection, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,9 @@ from ..functions import number
 
 Edges = dict[str, list[float]]
 
+#: A bracket holds 4 in so many rows.
+ACCURACY = 20_000
+
 #: Cells that a piece is cut into for ranking.
 CELLS = 1_024
 
@@ -41,12 +45,10 @@ def quantiles(
 ) -> DataFrame:
     """One row (column_name, probability, value) per probability and column that has values.
 
-    `accuracy` sets the width of the brackets; by default they hold a few hundred rows, or 4 in
-    100,000 rows of a large table.
+    `accuracy` (ACCURACY) sets the width of the brackets: they hold 4 / accuracy of the rows.
     """
     measured = df.select(*(number(df, c).alias(c) for c in columns))
-    accuracy = accuracy or min(max(df.count() // 100, 1_000), 100_000)
-    edges = _bracket_edges(measured, probabilities, accuracy)
+    edges = _bracket_edges(measured, probabilities, accuracy or ACCURACY)
     known, still_open = _locate(_piece_counts(measured, edges), edges, probabilities)
 
     found = df.sparkSession.createDataFrame(known, FOUND)
@@ -67,36 +69,37 @@ def _bracket_edges(measured: DataFrame, probabilities: Sequence[float], accuracy
     return {c: sorted(set(row[c] or [])) for c in measured.columns}
 
 
-def _in_pieces(measured: DataFrame, edges: Edges, only: Collection[tuple[str, int]] | None = None) -> DataFrame:
-    """(column_name, piece, value) of the values in the listed pieces, or in any.
-
-    Piece 2k holds the values below edge k and above the one before, 2k + 1 those equal to edge k.
-    The edges are looked up in an array: one comparison per edge written out as code would make
-    methods that the JVM refuses to compile.
-    """
-    names = [c for c in measured.columns if edges[c] and (only is None or any(c == name for name, _ in only))]
-    if not names:
-        return measured.sparkSession.createDataFrame([], "column_name string, piece int, value double")
-    pairs = (F.struct(F.lit(i).alias("column"), F.col(c).alias("value")) for i, c in enumerate(names))
-    values = measured.select(F.explode(F.array(*pairs)).alias("at")).select("at.*").filter("value is not null")
-    own_edges = F.get(F.array(*(F.array(*map(F.lit, edges[c])) for c in names)), F.col("column"))
-    below = F.size(F.filter(own_edges, lambda edge: edge < F.col("value")))
-    placed = values.withColumn("piece", 2 * below + F.array_contains(own_edges, F.col("value")).cast("int"))
-    if only is not None:
-        listed = [(names.index(name), piece) for name, piece in only]
-        placed = placed.filter(reduce(or_, ((F.col("column") == i) & (F.col("piece") == k) for i, k in listed)))
-    name = F.get(F.array(*map(F.lit, names)), F.col("column"))
-    return placed.select(name.alias("column_name"), "piece", "value")
-
-
 def _piece_counts(measured: DataFrame, edges: Edges) -> dict[str, dict[int, int]]:
-    counts: dict[str, dict[int, int]] = {c: {} for c in measured.columns}
-    counted = _in_pieces(measured, edges).groupBy("column_name", "piece").agg(F.count(F.lit(1)).alias("n"))
-    for row in counted.collect():  # at most 4 pieces per column and probability
-        counts[row["column_name"]][row["piece"]] = row["n"]
+    """Rows per piece: piece 2k holds the values below edge k and above the one before, 2k + 1 those equal to edge k."""
+    wanted = {c: F.array(F.count(c), *(F.count_if(F.col(c) < e) for e in edges[c]), *(F.count_if(F.col(c) <= e) for e in edges[c])) for c in edges}
+    row = measured.agg(*(counts.alias(c) for c, counts in wanted.items())).first()
+    counts: dict[str, dict[int, int]] = {}
+    for c, own in edges.items():
+        total, below, upto = row[c][0], row[c][1 : len(own) + 1], row[c][len(own) + 1 :]
+        pieces = {0: below[0] if own else total}
+        for k in range(len(own)):
+            pieces[2 * k + 1] = upto[k] - below[k]
+            pieces[2 * k + 2] = (below[k + 1] if k + 1 < len(own) else total) - upto[k]
+        counts[c] = {piece: n for piece, n in pieces.items() if n}
     return counts
 
 
+def _in_pieces(measured: DataFrame, edges: Edges, only: Collection[tuple[str, int]]) -> DataFrame:
+    """(column_name, piece, value) of the values in the listed pieces between edges."""
+    found = []
+    for column, piece in only:
+        low, high = (edges[column][k] if 0 <= k < len(edges[column]) else None for k in (piece // 2 - 1, piece // 2))
+        inside = [F.col(column) > low] if low is not None else []
+        inside += [F.col(column) < high] if high is not None else []
+        found.append((reduce(and_, inside, F.col(column).isNotNull()), column, piece))
+    rows = measured.filter(reduce(or_, (inside for inside, _, _ in found)))
+    hits = (
+        F.when(inside, F.struct(F.lit(column).alias("column_name"), F.lit(piece).alias("piece"), F.col(column).alias("value")))
+        for inside, column, piece in found
+    )
+    return rows.select(F.explode(F.array_compact(F.array(*hits))).alias("hit")).select("hit.*")
+
+
 def _locate(
     counts: dict[str, dict[int, int]], edges: Edges, probabilities: Sequence[float]
 ) -> tuple[list[tuple], list[tuple]]:
@@ -141,7 +144,7 @@ def _running_counts(counted: DataFrame, edges: Edges) -> DataFrame:
 
 
 def _ranked_values(measured: DataFrame, edges: Edges, still_open: list[tuple]) -> DataFrame:
-    values = _in_pieces(measured, edges, {(column, piece) for column, piece, *_ in still_open})
+    values = _in_pieces(measured, edges, sorted({(column, piece) for column, piece, *_ in still_open}))
     counted = values.groupBy("column_name", "piece", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = _running_counts(counted, edges)
     # Two rows per column and probability: the broadcast is bounded by the request.

@@ -395,6 +395,11 @@ def _scaled() -> str:
     return f"SELECT {GRAIN}, {scaled} FROM split"
 
 
+def _trees(n: int) -> str:
+    return f"""SELECT tree::INTEGER AS tree, (SELECT count(*) FROM split WHERE NOT is_test) AS n_rows, true AS is_mean
+      FROM range({n}) t(tree)"""
+
+
 RATES = """rates AS (
   SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p1, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r1,
     CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0 END AS p0, CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0 END AS r0,
@@ -410,6 +415,26 @@ PLANT_LOG = """plant_log AS (
   SELECT n_regionkey::VARCHAR AS plant_code, n_name AS plant_name, n_nationkey FROM nation
 )"""
 
+STAGE_TABLES = {
+    "master_order_fulfillment": "master_order",
+    "master_inventory_material": "master_inventory",
+    "master_purchase": "master_po",
+    "master_order_fulfillment_brd": "order_metrics",
+    "shipment_history": "shipments",
+    "master_woc": "coverage",
+    "master_order_fulfillment_with_targets": "targets",
+    "master_inventory_material_with_targets": "master_inventory",
+}
+
+AT_LIMIT = """at_limit AS (
+        SELECT bound, count_if(label = 1 AND score >= bound)::DOUBLE AS tp, count_if(label = 0 AND score >= bound)::DOUBLE AS fp,
+          count_if(label = 1 AND score < bound)::DOUBLE AS fn, count_if(label = 0 AND score < bound)::DOUBLE AS tn
+        FROM scored, (VALUES (10), (20), (40)) b(bound) GROUP BY bound
+      ), rated_limit AS (
+        SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r
+        FROM at_limit
+      )"""
+
 QUERIES: dict[str, str] = {
     "order_fulfillment": f"SELECT {ORDER_COLUMNS} FROM master_order",
     "inventory_material": f"SELECT {', '.join(INVENTORY_NAMES)} FROM master_inventory",
@@ -437,6 +462,13 @@ QUERIES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
           is_deleted NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST, l_quantity NULLS LAST) = 1)
       WHERE is_deleted IS DISTINCT FROM true""",
+    "folded_by_range_table": """SELECT l_orderkey::VARCHAR AS canonical, count(*) AS n_lines FROM lineitem GROUP BY ALL""",
+    "repaired_keys": """SELECT l_orderkey::VARCHAR AS sales_document_number, count(*) AS n_lines FROM lineitem GROUP BY ALL""",
+    "csv_roundtrip": f"""SELECT * REPLACE (nullif(backorder_aging_bucket, '') AS backorder_aging_bucket),
+      'called "' || material_description_text || '", and more' AS told FROM (SELECT {METRIC_COLUMNS} FROM order_metrics)""",
+    "pipeline_stage_rows": " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, (SELECT count(*) FROM {table}) AS n_rows, true AS is_reused" for stage, table in STAGE_TABLES.items()
+    ),
     "key_collisions": """SELECT (number % 100000000)::VARCHAR AS canonical, count(*) AS n_documents
       FROM (SELECT o_orderkey AS number FROM orders WHERE o_orderkey IS NOT NULL
             UNION SELECT reference FROM delivery WHERE reference IS NOT NULL)
@@ -476,6 +508,18 @@ QUERIES: dict[str, str] = {
         weekofyear(week)::INTEGER AS week_of_year,
         round(avg(quantity_shipped) OVER (PARTITION BY {SERIES} ORDER BY week
           ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 6) AS roll_mean FROM demand""",
+    "demand_rolling_mean_calendar": f""", spans AS (
+        SELECT {SERIES}, min(week) AS first_week, max(week) AS last_week FROM demand GROUP BY ALL
+      ), weeks AS (
+        SELECT {SERIES}, unnest(generate_series(first_week::TIMESTAMP, last_week::TIMESTAMP, INTERVAL 7 DAY))::DATE AS week FROM spans
+      ), dense AS (
+        SELECT w.*, coalesce(d.quantity_shipped, 0) AS quantity_shipped FROM weeks w
+        LEFT JOIN demand d USING ({SERIES}, week)
+      )
+      SELECT {SERIES}, strftime(week, '%Y-%m-%d') AS shipment_week, quantity_shipped::DOUBLE AS quantity_shipped,
+        weekofyear(week)::INTEGER AS week_of_year,
+        round(avg(quantity_shipped) OVER (PARTITION BY {SERIES} ORDER BY week
+          RANGE BETWEEN INTERVAL 77 DAY PRECEDING AND CURRENT ROW), 6) AS roll_mean FROM dense""",
     "demand_forecast": f"""SELECT {SERIES}, round(demand_forecast, 6) AS demand_forecast,
         strftime(as_of, '%Y-%m-%d') AS forecast_as_of FROM forecasts""",
     "excess_inventory": f"""SELECT {SERIES}, saleable_inventory, round(awd, 6) AS awd, round(woc, 6) AS woc,
@@ -575,14 +619,7 @@ QUERIES: dict[str, str] = {
       FROM (SELECT DISTINCT client_id, material_number, coalesce(plant_code, '') AS plant_code FROM order_metrics) o
       LEFT JOIN coverage c ON c.client_id = o.client_id AND c.plant_code = o.plant_code
         AND c.material_number IS NOT DISTINCT FROM o.material_number""",
-    "model_comparison_by_quantity": """, at_limit AS (
-        SELECT bound, count_if(label = 1 AND score >= bound)::DOUBLE AS tp, count_if(label = 0 AND score >= bound)::DOUBLE AS fp,
-          count_if(label = 1 AND score < bound)::DOUBLE AS fn, count_if(label = 0 AND score < bound)::DOUBLE AS tn
-        FROM scored, (VALUES (10), (20), (40)) b(bound) GROUP BY bound
-      ), rated_limit AS (
-        SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r
-        FROM at_limit
-      )
+    "model_comparison_by_quantity": f""", {AT_LIMIT}
       SELECT 'Quantity From ' || bound AS model, printf('%.3f', (tp + tn) / (tp + tn + fp + fn)) AS accuracy,
         printf('%.3f', p) AS precision, printf('%.3f', r) AS recall,
         printf('%.3f', CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) AS f1,
@@ -590,6 +627,18 @@ QUERIES: dict[str, str] = {
     "logistic_optimality": f"""SELECT coefficient, true AS is_flat, n_rows, n_positive
       FROM (SELECT unnest({['intercept', *FEATURES]}) AS coefficient),
         (SELECT count(*) AS n_rows, sum(target_backorder_risk)::BIGINT AS n_positive FROM split WHERE NOT is_test)""",
+    "json_roundtrip": f""", {AT_LIMIT}
+      SELECT 'quantity_from_' || bound AS model, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round(p, 6) AS precision,
+        round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1,
+        round((SELECT auc FROM auc_score), 6) AS roc_auc FROM rated_limit""",
+    "saved_model_scores": f"SELECT {GRAIN}, true AS is_equal FROM split WHERE is_test",
+    "importance_by_nodes": f"SELECT unnest({FEATURES}) AS feature, 100 AS n_trees, true AS is_equal",
+    "forest_leaves": _trees(10),
+    "gbt_leaves": _trees(20),
+    "magnitude_gbt_leaves": _trees(20),
+    "elasticnet_optimality": f"""SELECT coefficient, true AS is_flat, n_rows, n_positive
+      FROM (SELECT unnest({['intercept', *FEATURES[2:]]}) AS coefficient),
+        (SELECT count(*) AS n_rows, sum(target_backorder_risk)::BIGINT AS n_positive FROM split WHERE NOT is_test)""",
     "ridge_optimality": f"""SELECT coefficient, true AS is_flat, n_rows, n_positive
       FROM (SELECT unnest({['intercept', *FEATURES[2:]]}) AS coefficient),
         (SELECT count(*) AS n_rows, sum(target_backorder_risk)::BIGINT AS n_positive FROM split WHERE NOT is_test)""",
@@ -600,6 +649,9 @@ QUERIES: dict[str, str] = {
       FROM order_metrics""",
 }
 
+# Merged half by half, a log gives what it gives in one piece.
+QUERIES["merged_change_log"] = QUERIES["latest_image_of_lines"]
+
 
 def statements() -> dict[str, str]:
     """Complete statements by query name. A query that starts with a comma adds its own expressions."""

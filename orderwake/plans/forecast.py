@@ -44,6 +44,37 @@ def rolling_demand(shipments: DataFrame, window_rows: int = WINDOW_ROWS) -> Data
     return demand.withColumn("roll_mean", F.avg("quantity_shipped").over(recorded))
 
 
+def dense_demand(shipments: DataFrame) -> DataFrame:
+    """Demand per series and calendar week, from the series' first to its last recorded week; empty weeks are zero.
+
+    Each recorded week also makes the empty weeks up to the next one, so no calendar is joined and a series has
+    as many rows as its own span has weeks.
+    """
+    demand = _known_series(weekly_demand(shipments))
+    ahead = F.lead("shipment_week").over(Window.partitionBy(*SERIES).orderBy("shipment_week"))
+    until = F.coalesce(F.date_sub("_ahead", 7), F.col("shipment_week"))
+    weeks = F.sequence("shipment_week", until, F.expr("INTERVAL 7 DAYS"))
+    dense = demand.withColumn("_ahead", ahead).withColumn("week", F.explode(weeks))
+    recorded = F.col("week") == F.col("shipment_week")
+    return dense.select(
+        *SERIES,
+        F.col("week").alias("shipment_week"),
+        F.when(recorded, F.col("quantity_shipped")).otherwise(0.0).alias("quantity_shipped"),
+        F.weekofyear("week").alias("week_of_year"),
+    )
+
+
+def calendar_demand(shipments: DataFrame, window_weeks: int = WINDOW_ROWS) -> DataFrame:
+    """Mean of the last `window_weeks` calendar weeks, per series and week, with empty weeks as zero.
+
+    At the start of a series the mean is over the weeks that it has.
+    """
+    day = F.datediff("shipment_week", F.lit("1970-01-05").cast("date"))
+    trailing = Window.partitionBy(*SERIES).orderBy("_day").rangeBetween(-7 * (window_weeks - 1), 0)
+    demand = dense_demand(shipments).withColumn("_day", day)
+    return demand.withColumn("roll_mean", F.avg("quantity_shipped").over(trailing)).drop("_day")
+
+
 def demand_forecast(shipments: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Latest rolling mean per series, as of that series' own last week."""
     newest = Window.partitionBy(*SERIES).orderBy(F.desc("shipment_week"))

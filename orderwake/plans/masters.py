@@ -12,11 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import canonical_document, canonical_item, number, sum_or_zero, text_key
+from ..functions import canonical_item, folded_document, number, range_table, sum_or_zero, text_key, whole_number
 from ..operators import first_per_key, hot_keys, lookup_join
 from ..operators.dedupe import RECORD_TIMESTAMP
 
 Tables = Mapping[str, DataFrame]
+Rule = int | DataFrame | None
 
 DOCUMENT = ["client_id", "sales_document_number"]
 ORDER_GRAIN = [*DOCUMENT, "item_number"]
@@ -130,37 +131,41 @@ def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return first_per_key(df, keys).drop(RECORD_TIMESTAMP)
 
 
-def _with_reference(df: DataFrame, document: str, item: str, modulus: int | None) -> DataFrame:
-    number = canonical_document(F.col(document), modulus)
-    return df.withColumn("_doc", number).withColumn("_item", canonical_item(F.col(item)))
+def _with_reference(df: DataFrame, document: str, item: str, rule: Rule) -> DataFrame:
+    # The number is parsed in a step of its own, since folding it uses it several times.
+    df = df.withColumn("_number", whole_number(F.col(document))).withColumn("_item", canonical_item(F.col(item)))
+    if isinstance(rule, DataFrame):
+        listed = df.withColumn("_ranges", range_table(rule))
+        return listed.withColumn("_doc", folded_document(F.col("_number"), ranges=F.col("_ranges"))).drop("_ranges")
+    return df.withColumn("_doc", folded_document(F.col("_number"), rule))
 
 
 def _totals_by_reference(
-    df: DataFrame, document: str, item: str, totals: Mapping[str, str], modulus: int | None
+    df: DataFrame, document: str, item: str, totals: Mapping[str, str], rule: Rule
 ) -> DataFrame:
     """Sums per client and canonical order item; rows that refer to no order number are left out."""
-    referring = _with_reference(df.withColumn("client_id", F.col("client_id").cast("string")), document, item, modulus)
+    referring = _with_reference(df.withColumn("client_id", F.col("client_id").cast("string")), document, item, rule)
     sums = [sum_or_zero(number(referring, source)).alias(name) for name, source in totals.items()]
-    return referring.filter("_doc <> ''").groupBy(*REFERENCE).agg(*sums)
+    return referring.filter("_number is not null").groupBy(*REFERENCE).agg(*sums)
 
 
-def delivery_totals(delivery_item: DataFrame, modulus: int | None = None) -> DataFrame:
+def delivery_totals(delivery_item: DataFrame, rule: Rule = None) -> DataFrame:
     return _totals_by_reference(
         delivery_item,
         "reference_document_number",
         "reference_item_number",
         {"total_delivery_quantity": "delivery_quantity", "total_quantity_delivered": "quantity_delivered"},
-        modulus,
+        rule,
     )
 
 
-def billing_totals(billing_item: DataFrame, modulus: int | None = None) -> DataFrame:
+def billing_totals(billing_item: DataFrame, rule: Rule = None) -> DataFrame:
     return _totals_by_reference(
         billing_item,
         "aubel",
         "aupos",
         {"total_billed_quantity": "billed_quantity", "total_billed_value": "net_value"},
-        modulus,
+        rule,
     )
 
 
@@ -217,16 +222,16 @@ def _headers(header: DataFrame, customer: DataFrame) -> DataFrame:
     return lookup_join(header, _one_per_key(named, key), key, hot, DOCUMENT)
 
 
-def order_fulfillment(tables: Tables, document_modulus: int | None = None) -> DataFrame:
+def order_fulfillment(tables: Tables, document_rule: Rule = None) -> DataFrame:
     """One row per sales order item with header, delivery, billing, schedule, material, customer and status.
 
-    `document_modulus` matches deliveries and billing by the remainder of document numbers instead of
-    by declared number ranges.
+    `document_rule` tells how deliveries and billing refer to orders: by the declared number ranges (None), by ranges
+    that are rows (`first`, `size`) of a table, or by the remainder of document numbers.
     """
     keyed = with_text_keys(tables["sales_order_item"], ORDER_GRAIN)
     own_reference = ("sales_document_number", "item_number")
-    hot = hot_keys(_with_reference(keyed, *own_reference, document_modulus), document=DOCUMENT, reference=REFERENCE, material=MATERIAL)
-    items = _with_reference(_one_per_key(keyed, ORDER_GRAIN), *own_reference, document_modulus)
+    hot = hot_keys(_with_reference(keyed, *own_reference, document_rule), document=DOCUMENT, reference=REFERENCE, material=MATERIAL)
+    items = _with_reference(_one_per_key(keyed, ORDER_GRAIN), *own_reference, document_rule)
 
     # Same keys as the line-up above: these two need no further shuffle of the items.
     status = _with_timestamp(tables["sales_document_status_item"], [*ORDER_GRAIN, *STATUS_ATTRIBUTES])
@@ -237,8 +242,8 @@ def order_fulfillment(tables: Tables, document_modulus: int | None = None) -> Da
     items = lookup_join(items, header, DOCUMENT, hot["document"], ORDER_GRAIN)
 
     moved = [
-        delivery_totals(tables["delivery_item"], document_modulus),
-        billing_totals(tables["billing_document_item"], document_modulus),
+        delivery_totals(tables["delivery_item"], document_rule),
+        billing_totals(tables["billing_document_item"], document_rule),
     ]
     items = lookup_join(items, moved, REFERENCE, hot["reference"], ORDER_GRAIN)
 

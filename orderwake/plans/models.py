@@ -71,9 +71,12 @@ def logistic_backorder(data: DataFrame, features: Sequence[str], label: str = LA
 
 
 def forest_backorder(
-    data: DataFrame, features: Sequence[str], label: str = LABEL, trees: int = 100, depth: int = 10
+    data: DataFrame, features: Sequence[str], label: str = LABEL, trees: int = 100, depth: int = 10, bootstrap: bool = True
 ) -> tuple[PipelineModel, DataFrame]:
-    """Balanced random forest on the raw features; returns (model, scored test rows)."""
+    """Balanced random forest on the raw features; returns (model, scored test rows).
+
+    Without `bootstrap` every tree is fitted on all rows and differs from the others by its features only.
+    """
     train, test = _split(data)
     estimator = RandomForestClassifier(
         labelCol=label,
@@ -83,6 +86,7 @@ def forest_backorder(
         featureSubsetStrategy="sqrt",
         seed=SEED,
         maxMemoryInMB=1024,
+        bootstrap=bootstrap,
     )
     model = _fit(estimator, features, with_class_weights(train, train, label))
     return model, scored(model, test, label)
@@ -129,24 +133,33 @@ def logistic_optimality(
     return _flatness(rows, miss, inputs, pull, F.sum("weight"), bound, F.sum(F.col(label)))
 
 
-def ridge_optimality(
+def linear_optimality(
     model: PipelineModel, train: DataFrame, features: Sequence[str], target: str = "backorder_units", bound: float = 1e-3
 ) -> DataFrame:
-    """The same for a linear model without absolute penalty, whose inputs and target are scaled to unit deviation."""
+    """The same for a linear model, whose inputs and target are scaled to unit deviation.
+
+    With an absolute penalty the loss has a kink where a coefficient is zero; there it is flat if the slope without
+    that penalty does not exceed it.
+    """
     fitted = model.stages[-1]
     spread = train.agg(*(F.stddev_samp(c).alias(c) for c in (*features, target))).first()
     scale = {c: spread[c] or 1.0 for c in (*features, target)}
     rows = model.transform(train)
     miss = (F.col("prediction") - F.col(target)) / scale[target]
     inputs = {"intercept": F.lit(1.0), **{c: F.col(c) / scale[c] for c in features}}
-    penalty = fitted.getRegParam() / scale[target]
-    pull = {c: penalty * float(b) * scale[c] / scale[target] for c, b in zip(features, fitted.coefficients)}
-    return _flatness(rows, miss, inputs, {"intercept": 0.0, **pull}, F.count(F.lit(1)), bound, F.count_if(F.col(target) > 0))
+    penalty, mixed = fitted.getRegParam() / scale[target], fitted.getElasticNetParam()
+    pull, kink = {"intercept": 0.0}, {}
+    for c, b in zip(features, map(float, fitted.coefficients)):
+        pull[c] = penalty * ((1 - mixed) * b * scale[c] / scale[target] + mixed * ((b > 0) - (b < 0)))
+        kink[c] = penalty * mixed if b == 0 else 0.0
+    return _flatness(rows, miss, inputs, pull, F.count(F.lit(1)), bound, F.count_if(F.col(target) > 0), kink)
 
 
-def _flatness(rows, miss, inputs, pull, weight, bound, positive) -> DataFrame:
+def _flatness(rows, miss, inputs, pull, weight, bound, positive, kink=None) -> DataFrame:
+    """Per input: does the slope of the loss, with the penalty's pull, vanish (or stay within the penalty's kink)?"""
+    kink = kink or {}
     slopes = (
-        F.struct(F.lit(c).alias("coefficient"), (F.abs(F.sum(miss * x) / weight + F.lit(pull[c])) < bound).alias("is_flat"))
+        F.struct(F.lit(c).alias("coefficient"), (F.abs(F.sum(miss * x) / weight + F.lit(pull[c])) < bound + kink.get(c, 0.0)).alias("is_flat"))
         for c, x in inputs.items()
     )
     found = rows.agg(F.array(*slopes).alias("slopes"), F.count(F.lit(1)).alias("n_rows"), positive.cast("bigint").alias("n_positive"))
@@ -173,6 +186,20 @@ def feature_importance(model: PipelineModel, data: DataFrame, features: Sequence
     )
 
 
+def saved_and_loaded(model: PipelineModel, path: str) -> PipelineModel:
+    """The model as it comes back from its files."""
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+def same_scores(model: PipelineModel, loaded: PipelineModel, rows: DataFrame, keys: Sequence[str], label: str = LABEL) -> DataFrame:
+    """(keys, is_equal): do both models give the same prediction and score to a row, bit by bit?"""
+    ours = scored(model, rows, label).select(*rows.columns, F.col("prediction").alias("_prediction"), F.col("score").alias("_score"))
+    both = scored(loaded, ours, label)
+    equal = (F.col("_prediction") == F.col("prediction")) & (F.col("_score") == F.col("score"))
+    return both.select(*keys, equal.alias("is_equal"))
+
+
 def at_risk_report(lines: DataFrame, coverage: DataFrame) -> DataFrame:
     """Per material and plant: is any line predicted to go on backorder, with coverage and stock."""
     plant = F.coalesce("plant_code", F.lit("")).alias("plant_code")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import hashlib
+import json
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..sources import Workspace, read_json_rows, read_table, read_tables, write_json_rows, write_report, write_table
+from ..sources import File, Workspace, fingerprints, read_json_rows, read_table, read_tables, read_typed, write_json_rows, write_report, write_table
 from ..sources.catalog import CLEAN_TABLES
 from ..sources.ingest import clean_table
 from ..sources.names import TABLE_NAMES
@@ -32,13 +34,19 @@ VIEWS = {
 
 @dataclass
 class Stages:
-    """Written stage tables below one folder; `rows` holds the row count of each table written."""
+    """Written stage tables below one folder; `rows` holds the row count of each table written.
+
+    Each finished table has a small document beside it (`_finished/<name>.json`) that tells what it was made
+    from, its schema and its rows. It is written last and removed before the table is written anew, so a table
+    that was cut off halfway has none.
+    """
 
     spark: SparkSession
     folder: str
     file_format: str = "parquet"
     suffix: str = ""
     rows: dict[str, int] = field(default_factory=dict)
+    reused: list[str] = field(default_factory=list)
 
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}{self.suffix}"
@@ -48,8 +56,28 @@ class Stages:
             self.rows[name] = write_table(df, self.path(name), self.file_format)
         return {name: self.load(name, df.schema) for name, df in tables.items()}
 
+    def _finished(self, name: str) -> File:
+        return File(self.spark, f"{self.folder.rstrip('/')}/_finished/{name}.json")
+
+    def stage(self, name: str, made_from: str, build: Callable[[], DataFrame], resume: bool = True) -> DataFrame:
+        """The named table: as it was written, if that was from the same inputs and to the end, else built anew."""
+        known = self._finished(name).load() if resume else None
+        if known and known["made_from"] == made_from:
+            self.rows[name] = known["rows"]
+            self.reused.append(name)
+            return self.load(name, StructType.fromJson(known["schema"]))
+        self._finished(name).delete()
+        table = build()
+        loaded = self.save({name: table})[name]
+        self._finished(name).save(
+            {"made_from": made_from, "schema": table.schema.jsonValue(), "rows": self.rows[name]}
+        )
+        return loaded
+
     def load(self, name: str, schema: StructType | None = None) -> DataFrame:
         """A written table; CSV needs the schema, since it keeps none."""
+        if self.file_format == "csv" and schema is not None:
+            return read_typed(self.spark, self.path(name), schema)
         reader = self.spark.read.format(self.file_format)
         if self.file_format == "csv":
             reader = reader.options(header="true", escape='"', enforceSchema="false")
@@ -99,24 +127,87 @@ def run(
     source_format: str = "csv",
     target_format: str = "parquet",
     document_modulus: int | None = None,
+    resume: bool = False,
 ) -> Stages:
     """Read the clean tables below `source`, write every stage table below `target`.
 
-    A missing required table is an error before anything is written.
+    A missing required table is an error before anything is written. With `resume` a stage that an earlier run
+    has finished from the same files and parameters is taken as it is (`Stages.reused`), so a run whose driver was lost
+    goes on where it stopped; a stage that was cut off halfway, or whose inputs changed, is built anew, and so is
+    what follows from it.
     """
     tables = read_tables(spark, source, supporting, source_format)
     stages = Stages(spark, target, target_format)
-    done = stages.save(build_masters(tables, document_modulus))
+    marks = _source_marks(spark, source, supporting, tables, source_format) if resume else dict.fromkeys(tables, "")
+    done: dict[str, DataFrame] = {}
+    for name, inputs, parameters, build in _plan(tables, done, reference_date, document_modulus):
+        told = [name, target_format, parameters, [marks[i] for i in inputs]]
+        marks[name] = hashlib.sha256(json.dumps(told).encode()).hexdigest()
+        done[name] = stages.stage(name, marks[name], build, resume)
+    return stages
 
-    inventory = done["master_inventory_material"]
-    orders = order_backorder_metrics(done["master_order_fulfillment"], inventory, reference_date)
-    shipments = shipment_history(tables["delivery_item"], tables["delivery_header"])
-    done |= stages.save({"master_order_fulfillment_brd": orders, "shipment_history": shipments})
-    coverage = weeks_of_coverage(inventory, done["shipment_history"], done["master_order_fulfillment_brd"])
-    done |= stages.save({"master_woc": coverage})
 
-    stages.save(build_targets(done))
-    return stages
+Stage = tuple[str, Sequence[str], Sequence[str], Callable[[], DataFrame]]
+
+
+def _plan(tables: Tables, done: Tables, reference_date: dt.date, document_modulus: int | None) -> list[Stage]:
+    """The stages in order: name, the tables that each reads, the parameters that it depends on, and how to build it."""
+    order_inputs = ("sales_order_item", "sales_order_header", "delivery_item", "billing_document_item", "sales_order_schedule_line")
+    order_inputs += ("material_master", "material_description", "customer_master", "sales_document_status_item")
+    return [
+        ("master_order_fulfillment", order_inputs, [str(document_modulus)], lambda: order_fulfillment(tables, document_modulus)),
+        (
+            "master_inventory_material",
+            ("material_stock", "material_master", "material_description", "plant"),
+            [],
+            lambda: inventory_material(tables),
+        ),
+        (
+            "master_purchase",
+            ("purchase_order_item", "purchase_order_header", "vendor_master", "material_master"),
+            [],
+            lambda: purchase(tables),
+        ),
+        (
+            "master_order_fulfillment_brd",
+            ("master_order_fulfillment", "master_inventory_material"),
+            [str(reference_date)],
+            lambda: order_backorder_metrics(done["master_order_fulfillment"], done["master_inventory_material"], reference_date),
+        ),
+        (
+            "shipment_history",
+            ("delivery_item", "delivery_header"),
+            [],
+            lambda: shipment_history(tables["delivery_item"], tables["delivery_header"]),
+        ),
+        (
+            "master_woc",
+            ("master_inventory_material", "shipment_history", "master_order_fulfillment_brd"),
+            [],
+            lambda: weeks_of_coverage(done["master_inventory_material"], done["shipment_history"], done["master_order_fulfillment_brd"]),
+        ),
+        (
+            "master_order_fulfillment_with_targets",
+            ("master_order_fulfillment_brd",),
+            [],
+            lambda: order_targets(done["master_order_fulfillment_brd"]),
+        ),
+        (
+            "master_inventory_material_with_targets",
+            ("master_inventory_material", "master_woc"),
+            [str(OVERSTOCK_WEEKS)],
+            lambda: inventory_targets(done["master_inventory_material"], done["master_woc"], OVERSTOCK_WEEKS),
+        ),
+    ]
+
+
+def _source_marks(
+    spark: SparkSession, source: str, supporting: str | None, tables: Tables, file_format: str
+) -> dict[str, str]:
+    """What tells whether the files of each table have changed; a table that is absent has an empty mark."""
+    found = {folder: fingerprints(spark, folder) for folder in {source, supporting or source}}
+    folders = {name: (supporting or source) if CLEAN_TABLES[name].supporting else source for name in tables}
+    return {name: found[folder].get(f"{name}.{file_format}", "") for name, folder in folders.items()}
 
 
 def ingest(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import at_least_zero, canonical_document, instant, number, text_key
+from ..functions import at_least_zero, folded_document, instant, number, range_table, text_key, whole_number
 from ..operators import duplicate_rows, quantiles
 from .masters import ORDER_GRAIN
 
@@ -180,14 +180,17 @@ def backorder_overview(order_metrics: DataFrame) -> DataFrame:
 
 
 def reference_collisions(
-    documents: DataFrame, column: str = "sales_document_number", modulus: int | None = None
+    documents: DataFrame, column: str = "sales_document_number", modulus: int | None = None, ranges: DataFrame | None = None
 ) -> DataFrame:
     """Canonical document numbers that stand for more than one original number."""
-    spelled = documents.select(
-        canonical_document(F.col(column), modulus).alias("canonical"), text_key(F.col(column)).alias("original")
-    ).distinct()
-    per_number = spelled.filter("canonical <> ''").groupBy("canonical").agg(F.count(F.lit(1)).alias("n_documents"))
-    return per_number.filter("n_documents > 1")
+    # Originals are made distinct before they are parsed; spelling is compared without the spaces around it.
+    spelled = documents.select(text_key(F.col(column)).alias("original")).distinct()
+    numbered = spelled.withColumn("_number", whole_number(F.col("original"))).filter("_number is not null")
+    if ranges is not None:
+        numbered = numbered.withColumn("_ranges", range_table(ranges))
+    own_ranges = F.col("_ranges") if ranges is not None else None
+    folded = numbered.select(folded_document(F.col("_number"), modulus, own_ranges).alias("canonical"))
+    return folded.groupBy("canonical").agg(F.count(F.lit(1)).alias("n_documents")).filter("n_documents > 1")
 
 
 def feature_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:

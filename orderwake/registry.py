@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions import finite_or_zero, instant, number, text_key, week_start, whole_days
+from .functions import canonical_document, canonical_key, finite_or_zero, instant, number, range_table, text_key, week_start, whole_days
 from .operators import latest_image
-from .plans import evaluate, features, forecast, masters, metrics, models, pipeline, quality, targets
-from .sources import Workspace, rename_columns
+from .plans import evaluate, features, forecast, masters, metrics, models, pipeline, quality, targets, tree_checks
+from .sources import ChangeLogTable, File, Workspace, read_extracts, read_json_rows, read_typed, rename_columns, typed, write_json_rows, write_table
 from .sources.catalog import CLEAN_TABLES
 from .sources.star_schema import CLIENT, StarSchema
 
@@ -50,6 +50,7 @@ class Dataset:
         self.workspace = Workspace(spark, hashlib.md5(folder.encode()).hexdigest()[:12])
         self.clean = StarSchema(spark, folder, self.workspace)
         self._models: dict[str, PipelineModel] = {}
+        self._nodes: dict[str, DataFrame] = {}
 
     def build_orders(self) -> DataFrame:
         return masters.order_fulfillment(self.clean.tables(*ORDER_INPUTS))
@@ -114,11 +115,21 @@ class Dataset:
     def magnitude(self, name: str, **how) -> DataFrame:
         """Test rows with the predicted magnitude; fitted once, without the features that define it."""
 
-        def predict() -> DataFrame:
-            _, predicted = models.magnitude_regression(self.split(), features.feature_names(exclude_leaky=True), **how)
-            return predicted
+        return models.regression_metrics(self.regression(name, **how)[1], name)
 
-        return models.regression_metrics(self.workspace.table(f"{name}_predicted", predict), name)
+    def regression(self, name: str, **how) -> tuple[PipelineModel, DataFrame]:
+        """A magnitude model, fitted once, and its predicted test rows, written once."""
+        if name not in self._models:
+            model, predicted = models.magnitude_regression(self.split(), features.feature_names(exclude_leaky=True), **how)
+            self._models[name] = model
+            self.workspace.table(f"{name}_predicted", lambda: predicted)
+        return self._models[name], self.workspace.table(f"{name}_predicted")
+
+    def nodes(self, name: str, model: PipelineModel) -> DataFrame:
+        """The nodes of a tree model, saved once."""
+        if name not in self._nodes:
+            self._nodes[name] = tree_checks.tree_nodes(model, self.workspace.file_path(f"trees/{name}"), self.split())
+        return self._nodes[name]
 
     def scored(self) -> DataFrame:
         """Deterministic classifier: the outstanding quantity is the score."""
@@ -234,7 +245,11 @@ def rename_roundtrip(d: Dataset) -> DataFrame:
 
 
 def latest_image_of_lines(d: Dataset) -> DataFrame:
-    log = d.clean.raw("lineitem").select(
+    return latest_image(_line_log(d), ["l_orderkey", "l_linenumber"])
+
+
+def _line_log(d: Dataset) -> DataFrame:
+    return d.clean.raw("lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.col("l_shipdate").alias("record_timestamp"),
@@ -243,7 +258,68 @@ def latest_image_of_lines(d: Dataset) -> DataFrame:
         "l_suppkey",
         "l_quantity",
     )
-    return latest_image(log, ["l_orderkey", "l_linenumber"])
+
+
+def merged_change_log(d: Dataset) -> DataFrame:
+    """The log of the lines in three extracts, two of them files with other column orders, merged one after the other."""
+    log, folder = _line_log(d), d.workspace.file_path("change_log")
+    halves = [log.filter(F.pmod("l_suppkey", F.lit(3)) == i) for i in (0, 1)]
+    halves.append(log.filter(F.coalesce(F.pmod("l_suppkey", F.lit(3)) == 2, F.lit(True))))
+    paths = [f"{folder}/extract_{i}" for i in range(3)]
+    for path, half, order in zip(paths, halves, (log.columns, log.columns[::-1], log.columns[2:] + log.columns[:2])):
+        write_table(half.select(*order), path, "csv")
+    File(d.spark, f"{folder}/table").delete()
+    merged = ChangeLogTable(d.spark, f"{folder}/table", ["l_orderkey", "l_linenumber"], buckets=16)
+    for extract in (paths[:2], paths[2:]):
+        merged.merge(typed(read_extracts(d.spark, extract), log.schema))
+    merged.clean()
+    return merged.load()
+
+
+def folded_by_range_table(d: Dataset) -> DataFrame:
+    """Lines per order, found by numbers in a range of their supplier's own; the ranges are rows of a table."""
+    size = 50_000_000
+    supplied = F.col("s_suppkey").cast("bigint")
+    ranges = d.clean.raw("supplier").select((supplied * size + 7_000_000_000).alias("first"), F.lit(size).alias("size"))
+    reference = F.col("l_orderkey") + F.col("l_suppkey").cast("bigint") * size + 7_000_000_000
+    lines = d.clean.raw("lineitem").select(F.concat(F.lit(" 0"), reference.cast("string")).alias("reference"))
+    folded = canonical_document(F.col("reference"), ranges=F.col("ranges"))
+    return lines.withColumn("ranges", range_table(ranges)).select(folded.alias("canonical")).groupBy("canonical").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def repaired_keys(d: Dataset) -> DataFrame:
+    """Lines per order by keys that a wrong type has damaged: zeros in front, or a decimal point."""
+    damaged = F.when(F.col("l_linenumber") % 2 == 0, F.format_string("%010d", F.col("l_orderkey").cast("bigint"))).otherwise(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit(".0"))
+    )
+    return d.clean.raw("lineitem").groupBy(canonical_key(damaged).alias("sales_document_number")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def csv_roundtrip(d: Dataset) -> DataFrame:
+    """Order metrics written as CSV, columns in reverse, with texts that hold quotes and commas, and read back typed."""
+    told = F.concat(F.lit('called "'), F.col("material_description_text"), F.lit('", and more'))
+    table, path = d.metrics().withColumn("told", told), d.workspace.file_path("csv_roundtrip")
+    write_table(table.select(*reversed(table.columns)), path, "csv")
+    return read_typed(d.spark, path, table.schema)
+
+
+def json_roundtrip(d: Dataset) -> DataFrame:
+    """Metrics of three deterministic classifiers written as JSON rows and read back typed."""
+    metrics_rows, path = _metrics_by_quantity(d), d.workspace.file_path("json_roundtrip")
+    write_json_rows(metrics_rows, path)
+    return read_json_rows(d.spark, path, metrics_rows.schema)
+
+
+def pipeline_stage_rows(d: Dataset) -> DataFrame:
+    """Rows of every stage of a whole run on clean tables in CSV; a second run must find all stages finished."""
+    source, target = d.workspace.file_path("clean_csv"), d.workspace.file_path("stages")
+    for name in CLEAN_TABLES:
+        if hasattr(d.clean, f"_{name}"):
+            write_table(d.clean[name], f"{source}/{name}.csv", "csv")
+    pipeline.run(d.spark, source, target, REFERENCE_DATE, resume=True)
+    again = pipeline.run(d.spark, source, target, REFERENCE_DATE, resume=True)
+    rows = [(name, n, name in again.reused) for name, n in again.rows.items()]
+    return d.spark.createDataFrame(rows, "stage string, n_rows bigint, is_reused boolean")
 
 
 def key_collisions(d: Dataset) -> DataFrame:
@@ -360,6 +436,10 @@ def demand_rolling_mean(d: Dataset) -> DataFrame:
     return forecast.rolling_demand(d.shipments())
 
 
+def demand_rolling_mean_calendar(d: Dataset) -> DataFrame:
+    return forecast.calendar_demand(d.shipments())
+
+
 def demand_forecast(d: Dataset) -> DataFrame:
     return forecast.demand_forecast(d.shipments())
 
@@ -508,10 +588,22 @@ def logistic_optimality(d: Dataset) -> DataFrame:
 
 
 def ridge_optimality(d: Dataset) -> DataFrame:
-    """The same for ridge regression on the magnitude."""
-    names = features.feature_names(exclude_leaky=True)
-    model, _ = models.magnitude_regression(d.split(), names, elastic_net=0.0)
-    return models.ridge_optimality(model, d.split().filter("not is_test"), names)
+    """The same for the ridge regression that `magnitude_ridge` reports."""
+    model, _ = d.regression("ridge", elastic_net=0.0)
+    return models.linear_optimality(model, d.split().filter("not is_test"), features.feature_names(exclude_leaky=True))
+
+
+def elasticnet_optimality(d: Dataset) -> DataFrame:
+    """The same for the elastic net that `magnitude_elasticnet` reports; at a zero coefficient the loss has a kink."""
+    model, _ = d.regression("elastic_net")
+    return models.linear_optimality(model, d.split().filter("not is_test"), features.feature_names(exclude_leaky=True))
+
+
+def saved_model_scores(d: Dataset) -> DataFrame:
+    """Per test row: does the logistic model, written and read back, give the score that it gave before?"""
+    model, _ = d.fitted("logistic_regression", models.logistic_backorder)
+    loaded = models.saved_and_loaded(model, d.workspace.file_path("models/logistic"))
+    return models.same_scores(model, loaded, d.split().filter("is_test"), masters.ORDER_GRAIN)
 
 
 def backorder_forest(d: Dataset) -> DataFrame:
@@ -524,6 +616,52 @@ def forest_importance(d: Dataset) -> DataFrame:
     return models.feature_importance(model, scored, features.feature_names())
 
 
+def importance_by_nodes(d: Dataset) -> DataFrame:
+    """Per feature: is the forest's importance what follows from the gains and rows of its splits?"""
+    model, _ = d.fitted("random_forest", models.forest_backorder)
+    names = features.feature_names()
+    own = tree_checks.importance_from_nodes(d.nodes("random_forest", model), names)
+    told = models.feature_importance(model, d.split(), names).withColumnRenamed("importance", "told")
+    equal = F.abs(F.col("importance") - F.col("told")) <= tree_checks.CLOSE
+    return own.join(told, "feature").select("feature", "n_trees", equal.alias("is_equal"))
+
+
+def forest_leaves(d: Dataset) -> DataFrame:
+    """Per tree of a forest fitted on all training rows: has each leaf the class weights of its rows?"""
+    train = d.split().filter("not is_test")
+
+    def fit(data: DataFrame, names: Sequence[str]) -> tuple[PipelineModel, DataFrame]:
+        return models.forest_backorder(data, names, trees=10, bootstrap=False)
+
+    model, _ = d.fitted("whole_forest", fit)
+    weighted = features.with_class_weights(train, train)
+    return tree_checks.forest_leaves(model, d.nodes("whole_forest", model), weighted, F.col("weight"))
+
+
+def gbt_leaves(d: Dataset) -> DataFrame:
+    """Per boosted tree of the classifier: is each leaf the mean of what the trees before it leave over?"""
+    train = d.split().filter("not is_test")
+    model, _ = d.fitted("gradient_boosted_trees", models.gbt_backorder, exclude_leaky=True)
+    weighted = features.with_class_weights(train, train)
+    sign = F.col(features.LABEL) * 2.0 - 1.0
+    return tree_checks.boosted_leaves(
+        model, d.nodes("gradient_boosted_trees", model), weighted, sign, lambda y, f: 4 * y / (1 + F.exp(2 * y * f)), F.col("weight")
+    )
+
+
+def magnitude_gbt_leaves(d: Dataset) -> DataFrame:
+    """The same for the boosted magnitude model, whose trees are fitted on twice the error that is left."""
+    model, _ = d.regression("gradient_boosted_regression", boosted=True)
+    return tree_checks.boosted_leaves(
+        model,
+        d.nodes("gradient_boosted_regression", model),
+        d.split().filter("not is_test"),
+        F.col("backorder_units").cast("double"),
+        lambda y, f: 2 * (y - f),
+        F.lit(1.0),
+    )
+
+
 def backorder_gbt(d: Dataset) -> DataFrame:
     _, scored = d.fitted("gradient_boosted_trees", models.gbt_backorder, exclude_leaky=True)
     return evaluate.classification_metrics(scored, "gradient_boosted_trees")
@@ -548,12 +686,16 @@ def model_comparison(d: Dataset) -> DataFrame:
 
 def model_comparison_by_quantity(d: Dataset) -> DataFrame:
     """The model comparison for three deterministic classifiers."""
+    return evaluate.model_comparison(_metrics_by_quantity(d))
+
+
+def _metrics_by_quantity(d: Dataset) -> DataFrame:
     scored = d.scored()
     compared = (
         evaluate.classification_metrics(scored.withColumn("prediction", (F.col("score") >= limit).cast("int")), f"quantity_from_{limit}")
         for limit in (10, 20, 40)
     )
-    return evaluate.model_comparison(reduce(DataFrame.unionByName, compared))
+    return reduce(DataFrame.unionByName, compared)
 
 
 def at_risk_report(d: Dataset) -> DataFrame:
@@ -595,10 +737,16 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     material_text_first,
     rename_roundtrip,
     latest_image_of_lines,
+    merged_change_log,
     key_collisions,
+    folded_by_range_table,
+    repaired_keys,
     coerced_values,
     event_weeks,
     order_backorder_metrics,
+    csv_roundtrip,
+    json_roundtrip,
+    pipeline_stage_rows,
     backorder_aging,
     backorder_by_bucket,
     backorder_overview,
@@ -609,6 +757,7 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     overstock_targets,
     class_balance,
     demand_rolling_mean,
+    demand_rolling_mean_calendar,
     demand_forecast,
     excess_inventory,
     excess_top10,
@@ -638,13 +787,19 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     best_threshold,
     backorder_logistic,
     logistic_optimality,
-    ridge_optimality,
+    saved_model_scores,
     backorder_forest,
     forest_importance,
+    importance_by_nodes,
+    forest_leaves,
     backorder_gbt,
+    gbt_leaves,
     magnitude_elasticnet,
+    elasticnet_optimality,
     magnitude_ridge,
+    ridge_optimality,
     magnitude_gbt,
+    magnitude_gbt_leaves,
     model_comparison,
     model_comparison_by_quantity,
     at_risk_report,

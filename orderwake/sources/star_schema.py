@@ -50,7 +50,7 @@ class StarSchema:
         return self.workspace.table("lines", self._build_lines)
 
     def _build_lines(self) -> DataFrame:
-        lines = self.raw("lineitem")
+        lines = over_all_cores(self.raw("lineitem"))
         hot = hot_keys(lines, supplier=["l_suppkey"], order=["l_orderkey"])
         nations = self.raw("nation").select("n_nationkey", "n_regionkey")
         regions = lookup_join(
@@ -245,6 +245,12 @@ class StarSchema:
         )
 
 
+def over_all_cores(df: DataFrame) -> DataFrame:
+    """A table that is stored in fewer pieces than there are cores is dealt out to all; a larger one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _client() -> Column:
     return F.lit(CLIENT).alias("client_id")
 

@@ -2,11 +2,12 @@
 
 Tables go below the shared folder that the session names in `spark.checkpoint.dir`, so they
 outlive any executor. A session without that setting keeps them as persisted frames instead, which
-Spark computes again from their inputs if an executor is lost; nothing goes to a local folder.
+Spark computes again from their inputs if an executor is lost.
 """
 
 from __future__ import annotations
 
+import tempfile
 import threading
 from collections.abc import Callable
 
@@ -22,6 +23,17 @@ def scratch_folder(spark: SparkSession) -> str | None:
     return folder.rstrip("/") if folder else None
 
 
+def files_folder(spark: SparkSession) -> str:
+    """Where a session may keep files: its shared folder. Only a local session may lack it; it gets a temporary one."""
+    shared = scratch_folder(spark)
+    if shared:
+        return shared
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="orderwake-")
+
+
 class Workspace:
     """Named tables of one data set, written on first use. `close` gives their space back."""
 
@@ -31,6 +43,7 @@ class Workspace:
         self.folder = f"{shared}/orderwake/{spark.sparkContext.applicationId}/{name}" if shared else None
         self._schemas: dict[str, StructType] = {}
         self._kept: dict[str, DataFrame] = {}
+        self._files: str | None = None
         self._lock = threading.RLock()
 
     def table(self, name: str, build: Callable[[], DataFrame] | None = None) -> DataFrame:
@@ -49,12 +62,18 @@ class Workspace:
             return self._kept[name]
         return self.spark.read.schema(self._schemas[name]).parquet(f"{self.folder}/{name}")
 
+    def file_path(self, name: str) -> str:
+        """Where this workspace keeps files of that name, apart from its tables."""
+        if self._files is None:
+            self._files = f"{self.folder}/files" if self.folder else files_folder(self.spark)
+        return f"{self._files}/{name}"
+
     def close(self) -> None:
         """Forget the tables and delete this workspace's own folder."""
         with self._lock:
             for df in self._kept.values():
                 df.unpersist()
-            if self.folder and self._schemas:
+            if self.folder and (self._schemas or self._files):
                 path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
                 path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-            self._kept, self._schemas = {}, {}
+            self._kept, self._schemas, self._files = {}, {}, None

@@ -6,7 +6,7 @@ from conftest import DATA
 from orderwake import registry
 
 # These fit models; their plans are read through the oracle-checked queries that share their steps.
-FITTING = ("backorder_logistic", "backorder_forest", "forest_importance", "backorder_gbt", "magnitude_elasticnet", "magnitude_ridge", "magnitude_gbt", "model_comparison", "at_risk_report", "at_risk_coverage", "logistic_optimality", "ridge_optimality")
+FITTING = ("backorder_logistic", "backorder_forest", "forest_importance", "backorder_gbt", "magnitude_elasticnet", "magnitude_ridge", "magnitude_gbt", "model_comparison", "at_risk_report", "at_risk_coverage", "logistic_optimality", "ridge_optimality", "elasticnet_optimality", "saved_model_scores", "importance_by_nodes", "forest_leaves", "gbt_leaves", "magnitude_gbt_leaves")
 PLANNED = [q for q in registry.QUERIES if q.__name__ not in FITTING]
 
 
