@@ -222,12 +222,15 @@ def _headers(header: DataFrame, customer: DataFrame) -> DataFrame:
     return lookup_join(header, _one_per_key(named, key), key, hot, DOCUMENT)
 
 
-def order_fulfillment(tables: Tables, document_rule: Rule = None) -> DataFrame:
+def order_fulfillment(
+    tables: Tables, document_modulus: int | None = None, document_ranges: DataFrame | None = None
+) -> DataFrame:
     """One row per sales order item with header, delivery, billing, schedule, material, customer and status.
 
-    `document_rule` tells how deliveries and billing refer to orders: by the declared number ranges (None), by ranges
-    that are rows (`first`, `size`) of a table, or by the remainder of document numbers.
+    Deliveries and billing refer to orders by the declared number ranges, by `document_ranges` (rows of `first` and
+    `size`) if given, or by the remainder of document numbers with `document_modulus`.
     """
+    document_rule = document_modulus if document_ranges is None else document_ranges
     keyed = with_text_keys(tables["sales_order_item"], ORDER_GRAIN)
     own_reference = ("sales_document_number", "item_number")
     hot = hot_keys(_with_reference(keyed, *own_reference, document_rule), document=DOCUMENT, reference=REFERENCE, material=MATERIAL)
