@@ -169,7 +169,8 @@ def hit_blocks(table: pa.Table, groups: int) -> pa.Table:
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
         repeated = np.zeros(len(low), bool)
-        repeated[1:], repeated[:-1] = same, repeated[:-1] | same
+        repeated[1:] = same
+        repeated[:-1] |= same
         hit = np.zeros(len(low), bool)
         hit[order] = repeated
         hit |= many
@@ -311,8 +312,8 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     A word goes if it lies in a window of `window` words that also begins in a row with a smaller id.
     Non-overlapping reference blocks of each text, (window + 1) / 2 words long, are indexed by hash and probed
     with every rolling window of that length of all texts: any repeated window holds one whole block. Around
-    blocks that another text has, the hit is extended: windows are compared by 80 bits of two hashes
-    besides those that choose the group, and adjoining repeated windows make up maximal repeats. Hashes travel
+    blocks that another text has, the hit is extended: windows are compared by 80 bits of two hashes (of which some
+    also choose the group), not by their words, and adjoining repeated windows make up maximal repeats. Hashes travel
     packed and once for each piece of input, so that a passage of many documents sends few rows to its group;
     the texts are dealt out by id once, for both passes over them.
 
