@@ -51,6 +51,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(folder)
 
 
+def forget(frame: DataFrame) -> None:
+    """Delete the folder of a frame that `written` gave, once nothing reads it any more."""
+    spark = frame.sparkSession
+    folders = {name.rsplit("/", 1)[0] for name in frame.inputFiles()}
+    shared = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath() == shared.toUri().getPath():
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def fair_share(sizes: dict[int, int], total: int) -> int:
     """The largest share, at least 1, with which members that give their size or the share, if less, give `total` at most.
 

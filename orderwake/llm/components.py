@@ -9,9 +9,13 @@ from orderwake.llm.common import durable
 
 
 def _with_least_neighbour(links: DataFrame) -> DataFrame:
-    """Each link with the smallest neighbour of its first node (or that node, if smaller)."""
-    least = links.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("least", "a").alias("least"))
-    return links.join(least, links.a == least.node).select("a", "b", "least")
+    """Each link with the smallest neighbour of its first node (or that node, if smaller).
+
+    The nodes meet as structs: other keys than the minima are grouped on, so both sides have an exchange directly
+    below their sort, and Spark can split the links of a hub.
+    """
+    least = links.groupBy("a").agg(F.min("b").alias("least")).select(F.struct("a").alias("node"), F.least("least", "a").alias("least"))
+    return links.join(least, F.struct(links.a) == least.node).select("a", "b", "least")
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -126,17 +126,25 @@ def fit_languages(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     Of each language the rows with the smallest hashes of id and text are taken: the same number of each, or all
     if it has fewer, and at least one, so every language that occurs is learned, however rare. Rows that repeat
-    language, id and text count once. Trigrams are counted in tasks; the driver gets at most `fit_docs` hashes per
-    language and one count per language and bin. Rows with a null language or text are not used.
+    language, id and text count once. Rows with a null language or text are not used.
+
+    A sketch counts the rows of each language; from it follows a hash up to which about twice the wanted rows lie,
+    and only those are ranked. Trigrams are counted in tasks. A language costs the driver three rows, the last one
+    with at most BINS counters (512 kB, packed), and the model 256 kB.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.xxhash64(id_col, text_col).alias("rank"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))
-    smallest = rows.select("lang", "rank").distinct().withColumn("place", place).where(F.col("place") <= fit_docs)
-    ranks = {r["lang"]: r["ranks"] for r in smallest.groupBy("lang").agg(F.sort_array(F.collect_list("rank")).alias("ranks")).collect()}
-    if not ranks:
+    sizes = {r["lang"]: max(1, r["n"]) for r in rows.groupBy("lang").agg(F.approx_count_distinct("rank", 0.02).alias("n")).collect()}
+    if not sizes:
         return LanguageModel([], np.zeros((BINS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
+    spark = labelled.sparkSession
+    share = fair_share(Counter(min(n, fit_docs) for n in sizes.values()), fit_docs)
+    below = [(lang, -(1 << 63) + min((1 << 64) - 1, (2 * share + 100) * (1 << 64) // n)) for lang, n in sizes.items()]
+    ranked = rows.join(F.broadcast(spark.createDataFrame(below, "lang string, below bigint")), "lang").where(F.col("rank") <= F.col("below"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))
+    smallest = ranked.select("lang", "rank").distinct().withColumn("place", place).where(F.col("place") <= share)
+    last = spark.createDataFrame(smallest.groupBy("lang").agg(F.max("rank").alias("last")).collect(), "lang string, last bigint")
 
     def count(piece: pa.RecordBatch) -> pa.RecordBatch:
         names = np.array(piece.column(0).to_pylist(), object)
@@ -152,17 +160,22 @@ def fit_languages(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str
             found += [(name, BINS + i, n) for i, n in enumerate(letters_of.tolist()) if n]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found) if found else ((), (), ()), (pa.string(), pa.int32(), pa.int64()))], ["lang", "bin", "n"])
 
-    share = fair_share(Counter(map(len, ranks.values())), fit_docs)
-    last = labelled.sparkSession.createDataFrame([(lang, own[:share][-1]) for lang, own in ranks.items()], "lang string, last bigint")
+    def pack(table: pa.Table) -> pa.Table:
+        bins, n = (np.asarray(table.column(c).to_numpy(), "<i4") for c in ("bin", "n"))
+        return pa.table({"lang": table.column("lang").slice(0, 1), "bins": pa.array([bins.tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary())})
+
     used = rows.join(F.broadcast(last), "lang").where(F.col("rank") <= F.col("last")).dropDuplicates(["lang", "rank"]).select("lang", "text")
-    counts = map_texts(used, "text", count, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
-    languages = sorted({r["lang"] for r in counts})
-    grams = np.zeros((BINS + len(SCRIPTS), len(languages)))
-    for r in counts:
-        grams[r["bin"], languages.index(r["lang"])] = r["n"]
-    scripts = grams[BINS:] / np.maximum(grams[BINS:].sum(axis=0), 1)
-    scores = np.log((grams[:BINS] + 0.5) / (grams[:BINS].sum(axis=0) + 0.5 * BINS))
-    return LanguageModel(languages, scores.astype(np.float32), scripts >= SCRIPT_SHARE)
+    counts = map_texts(used, "text", count, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    packed = counts.groupBy("lang").applyInArrow(pack, "lang string, bins binary, n binary").collect()
+    packed.sort(key=lambda r: r["lang"])
+    scores = np.zeros((BINS, len(packed)), np.float32)
+    scripts = np.zeros((len(SCRIPTS), len(packed)), bool)
+    for i, r in enumerate(packed):
+        grams = np.zeros(BINS + len(SCRIPTS))
+        grams[np.frombuffer(r["bins"], "<i4")] = np.frombuffer(r["n"], "<i4")
+        scores[:, i] = np.log((grams[:BINS] + 0.5) / (grams[:BINS].sum() + 0.5 * BINS))
+        scripts[:, i] = grams[BINS:] / max(grams[BINS:].sum(), 1) >= SCRIPT_SHARE
+    return LanguageModel([r["lang"] for r in packed], scores, scripts)
 
 
 def language_spans(

@@ -41,7 +41,7 @@ def _digits(text: str) -> str:
 
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans (code points, end exclusive) of each kind."""
-    ips = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    ips = [m.span() for m in _IP.finditer(text) if all(len(p := part.lstrip("0")) <= 3 and int(p or "0") <= 255 for part in m.group().split("."))]
     cards = [m.span() for m in _CARD.finditer(text) if 13 <= len(d := _digits(m.group())) <= 19 and luhn(d)]
     phones = [m.span() for m in _PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
     return {"email": emails(text), "ip": ips, "card": cards, "phone": phones}

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderwake.llm.chars import code_points, letters, positions
@@ -19,6 +19,8 @@ FIT_DOCS = 4_000
 FIT_LINES = 2_000
 #: Lines that the model is fitted on at most. Beyond it the longest documents give a stretch of equal length each.
 FIT_TOTAL = 400_000
+#: Different texts of one labelled id that the model is fitted on at most.
+FIT_REPEATS = 4
 FIT_ROUNDS = 150
 #: Weight of the squared weights against the mean log-likelihood of a line.
 PENALTY = 1e-4
@@ -197,8 +199,9 @@ def fit_quality(
 
     Line features are made in tasks; only they reach the driver. Rows with a null id or label are not used. Long
     documents are fitted as chains of `fit_lines` lines. If the documents have more than `fit_total` lines, the
-    longest give a stretch of equal length each, so that none is left out; its place is chosen by a hash. With no
-    row or one label only, every text scores the same.
+    longest give a stretch of equal length each, so that none is left out; its place is chosen by a hash. Of an id
+    that repeats, at most FIT_REPEATS different texts are used, so the driver gets features of at most
+    `fit_docs` * FIT_REPEATS texts. With no row or one label only, every text scores the same.
     """
     chosen = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -207,7 +210,14 @@ def fit_quality(
         .orderBy(F.xxhash64("labelled"))
         .limit(fit_docs)
     )
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc") == F.col("labelled"))
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash")).join(
+        F.broadcast(chosen), F.col("doc") == F.col("labelled")
+    )
+    # An id may repeat without bound: a few of its texts are enough, each once.
+    place = F.row_number().over(Window.partitionBy("doc").orderBy("hash"))
+    few = rows.select("doc", "hash").distinct().withColumn("place", place).where(F.col("place") <= FIT_REPEATS)
+    few = few.select(F.col("doc").alias("few_doc"), F.col("hash").alias("few_hash"))  # FIT_REPEATS rows per chosen id at most
+    rows = rows.join(F.broadcast(few), (F.col("doc") == F.col("few_doc")) & (F.col("hash") == F.col("few_hash"))).dropDuplicates(["doc", "hash"])
 
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1))
     share = fair_share({r["n"]: r["count"] for r in rows.groupBy(n_lines.alias("n")).count().collect()}, fit_total)

@@ -202,8 +202,9 @@ def simhash_groups(
     rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
-    components = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fingerprint", "root").join(components, "root").select(F.col("fingerprint").alias("print"), "component_id")
+    # Joined as structs, which the minima are not grouped on: the fingerprints of a large component can be split.
+    components = rooted.groupBy("root").agg(F.min("least").alias("component_id")).select(F.struct("root").alias("whole"), "component_id")
+    named = rooted.join(components, F.struct(rooted.root) == components.whole).select(F.col("fingerprint").alias("print"), "component_id")
     return prints.join(named, F.col("fingerprint") == F.col("print")).select(
         F.col("doc").alias(id_col), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -89,6 +89,30 @@ FROM base b JOIN flagged f USING (doc_id)
 """
 
 
+#: A window is named by its words joined with a space, since no word holds one.
+OP7 = """
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT row, doc_id, place, array_to_string(words[place:place + 12], ' ') AS shown
+  FROM (SELECT row, doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM texts WHERE len(words) >= 13)
+), ranked AS (
+  SELECT row, place, doc_id IS NULL AS unnamed, doc_id, min(doc_id) OVER (PARTITION BY shown) AS least FROM windows
+), covered AS (
+  SELECT DISTINCT row, unnest(range(place, place + 13)) AS place FROM ranked
+  WHERE least < doc_id OR (unnamed AND least IS NOT NULL)
+), kept AS (
+  SELECT t.row, list(t.word ORDER BY t.place) AS words, count(*) AS n
+  FROM (SELECT row, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts) t
+  ANTI JOIN covered c ON c.row = t.row AND c.place = t.place
+  GROUP BY t.row
+)
+SELECT doc_id, len(t.words) AS n_words, len(t.words) - coalesce(k.n, 0) AS n_removed,
+  sha256(coalesce(array_to_string(k.words, ' '), '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (row)
+"""
+
+
 def _checksum(text: str) -> str:
     """CRC-32 of a text's UTF-8 bytes, by the table of remainders of all bytes."""
     remainders = []
@@ -220,5 +244,5 @@ JOIN ends e ON e.grp = d.grp AND e.place = d.place LEFT JOIN proofs p ON p.grp =
 
 
 ORACLE: dict[str, str] = {
-    "op3_line_dedup": OP3, "op6_quality_rules": _op6(), "op11_sharding": OP11, "op12_manifest": _op12(), "op13_fill_in_middle": OP13
+    "op3_line_dedup": OP3, "op6_quality_rules": _op6(), "op7_substring_dedup": OP7, "op11_sharding": OP11, "op12_manifest": _op12(), "op13_fill_in_middle": OP13
 }
