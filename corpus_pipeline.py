@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwake.llm.common import table, written
+from orderwake.llm.common import forget, table, written
 from orderwake.llm.decontaminate import decontaminate
 from orderwake.llm.line_dedup import line_dedup
 from orderwake.llm.pieces import encode_and_decode
@@ -22,21 +22,33 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that many documents share; n_chars follows the text."""
-    return line_dedup(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Texts without the lines that many documents share; n_chars, if there is one, follows the text.
+
+    All other columns stay as they are, whatever their names.
+    """
+    others = F.struct(F.lit(True).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text"))).alias("others")
+    kept = line_dedup(docs.select("doc_id", "text", others))
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(new.get(c, F.col("others")[c]).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: that with the smallest id (rows without id: if the group has no other).
 
-    Of rows that share this id the one with the smallest hash of its columns stays, of equal rows any one. Rows
-    get a number that is written with them, so each is told from its copies and a repeated task can't renumber them.
+    Of rows that share this id the one with the smallest hash of its columns stays, of equal rows any one; maps,
+    whose entries have no order, are left out of the hash. Rows get a number that is written with them, so each is
+    told from its copies and a repeated task can't renumber them. All columns stay as they are, whatever their names.
     """
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*docs.columns).alias("hash"), F.monotonically_increasing_id().alias("number"))
-    rows = written(docs.withColumn("place", place), "rows with places")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*hashed).alias("hash"), F.monotonically_increasing_id().alias("number"))
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("others")
+    rows = written(docs.select(place.alias("place"), others, "text"), "rows with places")
     groups = simhash_groups(rows, id_col="place", shingle=3, max_bits=2)
     first = groups.where(F.col("place") == F.col("component_id")).select(F.col("place.number").alias("first"))
-    return rows.join(first.hint("shuffle_hash"), rows["place.number"] == first["first"], "left_semi").select(*docs.columns)
+    kept = rows.join(first.hint("shuffle_hash"), rows["place.number"] == first["first"], "left_semi")
+    return kept.select(*(F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +74,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each but the last is written as Parquet and read again by the next."""
+    """All stages over `documents`; each but the last is written as Parquet and read again by the next.
+
+    A stage's table is deleted as soon as the next one is written.
+    """
     docs = table(spark, sf_dir, "documents")
+    earlier = None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if earlier is not None:
+            forget(earlier)
+        earlier = docs
     return STAGES[-1][1](spark, docs, sf_dir)
