@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderwake.llm.common import portions
+from orderwake.llm.common import SPACE_CLASS, portions
 
 #: Two odd factors for polynomial hashes of byte ranges modulo 2 ** 64.
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -85,15 +85,10 @@ def word_runs(texts: list[str | None]) -> tuple[WordRuns, list[list[bytes]]]:
     return WordRuns(starts, ends, per_text, owner, place, data), words
 
 
-def next_prime(n: int) -> int:
-    while n < 2 or any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
-        n += 1
-    return n
-
-
-#: Rows that travel: hashes to a group by hash, or results to the group of their document.
-TRAVEL = pa.schema([("key", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("many", pa.binary()), ("at", pa.binary()), ("doc", pa.binary()), ("place", pa.binary())])
-TRAVEL_SQL = "key int, low binary, high binary, many binary, at binary, doc binary, place binary"
+#: Rows that travel: hashes to a group by hash (`dest` names the groups of their documents), or results to the group
+#: of their documents.
+TRAVEL = pa.schema([("key", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("many", pa.binary()), ("at", pa.binary()), ("dest", pa.binary()), ("doc", pa.binary()), ("place", pa.binary())])
+TRAVEL_SQL = "key int, low binary, high binary, many binary, at binary, dest binary, doc binary, place binary"
 RESULT = pa.schema([("key", pa.int32()), ("doc", pa.binary()), ("place", pa.binary())])
 RESULT_SQL = "key int, doc binary, place binary"
 
@@ -105,15 +100,19 @@ def _slices(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(keys[a]), a, b
 
 
-def results(doc: np.ndarray, place: np.ndarray, groups: int) -> list[tuple[int, bytes, bytes]]:
+def results(dest: np.ndarray, doc: np.ndarray, place: np.ndarray) -> list[tuple[int, bytes, bytes]]:
     """(group of the documents, documents, places)."""
-    key = doc % groups
-    order = np.lexsort((place, doc, key))
+    order = np.lexsort((place, doc, dest))
     doc, place = doc[order], place[order]
-    return [(k, planes(np.diff(doc[a:b], prepend=0)), planes(place[a:b])) for k, a, b in _slices(key[order])]
+    return [(k, planes(np.diff(doc[a:b], prepend=0)), planes(place[a:b])) for k, a, b in _slices(dest[order])]
+
 
+def _travelling(found: list[tuple[int, bytes, bytes]]) -> list[tuple]:
+    """Results as rows of TRAVEL."""
+    return [(k, None, None, None, None, None, d, p) for k, d, p in found]
 
-def probe_rows(ids: np.ndarray, runs: WordRuns, block: int, groups: int) -> list[tuple]:
+
+def probe_rows(dests: np.ndarray, ids: np.ndarray, runs: WordRuns, block: int, groups: int) -> list[tuple]:
     """Rows of TRAVEL for the rolling windows of some texts, and for the reference blocks among them.
 
     A hash is sent once, with a mark if several of these texts hold it. Blocks with such a hash are known to be
@@ -134,15 +133,15 @@ def probe_rows(ids: np.ndarray, runs: WordRuns, block: int, groups: int) -> list
     many = np.minimum.reduceat(owner, at) != np.maximum.reduceat(owner, at)
     blocks = np.flatnonzero(runs.place[first] % block == 0)
     known = many[group[blocks]]
-    doc, place = ids[owner[blocks]], (runs.place[first[blocks]] // block).astype(np.uint64)
-    rows: list[tuple] = [(k, None, None, None, None, d, p) for k, d, p in results(doc[known], place[known], groups)]
-    group, doc, place = group[blocks][~known], doc[~known], place[~known].astype(np.uint32)
+    dest, doc, place = dests[owner[blocks]], ids[owner[blocks]], (runs.place[first[blocks]] // block).astype(np.uint64)
+    rows = _travelling(results(dest[known], doc[known], place[known]))
+    group, dest, doc, place = group[blocks][~known], dest[~known], doc[~known], place[~known].astype(np.uint32)
     values = key[at]
     cuts = np.searchsorted(group, np.arange(len(values) + 1))
     for k, a, b in _slices((values >> np.uint64(32)).astype(np.int64)):
         low = (values[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         x, y = cuts[a], cuts[b]
-        rows.append((k, planes(np.diff(low, prepend=np.uint32(0))), None, np.packbits(many[a:b]).tobytes(), planes(np.diff(group[x:y] - a, prepend=0).astype(np.uint32)), planes(doc[x:y]), planes(place[x:y])))
+        rows.append((k, planes(np.diff(low, prepend=np.uint32(0))), None, np.packbits(many[a:b]).tobytes(), planes(np.diff(group[x:y] - a, prepend=0).astype(np.uint32)), planes(dest[x:y]), planes(doc[x:y]), planes(place[x:y])))
     return rows
 
 
@@ -151,16 +150,17 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _passed_on(rows: list[dict], groups: int) -> list[tuple]:
-    """Results that only travel through a group by hash, as one row."""
-    doc, place = _gathered([r for r in rows if r["low"] is None])
-    return results(doc, place, groups)
+def _passed_on(rows: list[dict]) -> list[tuple]:
+    """Results that only travel through the group by hash that has the number of their own group, as one row."""
+    rows = [r for r in rows if r["low"] is None]
+    doc, place = _gathered(rows)
+    return results(np.full(len(doc), rows[0]["key"], np.int32), doc, place) if rows else []
 
 
-def hit_blocks(table: pa.Table, groups: int) -> pa.Table:
+def hit_blocks(table: pa.Table) -> pa.Table:
     """Blocks whose hash a window of another document has; documents differ if they come in different rows."""
     rows = table.to_pylist()
-    done = _passed_on(rows, groups)
+    done = _passed_on(rows)
     rows = [r for r in rows if r["low"] is not None]
     if rows:
         lows = [np.cumsum(from_planes(r["low"], "<u4"), dtype=np.uint32) for r in rows]
@@ -176,10 +176,11 @@ def hit_blocks(table: pa.Table, groups: int) -> pa.Table:
         hit |= many
         base = np.cumsum([0, *map(len, lows)])
         at = np.concatenate([np.cumsum(from_planes(r["at"], "<u4")).astype(np.int64) + b for r, b in zip(rows, base)])
+        dest = np.concatenate([from_planes(r["dest"], "<i4") for r in rows])
         doc = np.concatenate([from_planes(r["doc"], "<i8") for r in rows])
         place = np.concatenate([from_planes(r["place"], "<u4") for r in rows])
         found = hit[at]
-        done += results(doc[found], place[found].astype(np.uint64), groups)
+        done += results(dest[found], doc[found], place[found].astype(np.uint64))
     return _table(done, RESULT)
 
 
@@ -209,12 +210,13 @@ def _ids(table: pa.Table) -> np.ndarray:
 
 
 def candidate_rows(docs: pa.Table, hits: pa.Table, window: int, block: int, groups: int) -> list[tuple]:
-    """Rows of TRAVEL for the windows around hit blocks.
+    """Rows of TRAVEL for the windows around hit blocks of a group's documents.
 
     Of windows with one hash only those of the smallest id are sent; the others are known to be repeated.
     """
     doc, place = _gathered(hits.to_pylist())
     ids, texts = _ids(docs), docs.column("text").to_pylist()
+    own_key = np.asarray(docs.column("key")[:1], np.int32)
     kept = np.flatnonzero(np.isin(ids, doc))
     number, found, start, size = _numbered(ids, texts), [], 0, 0
     for end, i in enumerate(kept.tolist(), 1):  # texts of bounded size at a time
@@ -230,9 +232,9 @@ def candidate_rows(docs: pa.Table, hits: pa.Table, window: int, block: int, grou
     order = np.lexsort((place, doc, h2, h1, key))
     key, h1, h2, doc, place = key[order], h1[order], h2[order], doc[order], place[order]
     later = doc > _least(h1, h2, doc)
-    rows: list[tuple] = [(k, None, None, None, None, d, p) for k, d, p in results(doc[later], place[later], groups)]
+    rows = _travelling(results(np.repeat(own_key, later.sum()), doc[later], place[later]))
     h1, h2, doc, place, key = (x[~later] for x in (h1, h2, doc, place, key))
-    rows += [(k, h1[a:b].tobytes(), h2[a:b].astype("<u2").tobytes(), None, None, planes(doc[a:b]), planes(place[a:b])) for k, a, b in _slices(key.astype(np.int64))]
+    rows += [(k, h1[a:b].tobytes(), h2[a:b].astype("<u2").tobytes(), None, None, planes(own_key), planes(doc[a:b]), planes(place[a:b])) for k, a, b in _slices(key.astype(np.int64))]
     return rows
 
 
@@ -266,20 +268,21 @@ def _least(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(doc, at)[np.cumsum(new) - 1] if len(at) else doc
 
 
-def repeated_windows(table: pa.Table, groups: int) -> pa.Table:
-    """Windows whose hash a smaller id has as well."""
+def repeated_windows(table: pa.Table) -> pa.Table:
+    """Windows whose hash a smaller id has as well; the windows of a row are of documents of one group."""
     rows = table.to_pylist()
-    done = _passed_on(rows, groups)
+    done = _passed_on(rows)
     rows = [r for r in rows if r["low"] is not None]
     if rows:
         h1 = np.concatenate([np.frombuffer(r["low"], "<u8") for r in rows])
         h2 = np.concatenate([np.frombuffer(r["high"], "<u2") for r in rows])
+        dest = np.concatenate([np.repeat(from_planes(r["dest"], "<i4"), len(r["low"]) // 8) for r in rows])
         doc = np.concatenate([from_planes(r["doc"], "<i8") for r in rows])
         place = np.concatenate([from_planes(r["place"], "<u8") for r in rows])
         order = np.lexsort((h2, h1))
-        doc, place = doc[order], place[order]
+        dest, doc, place = dest[order], doc[order], place[order]
         later = doc > _least(h1[order], h2[order], doc)
-        done += results(doc[later], place[later], groups)
+        done += results(dest[later], doc[later], place[later])
     return _table(done, RESULT)
 
 
@@ -306,7 +309,19 @@ def without_repeats(docs: pa.Table, repeats: pa.Table, window: int) -> pa.Table:
     return pa.table({"doc": docs.column("doc"), "text": pa.array(kept, pa.string()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())})
 
 
-def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13) -> DataFrame:
+def dealt_out(rows: DataFrame, groups: int) -> DataFrame:
+    """Rows with the group (`key`) that works on their text.
+
+    Nothing has to reach a row without words, so it may go anywhere; all others go where id and text say.
+    """
+    worded = F.col("text").rlike(f"[^{SPACE_CLASS}]")
+    place = F.when(worded, F.xxhash64("doc", "text")).otherwise(F.xxhash64(F.spark_partition_id()))
+    return rows.select(F.pmod(place, F.lit(groups).cast("bigint")).cast("int").alias("key"), "doc", "text")
+
+
+def substring_dedup(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, group_bytes: int = 8_000_000
+) -> DataFrame:
     """Id, `text` (kept words, one space between), `n_words`, `n_removed` (long) of each row.
 
     A word goes if it lies in a window of `window` words that also begins in a row with a smaller id.
@@ -315,27 +330,32 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     blocks that another text has, the hit is extended: windows are compared by 80 bits of two hashes (of which some
     also choose the group), not by their words, and adjoining repeated windows make up maximal repeats. Hashes travel
     packed and once for each piece of input, so that a passage of many documents sends few rows to its group;
-    the texts are dealt out by id once, for both passes over them.
+    the texts are dealt out once, for both passes over them.
+
+    Groups, of texts as of hashes, follow the bytes of all texts: `group_bytes` of text in each on average, but never
+    fewer groups than shuffle partitions. So a group's size and the share of blocks that seem repeated by their 32 bits
+    within a group don't grow with the table. Texts are dealt by a hash of id and text, hence neither rows without id
+    nor rows with one id meet in one group, unless their texts are equal too; rows without words stay spread as they
+    come.
 
     Ids must be whole numbers. Rows without id count as behind all others; rows with equal ids don't remove
     each other's words. Null and empty texts have no words and come back as ''.
     """
     block = (window + 1) // 2
-    spark = docs.sparkSession
-    groups = next_prime(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // group_bytes))
+    dealt = dealt_out(rows, groups)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in portions(batches, "text", AT_ONCE):
             runs, _ = word_runs(piece.column("text").to_pylist())
-            found = _table(probe_rows(_ids(piece), runs, block, groups), TRAVEL)
+            found = _table(probe_rows(np.asarray(piece.column("key"), np.int32), _ids(piece), runs, block, groups), TRAVEL)
             yield from found.to_batches()
 
-    hits = rows.mapInArrow(probe, TRAVEL_SQL).groupBy("key").applyInArrow(lambda t: hit_blocks(t, groups), RESULT_SQL)
-    group = F.pmod(F.coalesce("doc", F.lit(NO_ID)), F.lit(groups).cast("bigint")).cast("int")
-    dealt = rows.select(group.alias("key"), "doc", "text")
+    hits = dealt.mapInArrow(probe, TRAVEL_SQL).groupBy("key").applyInArrow(hit_blocks, RESULT_SQL)
     candidates = dealt.groupBy("key").cogroup(hits.groupBy("key")).applyInArrow(lambda d, h: _table(candidate_rows(d, h, window, block, groups), TRAVEL), TRAVEL_SQL)
-    repeats = candidates.groupBy("key").applyInArrow(lambda t: repeated_windows(t, groups), RESULT_SQL)
+    repeats = candidates.groupBy("key").applyInArrow(repeated_windows, RESULT_SQL)
     return (
         dealt.groupBy("key")
         .cogroup(repeats.groupBy("key"))

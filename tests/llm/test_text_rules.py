@@ -16,7 +16,7 @@ from orderwake.llm.quality_rules import bin_of, quality_rules
 from orderwake.llm.queries import QUERIES
 from orderwake.llm.simhash import fingerprint, linked, simhash_groups
 from orderwake.llm.sql import ORACLE
-from orderwake.llm.substring_dedup import substring_dedup
+from orderwake.llm.substring_dedup import dealt_out, substring_dedup
 from pyspark.sql import functions as F
 
 LINE = "a line of text that is shared by several documents"
@@ -229,3 +229,24 @@ def test_substring_dedup_on_small_alphabets(spark, size):
     docs = spark.createDataFrame([(i, t, 0, b"x") for i, t in rows], "doc_id bigint, text string, key int, place binary")
     assert found_substrings(substring_dedup(docs.repartition(5), window=size)) == brute_substrings(rows, size)
     assert substring_dedup(docs.limit(0)).count() == 0
+
+
+def test_substring_dedup_in_many_groups(spark):
+    rng = random.Random(11)
+    passages = [" ".join(f"p{n}x{i}" for i in range(rng.randrange(10, 40))) for n in range(12)]
+    texts = [" ".join([f"own{i}", *rng.choices(passages, k=rng.randrange(3)), f"end{i}"]) for i in range(200)]
+    # A third without id, a third with one id, equal rows among both.
+    rows = [((None, 7, i)[i % 3], t) for i, t in enumerate(texts)] + [(None, texts[0])] * 3 + [(7, texts[1])] * 3 + [(None, " "), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    brute = brute_substrings(rows)
+    assert sum(r[2] for r in brute) > 1_000
+    for group_bytes in (60, 1_000, 8_000_000):
+        assert found_substrings(substring_dedup(docs, group_bytes=group_bytes)) == brute
+
+
+def test_rows_without_id_or_words_are_spread(spark):
+    texts = [(None, f"text {i}") for i in range(2_000)]
+    spread = dealt_out(spark.createDataFrame(texts, "doc bigint, text string"), 20).groupBy("key").count().collect()
+    assert len(spread) == 20 and max(r["count"] for r in spread) < 200
+    empty = dealt_out(spark.createDataFrame([(None, " "), (None, None)] * 400, "doc bigint, text string").repartition(8), 1_000)
+    assert empty.select("key").distinct().count() == 8
