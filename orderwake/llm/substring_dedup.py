@@ -234,7 +234,7 @@ def candidate_rows(docs: pa.Table, hits: pa.Table, window: int, block: int, grou
     later = doc > _least(h1, h2, doc)
     rows = _travelling(results(np.repeat(own_key, later.sum()), doc[later], place[later]))
     h1, h2, doc, place, key = (x[~later] for x in (h1, h2, doc, place, key))
-    rows += [(k, h1[a:b].tobytes(), h2[a:b].astype("<u2").tobytes(), None, None, planes(own_key), planes(doc[a:b]), planes(place[a:b])) for k, a, b in _slices(key.astype(np.int64))]
+    rows += [(k, h1[a:b].tobytes(), h2[a:b].tobytes(), None, None, planes(own_key), planes(doc[a:b]), planes(place[a:b])) for k, a, b in _slices(key.astype(np.int64))]
     return rows
 
 
@@ -255,7 +255,7 @@ def _windows_at_hits(
     # A window holds just one whole block of its text's grid; if it is repeated elsewhere, so is that block.
     grid = -(-runs.place[first] // block)
     first = first[hit[base[owner] + grid]]
-    h1, h2 = runs.hashes(first, window, FACTORS[0]), runs.hashes(first, window, FACTORS[1]) & np.uint64(0xFFFF)
+    h1, h2 = runs.hashes(first, window, FACTORS[0]), runs.hashes(first, window, FACTORS[1])
     owner = runs.owner[first]
     return h1, h2, ids[owner], number[owner] << np.uint64(32) | runs.place[first].astype(np.uint64)
 
@@ -275,7 +275,7 @@ def repeated_windows(table: pa.Table) -> pa.Table:
     rows = [r for r in rows if r["low"] is not None]
     if rows:
         h1 = np.concatenate([np.frombuffer(r["low"], "<u8") for r in rows])
-        h2 = np.concatenate([np.frombuffer(r["high"], "<u2") for r in rows])
+        h2 = np.concatenate([np.frombuffer(r["high"], "<u8") for r in rows])
         dest = np.concatenate([np.repeat(from_planes(r["dest"], "<i4"), len(r["low"]) // 8) for r in rows])
         doc = np.concatenate([from_planes(r["doc"], "<i8") for r in rows])
         place = np.concatenate([from_planes(r["place"], "<u8") for r in rows])
@@ -327,8 +327,8 @@ def substring_dedup(
     A word goes if it lies in a window of `window` words that also begins in a row with a smaller id.
     Non-overlapping reference blocks of each text, (window + 1) / 2 words long, are indexed by hash and probed
     with every rolling window of that length of all texts: any repeated window holds one whole block. Around
-    blocks that another text has, the hit is extended: windows are compared by 80 bits of two hashes (of which some
-    also choose the group), not by their words, and adjoining repeated windows make up maximal repeats. Hashes travel
+    blocks that another text has, the hit is extended: windows are compared by two hashes of 64 bits each (of
+    which some bits also choose the group), not by their words, and adjoining repeated windows make up maximal repeats. Hashes travel
     packed and once for each piece of input, so that a passage of many documents sends few rows to its group;
     the texts are dealt out once, for both passes over them.
 
