@@ -1,5 +1,5 @@
 from .dedupe import duplicate_rows, first_per_key, latest_image
-from .joins import hot_keys, lookup_join
+from .joins import hot_keys, lookup_in_place, lookup_join
 from .order_stats import quantiles
 from .running import numeric_buckets, running_totals
 
@@ -8,6 +8,7 @@ __all__ = [
     "first_per_key",
     "hot_keys",
     "latest_image",
+    "lookup_in_place",
     "lookup_join",
     "numeric_buckets",
     "quantiles",

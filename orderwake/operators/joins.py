@@ -6,6 +6,9 @@ key: rows of a hot key are dealt out over `n` salts and the matching right-hand
 `n` times, so every row still meets every match exactly once. A key that the sketch misses is
 merely not spread; the result never depends on it. Without hot keys the join is a plain one.
 
+`lookup_in_place` does the same for two lookups whose keys have some columns in common, and deals out
+the left side once for both.
+
 Nothing is hinted: whether a side is small enough to broadcast is left to Spark's size check.
 """
 
@@ -14,7 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Spark's bounds for the sketch: keys it returns, and candidates it follows per key.
@@ -84,6 +87,56 @@ def lookup_join(
     return left.drop("_salt") if hot else left
 
 
+def lookup_in_place(
+    left: DataFrame,
+    facts: DataFrame,
+    headers: DataFrame,
+    home: Sequence[str],
+    within: Sequence[str],
+    header_key: Sequence[str],
+    hot: HotKeys | None = None,
+    hot_within: HotKeys | None = None,
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
+    """Left lookups in `facts` (by home and within) and `headers` (by header_key) behind one shuffle of the left side.
+
+    All three have the `home` columns, which follow from header_key, and are partitioned by a hash of them. A join on
+    more columns would partition by all of these, so facts, one row per key, are stacked on the left rows and handed
+    on by a window; headers join by the hash, and their key is compared as a condition. Few headers may share a home.
+
+    Rows of a `hot` home are spread by their `within` columns, and facts follow them without being repeated; headers
+    are repeated per salt. If home and within together are hot as well (`hot_within`), left rows are spread by
+    `spread_by` and the fact of that key is repeated. NULL keys find nothing.
+    """
+    key = [*home, *within]
+    every = F.sequence(F.lit(0), _salts(home, hot) - 1) if hot else F.array(F.lit(0))
+    own = F.array(F.pmod(_key_hash(within), _salts(home, hot)).cast("int")) if hot else every
+    left_own = fact_places = own
+    if hot and hot_within:
+        crowded = _salts(key, hot_within) > 1
+        fact_places = F.when(crowded, every).otherwise(own)
+        left_own = F.when(crowded, F.array(F.pmod(_key_hash(spread_by), _salts(home, hot)).cast("int"))).otherwise(own)
+
+    def placed(df: DataFrame, salt: Column) -> DataFrame:
+        return df.withColumn("_salt", salt).withColumn("_at", _key_hash([*home, "_salt"]))
+
+    found = [c for c in facts.columns if c not in left.columns]
+    known = placed(facts.na.drop(subset=key).select(*key, *found), F.explode(fact_places)).withColumn("_asks", F.lit(False))
+    asking = placed(left, F.get(left_own, 0)).withColumn("_asks", F.lit(True))
+    stacked = asking.unionByName(known, allowMissingColumns=True).repartition("_at")
+    same_key = Window.partitionBy("_at", *key)
+    answered = stacked.withColumns({c: F.max(c).over(same_key) for c in found}).filter("_asks").drop("_asks")
+
+    named = [F.col(c).alias(f"_r_{c}") for c in header_key]
+    told = [c for c in headers.columns if c not in answered.columns]
+    headers = placed(headers, F.explode(every)).select(F.col("_salt").alias("_r__salt"), F.col("_at").alias("_r_at"), *named, *told)
+    condition = F.col("_at") == F.col("_r_at")
+    for c in ["_salt", *header_key]:
+        # Equality in two halves, which Spark does not take for one more column to partition by.
+        condition &= (F.col(c) <= F.col(f"_r_{c}")) & (F.col(c) >= F.col(f"_r_{c}"))
+    return answered.join(headers, condition, "left").drop("_salt", "_at", "_r_at", "_r__salt", *(f"_r_{c}" for c in header_key))
+
+
 def _equi_join(left, right, on, hot, null_safe, how) -> DataFrame:
     for name in on:
         if left.schema[name].dataType != right.schema[name].dataType:

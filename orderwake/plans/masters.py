@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import canonical_item, folded_document, number, range_table, sum_or_zero, text_key, whole_number
-from ..operators import first_per_key, hot_keys, lookup_join
+from ..operators import first_per_key, hot_keys, lookup_in_place, lookup_join
 from ..operators.dedupe import RECORD_TIMESTAMP
 
 Tables = Mapping[str, DataFrame]
@@ -23,6 +23,7 @@ DOCUMENT = ["client_id", "sales_document_number"]
 ORDER_GRAIN = [*DOCUMENT, "item_number"]
 MATERIAL = ["client_id", "material_number"]
 REFERENCE = ["client_id", "_doc", "_item"]
+HOME = ["client_id", "_home"]
 
 # Columns and column order of the three masters, and what each dimension contributes.
 ORDER_COLUMNS = [
@@ -131,42 +132,57 @@ def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return first_per_key(df, keys).drop(RECORD_TIMESTAMP)
 
 
-def _with_reference(df: DataFrame, document: str, item: str, rule: Rule) -> DataFrame:
+def _with_document(df: DataFrame, document: str, rule: Rule) -> DataFrame:
     # The number is parsed in a step of its own, since folding it uses it several times.
-    df = df.withColumn("_number", whole_number(F.col(document))).withColumn("_item", canonical_item(F.col(item)))
+    df = df.withColumn("_number", whole_number(F.col(document)))
     if isinstance(rule, DataFrame):
         listed = df.withColumn("_ranges", range_table(rule))
         return listed.withColumn("_doc", folded_document(F.col("_number"), ranges=F.col("_ranges"))).drop("_ranges")
     return df.withColumn("_doc", folded_document(F.col("_number"), rule))
 
 
-def _totals_by_reference(
-    df: DataFrame, document: str, item: str, totals: Mapping[str, str], rule: Rule
-) -> DataFrame:
-    """Sums per client and canonical order item; rows that refer to no order number are left out."""
-    referring = _with_reference(df.withColumn("client_id", F.col("client_id").cast("string")), document, item, rule)
-    sums = [sum_or_zero(number(referring, source)).alias(name) for name, source in totals.items()]
-    return referring.filter("_number is not null").groupBy(*REFERENCE).agg(*sums)
+def _with_home(df: DataFrame, document: str, rule: Rule) -> DataFrame:
+    """Add `_home`: the canonical document, or a text of its own for each document that is no number."""
+    unnumbered = F.concat(F.lit("="), F.col(document))
+    home = F.when(F.col("_number").isNotNull(), F.col("_doc")).otherwise(unnumbered)
+    return _with_document(df, document, rule).withColumn("_home", home).drop("_number", "_doc")
+
+
+def _referring(df: DataFrame, document: str, item: str, totals: Mapping[str, str], rule: Rule) -> DataFrame:
+    """Client, canonical order item and measures (missing ones as zero) of the rows that refer to an order number."""
+    df = df.withColumn("client_id", F.col("client_id").cast("string")).withColumn("_item", canonical_item(F.col(item)))
+    referring = _with_document(df, document, rule).filter("_number is not null")
+    measures = (F.coalesce(number(referring, source), F.lit(0.0)).alias(name) for name, source in totals.items())
+    return referring.select(*REFERENCE, *measures)
+
+
+def _deliveries(delivery_item: DataFrame, rule: Rule) -> DataFrame:
+    totals = {"total_delivery_quantity": "delivery_quantity", "total_quantity_delivered": "quantity_delivered"}
+    return _referring(delivery_item, "reference_document_number", "reference_item_number", totals, rule)
+
+
+def _bills(billing_item: DataFrame, rule: Rule) -> DataFrame:
+    totals = {"total_billed_quantity": "billed_quantity", "total_billed_value": "net_value"}
+    return _referring(billing_item, "aubel", "aupos", totals, rule)
+
+
+def _sums_by_reference(df: DataFrame) -> DataFrame:
+    return df.groupBy(*REFERENCE).agg(*(F.sum(c).alias(c) for c in df.columns if c not in REFERENCE))
 
 
 def delivery_totals(delivery_item: DataFrame, rule: Rule = None) -> DataFrame:
-    return _totals_by_reference(
-        delivery_item,
-        "reference_document_number",
-        "reference_item_number",
-        {"total_delivery_quantity": "delivery_quantity", "total_quantity_delivered": "quantity_delivered"},
-        rule,
-    )
+    """Sums per client and canonical order item; rows that refer to no order number are left out."""
+    return _sums_by_reference(_deliveries(delivery_item, rule))
 
 
 def billing_totals(billing_item: DataFrame, rule: Rule = None) -> DataFrame:
-    return _totals_by_reference(
-        billing_item,
-        "aubel",
-        "aupos",
-        {"total_billed_quantity": "billed_quantity", "total_billed_value": "net_value"},
-        rule,
-    )
+    """Sums per client and canonical order item; rows that refer to no order number are left out."""
+    return _sums_by_reference(_bills(billing_item, rule))
+
+
+def moved_totals(delivery_item: DataFrame, billing_item: DataFrame, rule: Rule = None) -> DataFrame:
+    """Delivered and billed sums in one aggregation; an order item without a row of a kind has NULL sums of that kind."""
+    return _sums_by_reference(_deliveries(delivery_item, rule).unionByName(_bills(billing_item, rule), allowMissingColumns=True))
 
 
 def _first_known(df: DataFrame, column: str, order_by: Sequence[str]) -> Column:
@@ -230,25 +246,21 @@ def order_fulfillment(
     Deliveries and billing refer to orders by the declared number ranges, by `document_ranges` (rows of `first` and
     `size`) if given, or by the remainder of document numbers with `document_modulus`.
     """
-    document_rule = document_modulus if document_ranges is None else document_ranges
-    keyed = with_text_keys(tables["sales_order_item"], ORDER_GRAIN)
-    own_reference = ("sales_document_number", "item_number")
-    hot = hot_keys(_with_reference(keyed, *own_reference, document_rule), document=DOCUMENT, reference=REFERENCE, material=MATERIAL)
-    items = _with_reference(_one_per_key(keyed, ORDER_GRAIN), *own_reference, document_rule)
+    rule = document_modulus if document_ranges is None else document_ranges
+    keyed = with_text_keys(tables["sales_order_item"], ORDER_GRAIN).withColumn("_item", canonical_item(F.col("item_number")))
+    keyed = _with_home(keyed, "sales_document_number", rule)
+    hot = hot_keys(keyed, document=HOME, reference=[*HOME, "_item"], material=MATERIAL)
+    items = _one_per_key(keyed, ORDER_GRAIN)
 
     # Same keys as the line-up above: these two need no further shuffle of the items.
     status = _with_timestamp(tables["sales_document_status_item"], [*ORDER_GRAIN, *STATUS_ATTRIBUTES])
     items = lookup_join(items, schedule_totals(tables["sales_order_schedule_line"]), ORDER_GRAIN)
     items = lookup_join(items, _one_per_key(with_text_keys(status, ORDER_GRAIN), ORDER_GRAIN), ORDER_GRAIN)
 
-    header = _headers(tables["sales_order_header"], tables["customer_master"])
-    items = lookup_join(items, header, DOCUMENT, hot["document"], ORDER_GRAIN)
-
-    moved = [
-        delivery_totals(tables["delivery_item"], document_rule),
-        billing_totals(tables["billing_document_item"], document_rule),
-    ]
-    items = lookup_join(items, moved, REFERENCE, hot["reference"], ORDER_GRAIN)
+    # Headers, deliveries and billing meet the items of a document in one place.
+    header = _with_home(_headers(tables["sales_order_header"], tables["customer_master"]), "sales_document_number", rule)
+    moved = moved_totals(tables["delivery_item"], tables["billing_document_item"], rule).withColumnRenamed("_doc", "_home")
+    items = lookup_in_place(items, moved, header, HOME, ["_item"], DOCUMENT, hot["document"], hot["reference"], ORDER_GRAIN)
 
     described = [
         materials(tables["material_master"], text_keys=True),

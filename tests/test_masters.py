@@ -232,3 +232,26 @@ def test_hot_documents_materials_and_customers_change_nothing(tables, rows, monk
     monkeypatch.setattr(masters, "hot_keys", lambda df, **keys: {name: {} for name in keys})
     assert with_hot_keys == rows(masters.order_fulfillment(tables))
     assert len(with_hot_keys) == 3000
+
+
+@pytest.mark.parametrize("looked", [True, False])
+def test_one_document_with_many_notations_of_one_item(tables, rows, monkeypatch, looked):
+    """A third of the lines are one canonical item of one order, another third unnumbered items of it."""
+    same = [item("7", "0" * i + "1", cumulative_order_quantity=float(i)) for i in range(300)]
+    unnumbered = [item("4500000007", f"x{i}") for i in range(300)]
+    other = [item(str(i), "1") for i in range(8, 308)]
+    tables.fill("sales_order_item", *same, *unnumbered, *other, item("text", "1"), item("", ""))
+    header = lambda doc, value: dict(client_id="100", sales_document_number=doc, net_value=value)
+    tables.fill("sales_order_header", header("7", 1.0), header("4500000007", 2.0), header("text", 3.0), header("9", 4.0))
+    moved = lambda doc, n, q: dict(client_id="100", reference_document_number=doc, reference_item_number=n, quantity_delivered=q)
+    tables.fill("delivery_item", moved("7", "1", 5.0), moved("4500000007", "01", 6.0), moved("7", "y", 7.0), moved("8", "1", None), moved("text", "1", 9.0))
+    tables.fill("billing_document_item", dict(client_id="100", aubel="9", aupos="1", billed_quantity=2.0))
+    seen = lambda df, **keys: hot_keys(df, looked_at=1.0, **keys) if looked else {name: {} for name in keys}
+    monkeypatch.setattr(masters, "hot_keys", seen)
+    found = masters.order_fulfillment(tables).groupBy(
+        "order_header_net_value", "total_quantity_delivered", "total_billed_quantity", "total_billed_value"
+    ).count()
+    assert rows(found) == sorted(
+        [(1.0, 11.0, None, None, 300), (2.0, 7.0, None, None, 300), (3.0, None, None, None, 1), (4.0, None, 2.0, 0.0, 1), (None, 0.0, None, None, 1), (None, None, None, None, 299)],
+        key=repr,
+    )

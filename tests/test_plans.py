@@ -33,3 +33,19 @@ def test_scans_read_the_needed_columns_only(spark):
     for column in ("l_extendedprice", "l_shipdate", "l_suppkey", "o_orderdate"):
         assert column not in schema
     assert "PushedFilters" in plan and "EqualTo(l_linestatus,F)" in plan
+
+
+def test_order_items_are_shuffled_three_times_at_most(spark):
+    """By line, by document, by material: no lookup in header, deliveries or billing shuffles the items again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.order_fulfillment(registry.dataset(spark, DATA))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def carrying(node):
+        own = node.nodeName() == "Exchange" and any(c in node.output().mkString(",") for c in ("item_category", "l_returnflag"))
+        children = node.children()
+        return int(own) + sum(carrying(children.apply(i)) for i in range(children.length()))
+
+    assert carrying(plan.initialPlan()) == 3
