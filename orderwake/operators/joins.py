@@ -118,7 +118,8 @@ def lookup_in_place(
         left_own = F.when(crowded, F.array(F.pmod(_key_hash(spread_by), _salts(home, hot)).cast("int"))).otherwise(own)
 
     def placed(df: DataFrame, salt: Column) -> DataFrame:
-        return df.withColumn("_salt", salt).withColumn("_at", _key_hash([*home, "_salt"]))
+        # The salts of one home give different hashes; homes that share a hash are told apart by the keys.
+        return df.withColumn("_salt", salt).withColumn("_at", _key_hash(home).bitwiseXOR(F.col("_salt"))).drop("_salt")
 
     found = [c for c in facts.columns if c not in left.columns]
     known = placed(facts.na.drop(subset=key).select(*key, *found), F.explode(fact_places)).withColumn("_asks", F.lit(False))
@@ -129,12 +130,12 @@ def lookup_in_place(
 
     named = [F.col(c).alias(f"_r_{c}") for c in header_key]
     told = [c for c in headers.columns if c not in answered.columns]
-    headers = placed(headers, F.explode(every)).select(F.col("_salt").alias("_r__salt"), F.col("_at").alias("_r_at"), *named, *told)
+    headers = placed(headers, F.explode(every)).select(F.col("_at").alias("_r_at"), *named, *told)
     condition = F.col("_at") == F.col("_r_at")
-    for c in ["_salt", *header_key]:
+    for c in header_key:
         # Equality in two halves, which Spark does not take for one more column to partition by.
         condition &= (F.col(c) <= F.col(f"_r_{c}")) & (F.col(c) >= F.col(f"_r_{c}"))
-    return answered.join(headers, condition, "left").drop("_salt", "_at", "_r_at", "_r__salt", *(f"_r_{c}" for c in header_key))
+    return answered.join(headers, condition, "left").drop("_at", "_r_at", *(f"_r_{c}" for c in header_key))
 
 
 def _equi_join(left, right, on, hot, null_safe, how) -> DataFrame:

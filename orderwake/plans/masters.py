@@ -148,6 +148,10 @@ def _with_home(df: DataFrame, document: str, rule: Rule) -> DataFrame:
     return _with_document(df, document, rule).withColumn("_home", home).drop("_number", "_doc")
 
 
+def _with_own_reference(items: DataFrame, rule: Rule) -> DataFrame:
+    return _with_home(items, "sales_document_number", rule).withColumn("_item", canonical_item(F.col("item_number")))
+
+
 def _referring(df: DataFrame, document: str, item: str, totals: Mapping[str, str], rule: Rule) -> DataFrame:
     """Client, canonical order item and measures (missing ones as zero) of the rows that refer to an order number."""
     df = df.withColumn("client_id", F.col("client_id").cast("string")).withColumn("_item", canonical_item(F.col(item)))
@@ -247,9 +251,8 @@ def order_fulfillment(
     `size`) if given, or by the remainder of document numbers with `document_modulus`.
     """
     rule = document_modulus if document_ranges is None else document_ranges
-    keyed = with_text_keys(tables["sales_order_item"], ORDER_GRAIN).withColumn("_item", canonical_item(F.col("item_number")))
-    keyed = _with_home(keyed, "sales_document_number", rule)
-    hot = hot_keys(keyed, document=HOME, reference=[*HOME, "_item"], material=MATERIAL)
+    keyed = with_text_keys(tables["sales_order_item"], ORDER_GRAIN)
+    hot = hot_keys(_with_own_reference(keyed, rule), document=HOME, reference=[*HOME, "_item"], material=MATERIAL)
     items = _one_per_key(keyed, ORDER_GRAIN)
 
     # Same keys as the line-up above: these two need no further shuffle of the items.
@@ -260,7 +263,7 @@ def order_fulfillment(
     # Headers, deliveries and billing meet the items of a document in one place.
     header = _with_home(_headers(tables["sales_order_header"], tables["customer_master"]), "sales_document_number", rule)
     moved = moved_totals(tables["delivery_item"], tables["billing_document_item"], rule).withColumnRenamed("_doc", "_home")
-    items = lookup_in_place(items, moved, header, HOME, ["_item"], DOCUMENT, hot["document"], hot["reference"], ORDER_GRAIN)
+    items = lookup_in_place(_with_own_reference(items, rule), moved, header, HOME, ["_item"], DOCUMENT, hot["document"], hot["reference"], ORDER_GRAIN)
 
     described = [
         materials(tables["material_master"], text_keys=True),
