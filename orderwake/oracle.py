@@ -582,8 +582,29 @@ QUERIES: dict[str, str] = {
         (SELECT count(*) FROM (SELECT * FROM i EXCEPT SELECT * FROM o)) AS inventory_only""",
     "sql_views_sample": f"""SELECT {METRIC_COLUMNS} FROM order_metrics
       ORDER BY sales_document_number::BIGINT, item_number::INT LIMIT 5""",
+    "sql_views_by_material": """, ordered AS (
+        SELECT material_number, sum(outstanding_qty)::DOUBLE AS open_units FROM order_metrics WHERE is_open GROUP BY ALL),
+      stocked AS (SELECT material_number, sum(unrestricted_stock)::DOUBLE AS stock_units FROM master_inventory GROUP BY ALL),
+      bought AS (SELECT material_number, sum(quantity)::DOUBLE AS purchased_units FROM master_po GROUP BY ALL),
+      shipped AS (SELECT material_number, sum(quantity_shipped)::DOUBLE AS shipped_units FROM shipments GROUP BY ALL),
+      covered AS (SELECT material_number, round(min(woc), 6) AS least_woc FROM coverage GROUP BY ALL),
+      materials AS (
+        SELECT material_number FROM ordered UNION SELECT material_number FROM stocked UNION SELECT material_number FROM bought
+        UNION SELECT material_number FROM shipped UNION SELECT material_number FROM covered)
+      SELECT m.material_number, open_units, stock_units, purchased_units, shipped_units, least_woc FROM materials m
+      LEFT JOIN ordered o ON o.material_number IS NOT DISTINCT FROM m.material_number
+      LEFT JOIN stocked s ON s.material_number IS NOT DISTINCT FROM m.material_number
+      LEFT JOIN bought b ON b.material_number IS NOT DISTINCT FROM m.material_number
+      LEFT JOIN shipped d ON d.material_number IS NOT DISTINCT FROM m.material_number
+      LEFT JOIN covered c ON c.material_number IS NOT DISTINCT FROM m.material_number""",
     "feature_correlation": _correlations(),
     "features_encoded": "SELECT * FROM encoded",
+    "features_short_categories": f""", short AS (
+        SELECT e.* EXCLUDE (material_type_enc, item_category_enc), left(coalesce(o.material_type, ''), 4) AS type_start,
+          left(coalesce(o.item_category, ''), 4) AS category_start
+        FROM encoded e JOIN order_metrics o USING ({GRAIN}) WHERE o.requested_delivery_date IS NOT NULL)
+      SELECT * EXCLUDE (type_start, category_start), dense_rank() OVER (ORDER BY type_start) - 1 AS material_type_enc,
+        dense_rank() OVER (ORDER BY category_start) - 1 AS item_category_enc FROM short""",
     "stratified_split": f"SELECT {GRAIN}, target_backorder_risk, is_test FROM split",
     "features_scaled": _scaled(),
     "class_weights": """SELECT target_backorder_risk AS label, count(*) AS n_rows,

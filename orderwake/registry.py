@@ -519,6 +519,30 @@ def sql_views_sample(d: Dataset) -> DataFrame:
     )
 
 
+def sql_views_by_material(d: Dataset) -> DataFrame:
+    """SQL over all five views: what is open, in stock, purchased and shipped of a material, and its least coverage."""
+    tables = {
+        "master_order_fulfillment_brd": d.metrics(),
+        "master_inventory_material": d.inventory(),
+        "master_purchase": d.purchase(),
+        "shipment_history": d.shipments(),
+        "master_woc": d.coverage(),
+    }
+    pipeline.register_views(tables)
+    return d.spark.sql(
+        """SELECT material_number, sum(open_units) AS open_units, sum(stock_units) AS stock_units,
+             sum(purchased_units) AS purchased_units, sum(shipped_units) AS shipped_units, min(woc) AS least_woc
+           FROM (
+             SELECT material_number, outstanding_qty AS open_units, NULL AS stock_units, NULL AS purchased_units,
+               NULL AS shipped_units, NULL AS woc FROM order_fulfillment WHERE is_open
+             UNION ALL SELECT material_number, NULL, unrestricted_stock, NULL, NULL, NULL FROM inventory_material
+             UNION ALL SELECT material_number, NULL, NULL, quantity, NULL, NULL FROM purchase
+             UNION ALL SELECT material_number, NULL, NULL, NULL, quantity_shipped, NULL FROM shipment_history
+             UNION ALL SELECT material_number, NULL, NULL, NULL, NULL, woc FROM master_woc
+           ) GROUP BY material_number"""
+    )
+
+
 def feature_correlation(d: Dataset) -> DataFrame:
     return quality.feature_correlation(d.targets(), [*features.NUMERIC_FEATURES, features.LABEL])
 
@@ -530,6 +554,12 @@ def features_encoded(d: Dataset) -> DataFrame:
     return features.encoded_features(d.targets())
 
 
+def features_short_categories(d: Dataset) -> DataFrame:
+    """Features with categories cut to four characters; lines without a requested date have no label and are left out."""
+    label = F.when(F.col("requested_delivery_date").isNotNull(), F.col(features.LABEL))
+    return features.encoded_features(d.targets().withColumn(features.LABEL, label), category_length=4)
+
+
 def stratified_split(d: Dataset) -> DataFrame:
     return d.build_split().select(*masters.ORDER_GRAIN, features.LABEL, "is_test")
 
@@ -774,8 +804,10 @@ QUERIES: Sequence[Callable[[Dataset], DataFrame]] = (
     duplicate_keys,
     material_overlap,
     sql_views_sample,
+    sql_views_by_material,
     feature_correlation,
     features_encoded,
+    features_short_categories,
     stratified_split,
     features_scaled,
     class_weights,
