@@ -12,6 +12,7 @@ from orderwake.operators import (
     first_per_key,
     hot_keys,
     latest_image,
+    lookup_in_place,
     lookup_join,
     numeric_buckets,
     quantiles,
@@ -178,3 +179,27 @@ def test_running_totals_do_not_depend_on_the_buckets(spark, buckets, descending)
         total += r.n
         expected[r.s] = total
     assert got == expected
+
+
+@pytest.mark.parametrize("spread", ["nothing", "homes", "homes and items"])
+def test_lookup_in_place_agrees_with_two_joins(spark, rows, spread):
+    """One home holds half the rows, and one item of it a third; documents of a home have headers of their own."""
+    lines = [("h", "h1" if i % 2 else "h2", "i" if i % 3 else str(i % 40), i) for i in range(600)]
+    lines += [(f"g{i % 50}", f"g{i % 50}", str(i % 7), i) for i in range(600)]
+    lines += [(None, "h1", "i", 1), ("h", None, "i", 2), ("h", "h1", None, 3)]
+    left = spark.createDataFrame([(*line[:3], f"{n}", line[3]) for n, line in enumerate(lines)], "home string, doc string, item string, number string, v int")
+    facts = spark.createDataFrame(
+        [("h", str(i), float(i)) for i in range(0, 40, 2)] + [("h", "i", -5.0), ("g3", "4", 7.0), (None, "i", 8.0), ("h", None, 9.0), ("g4", "1", None)],
+        "home string, item string, total double",
+    )
+    headers = spark.createDataFrame(
+        [("h", "h1", "one"), ("h", "h2", "two"), ("g3", "g3", "three"), (None, "h1", "nobody"), ("h", None, "nobody")], "home string, doc string, name string"
+    )
+    known = hot_keys(left, looked_at=1.0, home=["home"], item=["home", "item"])
+    assert known["home"] and known["item"]
+    hot = {"nothing": (None, None), "homes": (known["home"], None), "homes and items": (known["home"], known["item"])}[spread]
+    found = lookup_in_place(left, facts, headers, ["home"], ["item"], ["home", "doc"], *hot, spread_by=["number"])
+    expected = lookup_join(lookup_join(left, facts, ["home", "item"]), headers, ["home", "doc"])
+    assert found.columns == expected.columns
+    assert rows(found) == rows(expected)
+    assert found.filter("home = 'h' and item = 'i' and doc is not null").select(F.max("total"), F.count("name")).first() == (-5.0, 400)
