@@ -1,9 +1,11 @@
 from .dedupe import duplicate_rows, first_per_key, latest_image
 from .joins import hot_keys, lookup_in_place, lookup_join
 from .order_stats import quantiles
+from .ranges import counted_in_ranges
 from .running import numeric_buckets, running_totals
 
 __all__ = [
+    "counted_in_ranges",
     "duplicate_rows",
     "first_per_key",
     "hot_keys",

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions import canonical_document, canonical_key, finite_or_zero, instant, number, range_table, text_key, week_start, whole_days
-from .operators import latest_image
+from .functions import canonical_key, finite_or_zero, instant, number, text_key, week_start, whole_days, whole_number
+from .operators import counted_in_ranges, latest_image
 from .plans import evaluate, features, forecast, masters, metrics, models, pipeline, quality, targets, tree_checks
 from .sources import ChangeLogTable, File, Workspace, read_extracts, read_json_rows, read_typed, rename_columns, typed, write_json_rows, write_table
 from .sources.catalog import CLEAN_TABLES
@@ -282,9 +282,9 @@ def folded_by_range_table(d: Dataset) -> DataFrame:
     supplied = F.col("s_suppkey").cast("bigint")
     ranges = d.clean.raw("supplier").select((supplied * size + 7_000_000_000).alias("first"), F.lit(size).alias("size"))
     reference = F.col("l_orderkey") + F.col("l_suppkey").cast("bigint") * size + 7_000_000_000
-    lines = d.clean.raw("lineitem").select(F.concat(F.lit(" 0"), reference.cast("string")).alias("reference"))
-    folded = canonical_document(F.col("reference"), ranges=F.col("ranges"))
-    return lines.withColumn("ranges", range_table(ranges)).select(folded.alias("canonical")).groupBy("canonical").agg(F.count(F.lit(1)).alias("n_lines"))
+    lines = d.clean.raw("lineitem").select(whole_number(F.concat(F.lit(" 0"), reference.cast("string"))).alias("reference"))
+    counted = counted_in_ranges(lines, "reference", ranges)
+    return counted.groupBy(F.coalesce(F.col("folded").cast("string"), F.lit("")).alias("canonical")).agg(F.sum("n_rows").alias("n_lines"))
 
 
 def repaired_keys(d: Dataset) -> DataFrame:
