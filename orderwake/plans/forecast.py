@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import at_least_zero, number
@@ -51,10 +51,8 @@ def dense_demand(shipments: DataFrame) -> DataFrame:
     as many rows as its own span has weeks.
     """
     demand = _known_series(weekly_demand(shipments))
-    ahead = F.lead("shipment_week").over(Window.partitionBy(*SERIES).orderBy("shipment_week"))
-    until = F.coalesce(F.date_sub("_ahead", 7), F.col("shipment_week"))
-    weeks = F.sequence("shipment_week", until, F.expr("INTERVAL 7 DAYS"))
-    dense = demand.withColumn("_ahead", ahead).withColumn("week", F.explode(weeks))
+    own = _own_weeks(Window.partitionBy(*SERIES).orderBy("shipment_week"))
+    dense = demand.withColumn("_weeks", own).withColumn("week", F.explode("_weeks"))
     recorded = F.col("week") == F.col("shipment_week")
     return dense.select(
         *SERIES,
@@ -64,15 +62,46 @@ def dense_demand(shipments: DataFrame) -> DataFrame:
     )
 
 
+def _own_weeks(by_week: WindowSpec) -> Column:
+    """A recorded week and the empty weeks up to the next recorded one, as an array."""
+    until = F.coalesce(F.date_sub(F.lead("shipment_week").over(by_week), 7), F.col("shipment_week"))
+    return F.sequence("shipment_week", until, F.expr("INTERVAL 7 DAYS"))
+
+
 def calendar_demand(shipments: DataFrame, window_weeks: int = WINDOW_ROWS) -> DataFrame:
     """Mean of the last `window_weeks` calendar weeks, per series and week, with empty weeks as zero.
 
-    At the start of a series the mean is over the weeks that it has.
+    At the start of a series the mean is over the weeks that it has. Each recorded week carries the recorded weeks
+    before it that its own weeks may look back to, at most `window_weeks`, so the rows that are made of it, as
+    many as the calendar has, are neither sorted nor kept.
     """
-    day = F.datediff("shipment_week", F.lit("1970-01-05").cast("date"))
-    trailing = Window.partitionBy(*SERIES).orderBy("_day").rangeBetween(-7 * (window_weeks - 1), 0)
-    demand = dense_demand(shipments).withColumn("_day", day)
-    return demand.withColumn("roll_mean", F.avg("quantity_shipped").over(trailing)).drop("_day")
+    by_week = Window.partitionBy(*SERIES).orderBy("shipment_week")
+    back = 7 * (window_weeks - 1)
+    day = lambda column: F.datediff(column, F.lit("1970-01-05").cast("date"))
+    demand = _known_series(weekly_demand(shipments)).withColumn("_weeks", _own_weeks(by_week)).withColumn("_day", day("shipment_week"))
+    segment = F.struct(F.col("_day").alias("day"), F.size("_weeks").alias("weeks"), F.col("quantity_shipped").alias("quantity"))
+    near = F.collect_list(segment).over(by_week.rowsBetween(-window_weeks, 0))
+    reaches = lambda e: e["day"] + 7 * (e["weeks"] - 1) >= F.col("_day") - back
+    demand = demand.withColumn("_near", near).withColumn("_near", F.filter("_near", reaches))
+
+    made = demand.withColumn("week", F.explode("_weeks")).withColumn("_at", day("week"))
+    first_seen = F.col("_at") - back
+    total = F.aggregate("_near", F.lit(0.0), lambda a, e: a + F.when(e["day"] >= first_seen, e["quantity"]).otherwise(0.0))
+    weeks = F.aggregate("_near", F.lit(0).cast("bigint"), lambda a, e: a + _weeks_between(e, first_seen, F.col("_at")))
+    return made.select(
+        *SERIES,
+        F.col("week").alias("shipment_week"),
+        F.when(F.col("_at") == F.col("_day"), F.col("quantity_shipped")).otherwise(0.0).alias("quantity_shipped"),
+        F.weekofyear("week").alias("week_of_year"),
+        (total / weeks).alias("roll_mean"),
+    )
+
+
+def _weeks_between(segment: Column, first: Column, last: Column) -> Column:
+    """How many of the weeks that a recorded week makes lie between two days, both included."""
+    newest = F.least(segment["weeks"] - 1, F.floor((last - segment["day"]) / 7))
+    oldest = F.greatest(F.lit(0), F.ceil((first - segment["day"]) / 7))
+    return F.greatest(newest - oldest + 1, F.lit(0)).cast("bigint")
 
 
 def demand_forecast(shipments: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:

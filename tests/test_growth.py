@@ -1,10 +1,20 @@
 """Steps whose memory, shuffles or time used to grow faster than their tables."""
 
+import datetime as dt
 import random
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from orderwake import registry
 from orderwake.functions import keys
 from orderwake.operators import counted_in_ranges
+from orderwake.plans import forecast
+from orderwake.plans.metrics import SERIES
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_more_ranges_than_an_array_may_hold(spark, tmp_path, rows, monkeypatch):
@@ -35,3 +45,24 @@ def test_ranges_by_buckets_agree_with_brute_force(spark):
     assert len(collected) == len(set(numbers))
     none = counted_in_ranges(spark.createDataFrame([(3,)], "n bigint"), "n", spark.createDataFrame([], "first bigint, size bigint"))
     assert [tuple(r) for r in none.collect()] == [(3, 3, 1)]
+
+
+def test_empty_weeks_are_made_after_the_last_sort(spark):
+    random.seed(5)
+    monday = dt.date(2023, 1, 2)
+    weeks = [
+        ("1", f"M{i}", "P", (monday + dt.timedelta(weeks=w, days=(2 * i if w > 40 else 0))).isoformat(), random.random() * 50)
+        for i in range(3)
+        for w in sorted(random.sample(range(0, 120), 25 if i else 3))
+        if w not in (41, 42)
+    ]
+    shipments = spark.createDataFrame(weeks, "client_id string, material_number string, plant_code string, shipment_week string, quantity_shipped double")
+    day = F.datediff("shipment_week", F.lit("1970-01-05").cast("date"))
+    for window in (1, 4, 12):
+        trailing = Window.partitionBy(*SERIES).orderBy("_day").rangeBetween(-7 * (window - 1), 0)
+        plain = forecast.dense_demand(shipments).withColumn("_day", day).withColumn("roll_mean", F.avg("quantity_shipped").over(trailing)).drop("_day")
+        made = forecast.calendar_demand(shipments, window)
+        assert made.columns == plain.columns
+        assert sorted(map(tuple, made.collect())) == sorted(map(tuple, plain.collect()))
+    above = plan_of(made).split("Generate")[0]
+    assert "Sort" not in above and "Window" not in above
