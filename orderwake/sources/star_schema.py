@@ -185,7 +185,9 @@ class StarSchema:
     def _material_stock(self) -> DataFrame:
         # The region table has five rows by definition, so a list of its keys is a fixed size.
         regions = self.raw("region").agg(F.array_sort(F.collect_list("r_regionkey"))).scalar()
-        places = self.raw("part").select(
+        # Each part makes ten rows, so even a small file is dealt out.
+        parts = over_all_cores(self.raw("part").select("p_partkey", "p_size"))
+        places = parts.select(
             "p_partkey", "p_size", F.explode(regions).alias("r_regionkey")
         ).select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("location"))
         units = (F.col("p_partkey") * 37 + F.col("r_regionkey") * 101 + F.col("location") * 53) % 40

@@ -17,6 +17,10 @@ from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
 
+# Rows per file of a stage table. Files are packed into tasks by their bytes, and a table of few distinct values has
+# so few that one task would get tens of millions of rows.
+FILE_ROWS = 250_000
+
 
 def scratch_folder(spark: SparkSession) -> str | None:
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
@@ -54,7 +58,7 @@ class Workspace:
                     raise KeyError(f"no table {name} in this workspace")
                 df = build()
                 if self.folder:
-                    df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+                    df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(f"{self.folder}/{name}")
                 else:
                     self._kept[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
                 self._schemas[name] = df.schema

@@ -11,6 +11,7 @@ from orderwake.functions import keys
 from orderwake.operators import counted_in_ranges
 from orderwake.plans import forecast
 from orderwake.plans.metrics import SERIES
+from orderwake.sources import workspace
 
 
 def plan_of(df):
@@ -66,3 +67,12 @@ def test_empty_weeks_are_made_after_the_last_sort(spark):
         assert sorted(map(tuple, made.collect())) == sorted(map(tuple, plain.collect()))
     above = plan_of(made).split("Generate")[0]
     assert "Sort" not in above and "Window" not in above
+
+
+def test_stage_tables_keep_few_rows_in_a_file(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "FILE_ROWS", 100)
+    kept = workspace.Workspace(spark, "few-rows")
+    table = kept.table("t", lambda: spark.range(0, 950, 1, 1).select((F.col("id") % 2).alias("x")))
+    per_file = [r[0] for r in table.groupBy(F.input_file_name()).count().select("count").collect()]
+    assert sum(per_file) == 950 and max(per_file) <= 100
+    kept.close()
