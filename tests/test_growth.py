@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from orderwake import registry
 from orderwake.functions import keys
 from orderwake.operators import counted_in_ranges
-from orderwake.plans import forecast
+from orderwake.plans import forecast, models
+from orderwake.plans.features import LABEL
 from orderwake.plans.metrics import SERIES
 from orderwake.sources import workspace
 
@@ -69,6 +70,28 @@ def test_empty_weeks_are_made_after_the_last_sort(spark):
     assert "Sort" not in above and "Window" not in above
 
 
+def test_tree_fits_hold_few_rows_in_a_partition(spark, monkeypatch):
+    random.seed(2)
+    data = [(f"k{i}", random.random(), random.random(), i % 5 == 0) for i in range(900)]
+    frame = spark.createDataFrame(data, "k string, a double, b double, is_test boolean").coalesce(1)
+    frame = frame.withColumn(LABEL, (F.col("a") > 0.5).cast("int")).withColumn("backorder_units", F.col("a") * 3)
+    sizes = []
+    fit = models._fit
+
+    def watched(estimator, features, train):
+        sizes.append([len(part) for part in train.rdd.glom().collect()])
+        return fit(estimator, features, train)
+
+    monkeypatch.setattr(models, "_fit", watched)
+    for limit in (10_000, 100):
+        monkeypatch.setattr(models, "FIT_ROWS", limit)
+        models.forest_backorder(frame, ["a", "b"], trees=2, depth=2)
+        models.gbt_backorder(frame, ["a", "b"], iterations=1, depth=2)
+        models.magnitude_regression(frame, ["a", "b"], boosted=True)
+    assert sizes[:3] == [[720]] * 3
+    assert all(sum(s) == 720 and len(s) == 8 and max(s) < 200 for s in sizes[3:])
+
+
 def test_stage_tables_keep_few_rows_in_a_file(spark, monkeypatch):
     monkeypatch.setattr(workspace, "FILE_ROWS", 100)
     kept = workspace.Workspace(spark, "few-rows")
