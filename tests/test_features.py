@@ -198,3 +198,21 @@ def test_at_risk_report(spark, rows):
         ("100", "A", "1", "Yes", 0.9, 2.1, 45.0),
         ("100", "B", "", "No", 0.2, None, None),
     ]
+
+
+def test_few_categories_go_to_the_rows_and_many_give_the_same_codes(spark, rows, monkeypatch):
+    lines = [("100", str(i), "1", float(i), f"type {i % 7}" if i % 5 else None, "N", i % 2) for i in range(200)]
+    schema = "client_id string, sales_document_number string, item_number string, net_value double, material_type string, item_category string"
+    targets = spark.createDataFrame(lines, f"{schema}, {features.LABEL} int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = features.encoded_features(targets)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "material_type_enc" in plan and plan.count("BroadcastHashJoin") >= 2
+        monkeypatch.setattr(features, "BROADCAST_BYTES", 0)
+        many = features.encoded_features(targets)
+        assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
+        assert rows(few) == rows(many)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows(few)) == 200

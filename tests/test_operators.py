@@ -17,6 +17,7 @@ from orderwake.operators import (
     numeric_buckets,
     quantiles,
     running_totals,
+    row_bytes,
 )
 from orderwake.operators.joins import sketch_size
 from orderwake.operators.running import string_buckets
@@ -203,3 +204,9 @@ def test_lookup_in_place_agrees_with_two_joins(spark, rows, spread):
     assert found.columns == expected.columns
     assert rows(found) == rows(expected)
     assert found.filter("home = 'h' and item = 'i' and doc is not null").select(F.max("total"), F.count("name")).first() == (-5.0, 400)
+
+
+def test_row_bytes_counts_texts_columns_and_rows(spark):
+    df = spark.createDataFrame([("ab", 1), (None, None), ("\u00e4", 3)], "name string, n bigint")
+    assert row_bytes(df) == 3 * (16 + 2 * 8) + 2 + 2
+    assert row_bytes(df.limit(0)) == 0
