@@ -49,3 +49,31 @@ def test_order_items_are_shuffled_three_times_at_most(spark):
         return int(own) + sum(carrying(children.apply(i)) for i in range(children.length()))
 
     assert carrying(plan.initialPlan()) == 3
+
+
+def shuffles_of(spark, build, *columns):
+    """Exchanges that carry one of the columns when Spark broadcasts nothing by its own size check."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = build()._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def carrying(node):
+        own = node.nodeName() == "Exchange" and any(c in node.output().mkString(",") for c in columns)
+        children = node.children()
+        return int(own) + sum(carrying(children.apply(i)) for i in range(children.length()))
+
+    return carrying(plan.initialPlan())
+
+
+def test_metrics_need_no_shuffle_besides_those_of_the_orders(spark):
+    """Orders that are not written come placed by material, where the stock meets them."""
+    d = registry.Dataset(spark, DATA)
+    assert shuffles_of(spark, d.build_metrics, "item_category", "l_returnflag") == 3
+    assert not d.workspace.has("master_order_fulfillment")
+
+
+def test_lines_are_shuffled_by_order_only(spark):
+    """Once to deal out the small file, once by order; the regions of few suppliers go to the lines."""
+    assert shuffles_of(spark, registry.Dataset(spark, DATA).clean._build_lines, "l_quantity") == 2

@@ -4,8 +4,10 @@ import datetime as dt
 import os
 
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
+from orderwake import registry
 from orderwake.plans import pipeline
 from orderwake.sources import (
     Workspace,
@@ -213,3 +215,20 @@ def test_pipeline_on_csv_files(spark, tmp_path, clean_folder, rows, target_forma
 def test_targets_need_their_inputs(spark):
     with pytest.raises(FileNotFoundError, match="master_woc"):
         pipeline.build_targets({"master_order_fulfillment_brd": None, "master_inventory_material": None})
+
+
+def test_stage_tables_are_written_small(spark):
+    workspace = Workspace(spark, "small")
+    workspace.table("numbers", lambda: spark.range(1000))
+    files = workspace.table("numbers").inputFiles()
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    workspace.close()
+
+
+def test_metrics_read_once_are_the_stage_table_if_it_is_written(spark, rows):
+    d = registry.Dataset(spark, DATA)
+    unwritten = rows(d.metrics_once())
+    assert not d.workspace.has("master_order_fulfillment_brd")
+    d.metrics()
+    assert "parquet" in d.metrics_once()._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows(d.metrics_once()) == unwritten
