@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from orderwake.functions import coerce, keys
 from orderwake.functions import (
     aging_bucket,
     at_least_zero,
@@ -110,3 +111,16 @@ def test_aging_bucket_borders(spark):
     values = [None, -1.0, 0.0, 7.0, 8.0, 14.0, 15.0, 30.0, 31.0]
     expected = ["", "", "0-7", "0-7", "8-14", "8-14", "15-30", "15-30", "31+"]
     assert column(spark, values, "double", lambda d: aging_bucket(d.v)) == expected
+
+
+def test_possessive_number_pattern_reads_what_the_plain_one_reads(spark):
+    plain = r"^\s*[+-]?(?=\.?\d)\d*\.?\d*([eE][+-]?\d+)?\s*$"
+    parts = ("", " ", "\n", "+", "-", ".", "5", "51", "e", "E3", "e-3", "d", "\u3000", "\x85", "\x00")
+    texts = [(a + b + c + d,) for a in parts for b in parts for c in parts for d in parts]
+    df = spark.createDataFrame(texts, "text string").repartition(8)
+    assert df.filter(F.col("text").rlike(plain) != F.col("text").rlike(coerce.NUMBER_PATTERN)).count() == 0
+    stripped = F.coalesce(
+        keys.strip_space(F.col("text")).try_cast("bigint"),
+        F.when(F.col("text").rlike(plain), F.col("text").try_cast("double")).try_cast("bigint"),
+    )
+    assert df.filter(~stripped.eqNullSafe(keys.whole_number(F.col("text")))).count() == 0
