@@ -12,7 +12,7 @@ from orderwake.functions import range_table
 from orderwake.functions.keys import within_range
 from orderwake.operators import latest_image
 from orderwake.plans import forecast, pipeline
-from orderwake.sources import ChangeLogTable, File, fingerprints, read_extracts, read_typed, typed, write_table
+from orderwake.sources import ChangeLogTable, File, fingerprints, read_extracts, read_tables, read_typed, sinks, typed, write_table
 from orderwake.sources.change_log import BUCKET
 
 DAY = dt.date(2024, 4, 30)
@@ -58,6 +58,48 @@ def test_only_what_follows_from_a_change_is_built_anew(spark, tmp_path, clean_fo
     assert "master_order_fulfillment_brd" not in other_day.reused and "master_inventory_material" in other_day.reused
 
 
+def test_metrics_come_from_orders_that_are_not_read_back(spark, tmp_path, clean_folder, rows, monkeypatch):  # noqa: F811
+    given, made, save = [], pipeline.order_backorder_metrics, pipeline.Stages.save
+
+    def watched(orders, *more):
+        given.append(orders.inputFiles())
+        return made(orders, *more)
+
+    def cut_off(stages, tables):
+        if "master_order_fulfillment" in tables:
+            raise RuntimeError("the driver is gone")
+        return save(stages, tables)
+
+    monkeypatch.setattr(pipeline, "order_backorder_metrics", watched)
+    target = tmp_path / "out"
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline.Stages, "save", cut_off)
+        with pytest.raises(RuntimeError):
+            run(spark, clean_folder, target)
+    again = run(spark, clean_folder, target)
+    assert again.reused == ["master_inventory_material", "master_order_fulfillment_brd"]
+    assert list(again.rows)[0] == "master_order_fulfillment"
+    orders = pipeline.order_fulfillment(read_tables(spark, clean_folder))
+    written = again.load("master_order_fulfillment")
+    assert written.dtypes == orders.dtypes and rows(written) == rows(orders)
+    # A day later the orders are there already.
+    later = pipeline.run(spark, clean_folder, str(target), DAY + dt.timedelta(1), resume=True)
+    assert "master_order_fulfillment" in later.reused and "master_order_fulfillment_brd" not in later.reused
+    from_orders = [any("master_order_fulfillment" in f for f in files) for files in given]
+    assert from_orders == [False, True]
+
+
+def test_compressed_tables_have_few_rows_in_a_file(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_ROWS", 100)
+    df = spark.range(0, 250, 1, 1).select(F.col("id").cast("string").alias("k"), F.concat(F.lit('a "b", '), "id").alias("v"))
+    assert write_table(df, str(tmp_path / "t"), "csv", compressed=True) == 250
+    files = [f for f in os.listdir(tmp_path / "t") if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    assert rows(read_typed(spark, str(tmp_path / "t"), df.schema)) == rows(df)
+    assert write_table(df, str(tmp_path / "p")) == 250
+    assert any(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "p"))
+
+
 def test_small_documents(spark, tmp_path):
     file = File(spark, str(tmp_path / "a" / "x.json"))
     assert file.load() is None
