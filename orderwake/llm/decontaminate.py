@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderwake.llm.common import portions
+from orderwake.llm.common import hold_batches, portions
 
 #: Edits allowed per character of a test item.
 ERROR_RATE = 0.08
@@ -137,6 +137,7 @@ def contamination(
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     context = docs.sparkSession.sparkContext
+    hold_batches(docs.sparkSession)
 
     def search(block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,6 +171,7 @@ def decontaminate(
 ) -> DataFrame:
     """The rows of `docs` whose text holds no test item (as in `contamination`); all columns stay as they are."""
     context, schema = docs.sparkSession.sparkContext, docs.schema
+    hold_batches(docs.sparkSession)
 
     def without(frame: DataFrame, block) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import gc
 import hashlib
 import re
+from collections import defaultdict
 from functools import cached_property, lru_cache
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -134,19 +135,23 @@ def marked_words(text: str) -> list[str]:
 
 def encode_batch(texts: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts end to end, the number of ids and of words of each text."""
-    words = [marked_words(t or "") for t in texts]
-    distinct = set().union(*words)
-    new = sorted(distinct - vocab.remembered.keys())
-    known = [w for w in distinct if w in vocab.remembered]
-    pieces = [*map(vocab.remembered.__getitem__, known), *vocab.segment(new)]
-    number = dict(zip(chain(known, new), range(len(distinct))))
-    room = max(0, REMEMBERED - len(vocab.remembered))
-    vocab.remembered.update(zip(new[:room], pieces[len(known) :]))
+    number: defaultdict[str, int] = defaultdict(count().__next__)  # distinct words, numbered as they come
+    found = []
+    for text in texts:  # the words of one text at a time: most are copies of few
+        words = marked_words(text or "")
+        found.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+    known = vocab.remembered
+    new = sorted(number.keys() - known.keys())
+    made = dict(zip(new, vocab.segment(new)))
+    pieces = [made[w] if w in made else known[w] for w in number]
+    room = max(0, REMEMBERED - len(known))
+    known.update(zip(new[:room], map(made.__getitem__, new)))
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     flat = np.fromiter(chain.from_iterable(pieces), np.int32, int(sizes.sum()))
     first = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
-    per_text = np.fromiter(map(len, words), np.int64, len(words))
-    order = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(per_text.sum()))
+    per_text = np.fromiter(map(len, found), np.int64, len(found))
+    order = np.concatenate([np.zeros(0, np.int64), *found])
+    del number, found, made, pieces
     counts = sizes[order]
     ends = np.cumsum(counts)
     ids = flat[np.repeat(first[order] - (ends - counts), counts) + np.arange(int(counts.sum()))]

@@ -56,9 +56,11 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     per_text = np.fromiter(map(len, split), np.int64, len(split))
     codes, offsets = code_points(lines)
     bits = _TABLE[0][codes]
+    del codes
     sums = []
+    upto = np.zeros(len(bits) + 1, np.int32)  # an Arrow text has less than 2**31 bytes
     for bit in range(len(CLASSES)):
-        upto = np.concatenate(([0], np.cumsum(bits >> bit & 1, dtype=np.int64)))
+        np.cumsum(bits >> bit & 1, dtype=np.int32, out=upto[1:])
         sums.append(upto[offsets[1:]] - upto[offsets[:-1]])
     letter, upper, digit, space, symbol, mark, bar = (x.astype(float) for x in sums)
     n_words, distinct, seen = (np.zeros(len(lines)) for _ in range(3))
