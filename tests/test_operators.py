@@ -210,3 +210,16 @@ def test_row_bytes_counts_texts_columns_and_rows(spark):
     df = spark.createDataFrame([("ab", 1), (None, None), ("\u00e4", 3)], "name string, n bigint")
     assert row_bytes(df) == 3 * (16 + 2 * 8) + 2 + 2
     assert row_bytes(df.limit(0)) == 0
+
+
+def test_home_columns_that_repeat_the_key_are_left_out_and_come_back(spark, rows):
+    left = [("a", "a", "1", "1"), ("b", "B", "2", "02"), (None, "=", "3", "3"), ("c", "c", "9", "9")]
+    left = spark.createDataFrame(left, "doc string, home string, place string, item string")
+    facts = spark.createDataFrame([("a", "1", 5), ("B", "02", 6), ("=", "3", 7), ("c", "8", 8)], "home string, place string, fact int")
+    headers = spark.createDataFrame([("a", "a", "x"), ("b", "B", "y"), ("d", "d", "z")], "doc string, home string, told string")
+    facts = facts.withColumnRenamed("place", "item")
+    how = (left, facts, headers, ["home"], ["item"], ["doc"])
+    expected = [(None, "=", "3", "3", 7, None), ("a", "a", "1", "1", 5, "x"), ("b", "B", "2", "02", 6, "y"), ("c", "c", "9", "9", None, None)]
+    for repeats in (None, {"home": "doc"}, {"home": "doc", "item": "place"}):
+        found = lookup_in_place(*how, repeats=repeats)
+        assert rows(found, "doc", "home", "place", "item", "fact", "told") == sorted(expected, key=repr)

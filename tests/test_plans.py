@@ -77,3 +77,29 @@ def test_metrics_need_no_shuffle_besides_those_of_the_orders(spark):
 def test_lines_are_shuffled_by_order_only(spark):
     """Once to deal out the small file, once by order; the regions of few suppliers go to the lines."""
     assert shuffles_of(spark, registry.Dataset(spark, DATA).clean._build_lines, "l_quantity") == 2
+
+
+def exchanges(df):
+    """The columns of each shuffle when Spark broadcasts nothing by its own size check."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def below(node):
+        own = [node.output().mkString(",")] if node.nodeName() == "Exchange" else []
+        children = node.children()
+        return own + [c for i in range(children.length()) for c in below(children.apply(i))]
+
+    return below(plan.initialPlan())
+
+
+def test_no_shuffle_of_order_items_carries_what_the_header_tells(spark):
+    """Nor does one carry the hash that it is made by; the stock for the metrics comes with the material."""
+    d = registry.Dataset(spark, DATA)
+    for build in (d.build_orders, d.build_metrics):
+        columns = exchanges(build())
+        assert not [c for c in columns if "item_category" in c and "order_header_net_value" in c]
+        assert not [c for c in columns if "_at#" in c]
