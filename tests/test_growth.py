@@ -1,7 +1,9 @@
 """Steps whose memory, shuffles or time used to grow faster than their tables."""
 
 import datetime as dt
+import os
 import random
+import time
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from orderwake.operators import counted_in_ranges
 from orderwake.plans import forecast, models
 from orderwake.plans.features import LABEL
 from orderwake.plans.metrics import SERIES
-from orderwake.sources import workspace
+from orderwake.sources import sinks, workspace
 
 
 def plan_of(df):
@@ -99,3 +101,25 @@ def test_stage_tables_keep_few_rows_in_a_file(spark, monkeypatch):
     per_file = [r[0] for r in table.groupBy(F.input_file_name()).count().select("count").collect()]
     assert sum(per_file) == 950 and max(per_file) <= 100
     kept.close()
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+
+
+def test_written_tables_give_the_space_of_their_shuffles_back(spark, tmp_path):
+    def dealt():
+        return spark.range(0, 20_000, 1, 4).repartition(4, "id")
+
+    kept = workspace.Workspace(spark, "no-shuffles")
+    writes = (lambda: kept.table("t", dealt), lambda: sinks.write_table(dealt(), str(tmp_path / "t"), "csv"))
+    for write in writes:
+        before, until = shuffle_files(spark), time.time() + 20
+        write()
+        while shuffle_files(spark) - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffle_files(spark) - before
+        assert spark.conf.get(workspace.CLEANUP) == "false"
+    assert kept.table("t").count() == 20_000 and spark.read.csv(str(tmp_path / "t"), header=True).count() == 20_000
+    kept.close()
