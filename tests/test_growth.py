@@ -123,3 +123,12 @@ def test_written_tables_give_the_space_of_their_shuffles_back(spark, tmp_path):
         assert spark.conf.get(workspace.CLEANUP) == "false"
     assert kept.table("t").count() == 20_000 and spark.read.csv(str(tmp_path / "t"), header=True).count() == 20_000
     kept.close()
+
+
+def test_round_trip_by_csv_is_compressed(spark, tmp_path, rows):
+    d = registry.Dataset(spark, "/root/testdata/sf0.001")
+    found = registry.csv_roundtrip(d)
+    files = [f for f in os.listdir(d.workspace.file_path("csv_roundtrip")) if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert found.count() == registry.order_fulfillment(d).count()
+    d.workspace.close()
