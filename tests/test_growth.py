@@ -132,3 +132,26 @@ def test_round_trip_by_csv_is_compressed(spark, tmp_path, rows):
     assert files and all(f.endswith(".csv.gz") for f in files)
     assert found.count() == registry.order_fulfillment(d).count()
     d.workspace.close()
+
+
+def test_tree_fits_on_written_rows_are_cut_by_files_without_a_shuffle(spark, monkeypatch):
+    random.seed(4)
+    monkeypatch.setattr(workspace, "FILE_ROWS", 50)
+    monkeypatch.setattr(models, "FIT_ROWS", 60)
+    data = [(f"k{i}", random.random(), random.random(), i % 5 == 0) for i in range(900)]
+    frame = spark.createDataFrame(data, "k string, a double, b double, is_test boolean").coalesce(1)
+    frame = frame.withColumn(LABEL, (F.col("a") > 0.5).cast("int"))
+    kept = workspace.Workspace(spark, "fit-pieces")
+    seen, fit = [], models._fit
+
+    def watched(estimator, features, train):
+        seen.append(([len(part) for part in train.rdd.glom().collect()], plan_of(train)))
+        return fit(estimator, features, train)
+
+    monkeypatch.setattr(models, "_fit", watched)
+    models.gbt_backorder(kept.table("rows", lambda: frame), ["a", "b"], iterations=1, depth=2)
+    sizes, plan = seen[0]
+    assert sum(sizes) == 720 and len(sizes) >= 12 and max(sizes) <= 100
+    assert "hashpartitioning(_place" not in plan
+    assert spark.conf.get(models.LEAST_PIECES, None) is None
+    kept.close()
